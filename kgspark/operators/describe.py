@@ -227,14 +227,12 @@ def view_hierarchy(quads: DataFrame) -> DataFrame:
     return out.drop("graph").withColumn("s_kind", fix("s_kind", "s")).withColumn("o_kind", fix("o_kind", "o")).distinct()
 
 
-SCHEMA_KINDS = {
-    "class": [OWL + "Class", RDFS + "Class"], "object": [OWL + "ObjectProperty"], "data": [OWL + "DatatypeProperty"],
-    "generic": ["http://www.w3.org/1999/02/22-rdf-syntax-ns#Property"],
-}
+SCHEMA_KINDS = CLASS_TYPES + [OWL + "ObjectProperty", OWL + "DatatypeProperty", "http://www.w3.org/1999/02/22-rdf-syntax-ns#Property"]
+_PROPERTY_KEEP = [LABEL, TYPE, RDFS + "domain", RDFS + "range", OWL + "equivalentProperty", OWL + "propertyDisjointWith"]
 LOCAL_KEEP = {
-    "class": [TYPE, LABEL, COMMENT, SUBCLASS, OWL + "equivalentClass", OWL + "disjointWith"],
-    "object": [TYPE, LABEL, COMMENT, RDFS + "domain", RDFS + "range", RDFS + "subPropertyOf", OWL + "inverseOf"],
-    "data": [TYPE, LABEL, COMMENT, RDFS + "domain", RDFS + "range", RDFS + "subPropertyOf"],
+    OWL + "Class": [LABEL, TYPE, SUBCLASS, OWL + "equivalentClass", OWL + "disjointWith"],
+    OWL + "ObjectProperty": [*_PROPERTY_KEEP, OWL + "inverseOf"],
+    OWL + "DatatypeProperty": _PROPERTY_KEEP,
 }
 
 
@@ -242,11 +240,10 @@ def view_schema(quads: DataFrame, mode: str = "all") -> DataFrame:
     """Triples of schema subjects: all of them, or (``local``) a list of predicates per kind."""
     t = quads.select(TRIPLE_COLS).distinct()
     if mode == "all":
-        kinds = [c for v in SCHEMA_KINDS.values() for c in v]
-        return semi(t, t.where((F.col("p") == TYPE) & F.col("o").isin(kinds)), "s")
+        return semi(t, t.where((F.col("p") == TYPE) & F.col("o").isin(SCHEMA_KINDS)), "s")
     out = None
     for kind, keep in LOCAL_KEEP.items():
-        subj = t.where((F.col("p") == TYPE) & F.col("o").isin(SCHEMA_KINDS[kind]) & (F.col("s_kind") == "iri"))
+        subj = t.where((F.col("p") == TYPE) & (F.col("o") == kind))
         v = semi(t.where(F.col("p").isin(keep)), subj, "s")
         out = v if out is None else out.unionByName(v)
     return out.distinct()

@@ -280,8 +280,8 @@ def dl_constructs(triples: DataFrame, measures: dict[str, dict] = CONSTRUCTS) ->
         F.max(F.when(p == OWL + "onClass", 1).otherwise(0)).alias("any_c"),
         F.max(F.when(p == OWL + "onDataRange", 1).otherwise(0)).alias("any_d"))
     card = triples.where(p.isin([OWL + q for q in QUALIFIED])).select("s").join(per_r, "s").agg(
-        F.count_if("(any_c = 1 and top_c = 0) or (any_d = 1 and top_d = 0)").alias("qualified"),
-        F.count_if("top_c = 1 or top_d = 1").alias("top"))
+        F.count_if(F.expr("(any_c = 1 and top_c = 0) or (any_d = 1 and top_d = 0)")).alias("qualified"),
+        F.count_if(F.expr("top_c = 1 or top_d = 1")).alias("top"))
 
     def single(m: dict) -> Column:
         hit = F.lit(False)

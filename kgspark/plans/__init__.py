@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_patterns"]
+MODULES = ["q_patterns", "q_metrics"]
 
 
 def load_all() -> None:

@@ -2,16 +2,22 @@
 
 Each rule maps one row of a table to one triple. The rules are plain SQL expressions in
 the common subset of Spark SQL and ANSI SQL, so the same list yields the DataFrame and the
-text of the comparison CTE.
+text of the comparison CTE. Quads are loaded once per application and directory into the
+shared folder, as a store is, and every query reads that table.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kgspark.model import BASE, QUAD_COLS, expand
+from kgspark.model import BASE, QUAD, QUAD_COLS, expand
+from kgspark.session import shared_dir
+
+# (application, directory, graph group) -> folder of the loaded quads
+_LOADED: dict[tuple, str] = {}
 
 
 def node(path: str, *cols: str) -> str:
@@ -47,7 +53,11 @@ class Rule:
 
     def sql(self, relation: str) -> str:
         where = f" WHERE {self.where}" if self.where else ""
-        return f"SELECT {'DISTINCT ' if self.distinct else ''}{', '.join(self.exprs())} FROM {relation}{where}"
+        if isinstance(self.distinct, str):
+            # the key columns are made distinct first: a few numbers are shuffled, not the texts
+            relation, where = f"(SELECT DISTINCT {self.distinct} FROM {relation}{where})", ""
+        only = "DISTINCT " if self.distinct is True else ""
+        return f"SELECT {only}{', '.join(self.exprs())} FROM {relation}{where}"
 
 
 # Joined sources the rules read besides the plain tables; {name} marks a table.
@@ -149,16 +159,17 @@ def _datasets() -> None:
 def _process() -> None:
     # (l_orderkey, l_linenumber) repeats in the data, so every rule is a distinct projection:
     # a process then has several inputs, and each triple still occurs once.
-    proc = node("proc/", "l_orderkey", "l_linenumber")
-    day = "substr(CAST(l_shipdate AS STRING), 1, 10)"
-    reg, ins = node("region1d/", day), node("instant/", day)
-    entity("process", "lineitem", proc, ("a", "A:ont:Process"),
-           ("ont:hasInput", node("pub/", "l_partkey")), ("ont:hasParticipant", node("org/", "l_suppkey")),
-           ("ont:outputOf", node("dataset/", "l_orderkey")), ("ont:occupies", reg), distinct=True)
-    entity("process", "lineitem", reg, ("a", "A:ont:Region1D"), ("ont:firstInstant", ins),
-           ("ont:lastInstant", ins), distinct=True)
+    proc, key = node("proc/", "l_orderkey", "l_linenumber"), "l_orderkey, l_linenumber"
+    day = "CAST(l_shipdate AS DATE) AS l_day"
+    reg, ins = node("region1d/", "l_day"), node("instant/", "l_day")
+    entity("process", "lineitem", proc, ("a", "A:ont:Process"), distinct=key)
+    entity("process", "lineitem", proc, ("ont:hasInput", node("pub/", "l_partkey")), distinct=key + ", l_partkey")
+    entity("process", "lineitem", proc, ("ont:hasParticipant", node("org/", "l_suppkey")), distinct=key + ", l_suppkey")
+    entity("process", "lineitem", proc, ("ont:outputOf", node("dataset/", "l_orderkey")), distinct=key)
+    entity("process", "lineitem", proc, ("ont:occupies", reg), distinct=key + ", " + day)
+    entity("process", "lineitem", reg, ("a", "A:ont:Region1D"), ("ont:firstInstant", ins), ("ont:lastInstant", ins), distinct=day)
     entity("process", "lineitem", ins, ("a", "A:ont:Instant"),
-           ("ont:timestamp", stamp("l_shipdate"), lit(dt="xsd:dateTimeStamp")), distinct=True)
+           ("ont:timestamp", "CAST(l_day AS STRING) || 'T00:00:00Z'", lit(dt="xsd:dateTimeStamp")), distinct=day)
 
 
 def _events() -> None:
@@ -412,14 +423,28 @@ class Tables:
         names = sorted(set(re.findall(r"\{(\w+)\}", text)))
         return self.spark.sql(text, **{n: self(n) for n in names})
 
-    def quads(self, *graphs: str, preds: tuple | None = None) -> DataFrame:
-        """The quads of the named graphs, or only those with the given predicates.
+    def derive(self, graph: str) -> DataFrame:
+        """The quads of one group of graphs, straight from the tables. The rules of one source
+        are exploded from one scan; those that must be made distinct stay narrow branches."""
+        return self.sql(grouped_sql([graph]))
+
+    def stored(self, graph: str) -> str:
+        """Folder of the loaded quads of a group of graphs; loaded on first use.
 
-        With predicates every rule is a branch of its own, so a later filter on predicate
-        or class drops branches, scans and columns. Without, the whole graph is wanted:
-        the rules of one source are exploded from one scan.
+        Files are sorted by predicate and subject, so a filter on the predicate skips row
+        groups. There is no shuffle: the load writes where it reads.
         """
-        return self.sql(branches_sql(graphs, preds) if preds else grouped_sql(graphs))
+        key = (self.spark.sparkContext.applicationId, self.dir, graph)
+        if key not in _LOADED:
+            path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{uuid.uuid4().hex}/{graph}"
+            self.derive(graph).sortWithinPartitions("p", "s").write.parquet(path)
+            _LOADED[key] = path
+        return _LOADED[key]
+
+    def quads(self, *graphs: str, preds: tuple | None = None) -> DataFrame:
+        """The quads of the named graphs as one scan, on request only some predicates."""
+        df = self.spark.read.schema(QUAD).parquet(*[self.stored(g) for g in graphs or ALL_GRAPHS])
+        return df.where(F.col("p").isin([expand(p) for p in preds])) if preds else df
 
 
 def _chosen(graphs, preds=None) -> tuple[list[Rule], list[tuple]]:
@@ -440,25 +465,19 @@ def _spark_from(src: str) -> str:
     return f"({SOURCES[src]})" if src in SOURCES else "{" + src + "}"
 
 
-def branches_sql(graphs, preds) -> str:
-    rules, rows = _chosen(graphs, preds)
-    parts = [r.sql(_spark_from(r.src)) for r in rules]
-    return "\nUNION ALL ".join(parts + ([_values(rows)] if rows else []))
-
-
 def grouped_sql(graphs) -> str:
     rules, rows = _chosen(graphs)
-    groups: dict[tuple, list[Rule]] = {}
+    parts = [r.sql(_spark_from(r.src)) for r in rules if r.distinct]
+    groups: dict[str, list[Rule]] = {}
     for r in rules:
-        groups.setdefault((r.src, r.distinct), []).append(r)
-    parts = []
-    for (src, distinct), members in groups.items():
+        if not r.distinct:
+            groups.setdefault(r.src, []).append(r)
+    for src, members in groups.items():
         structs = []
         for r in members:
             one = f"named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, {e}' for c, e in zip(QUAD_COLS, r.cols))})"
             structs.append(f"CASE WHEN {r.where} THEN {one} END" if r.where else one)
-        parts.append(f"SELECT {'DISTINCT ' if distinct else ''}* FROM (SELECT inline(array_compact(array("
-                     + ", ".join(structs) + f"))) FROM {_spark_from(src)})")
+        parts.append(f"SELECT inline(array_compact(array({', '.join(structs)}))) FROM {_spark_from(src)}")
     return "\nUNION ALL ".join(parts + ([_values(rows)] if rows else []))
 
 

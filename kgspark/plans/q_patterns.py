@@ -387,16 +387,13 @@ def _(c):
     return c.quads.where("o_kind = 'iri'").groupBy(S.namespace("o").alias("ns")).agg(n("n"))
 
 
-CURIES = {"ont": ONT, "kg": BASE, "owl": OWL, "rdfs": RDFS}
+CURIES = {"kgo": ONT, "kg": BASE, "ow": OWL, "rs": RDFS}
 
 
 @query("curie", sql="SELECT short, " + "n FROM (SELECT " + "CASE " + " ".join(f"WHEN starts_with(o, '{ns}') THEN '{k}:' || substr(o, {len(ns) + 1})" for k, ns in CURIES.items())
        + " ELSE o END AS short, count(*) AS n FROM quads WHERE o_kind = 'iri' GROUP BY 1)")
 def _(c):
-    short = c.quads.where("o_kind = 'iri'").groupBy(S.curie("o", CURIES).alias("short")).agg(n("n"))
-    # expanding gives the IRI back
-    back = short.withColumn("iri", S.expand_curie("short", CURIES))
-    return back.where(S.curie("iri", CURIES) == F.col("short")).select("short", "n")
+    return c.quads.where("o_kind = 'iri'").groupBy(S.curie("o", CURIES).alias("short")).agg(n("n"))
 
 
 @query("find_by_label", graphs="datasets catalog", preds="a label", sql="""
