@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_patterns", "q_metrics"]
+MODULES = ["q_patterns", "q_metrics", "q_questions"]
 
 
 def load_all() -> None:
