@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_patterns", "q_metrics", "q_questions"]
+MODULES = ["q_patterns", "q_metrics", "q_questions", "q_quality", "q_graph"]
 
 
 def load_all() -> None:

@@ -298,7 +298,7 @@ def _assets() -> None:
     part = node("partition/", k)
     entity("assets", "part", node("dataset/", k), ("void:classPartition", part), ("ont:denotedBy", a))
     entity("assets", "part", part, ("void:class", "'" + BASE + "ont/type/' || p_type"),
-           ("void:entities", "CAST(p_size AS STRING) || '.0'", lit(dt="xsd:decimal", where="p_size <> 13")),
+           ("void:entities", "CAST(p_size AS STRING) || CASE WHEN p_size % 2 = 0 THEN '' ELSE '.0' END", lit(dt="xsd:decimal", where="p_size <> 13")),
            ("void:entities", "'unknown'", lit(where="p_size = 13")))
 
 
