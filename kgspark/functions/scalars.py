@@ -34,7 +34,7 @@ def sanitize(s) -> Column:
 
 def split_list(s, sep: str = ";", keep_blanks: bool = False) -> Column:
     """Split a delimited cell; blanks are dropped, so parallel lists may lose alignment."""
-    parts = F.transform(F.split(sanitize(s), sep), F.trim)
+    parts = F.transform(F.split(sanitize(s), sep), lambda x: F.trim(x))
     return parts if keep_blanks else F.filter(parts, lambda x: x != "")
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from urllib.parse import quote, urlsplit, urlunsplit
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# task functions travel with the job; executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def repair_once_encoded(text: str | None, passes: int = 3) -> str | None:
     """Undo UTF-8 read as Latin-1, up to ``passes`` times, while it changes and still decodes."""
@@ -21,7 +26,6 @@ def repair_once_encoded(text: str | None, passes: int = 3) -> str | None:
     return text
 
 
-@F.pandas_udf("string")
 def _repair(s: pd.Series) -> pd.Series:
     return s.map(repair_once_encoded)
 
@@ -29,7 +33,7 @@ def _repair(s: pd.Series) -> pd.Series:
 def fix_mojibake(col) -> Column:
     """Only rows holding a suspicious character pair leave the JVM."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.rlike("[Â-ô][\u0080-¿]"), _repair(c)).otherwise(c)
+    return F.when(c.rlike("[Â-ô][\u0080-¿]"), F.pandas_udf(_repair, "string")(c)).otherwise(c)
 
 
 UNSAFE = r"[^\x21-\x7e]|[<>\"{}|\\^`]"
@@ -46,11 +50,10 @@ def encode_iri(iri: str | None) -> str | None:
         quote(u.fragment, safe="%:@!$&'()*+,;=/?-._~")))
 
 
-@F.pandas_udf("string")
 def _encode(s: pd.Series) -> pd.Series:
     return s.map(encode_iri)
 
 
 def pct_encode(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.rlike(UNSAFE), _encode(c)).otherwise(c)
+    return F.when(c.rlike(UNSAFE), F.pandas_udf(_encode, "string")(c)).otherwise(c)

@@ -408,13 +408,13 @@ def per_graph_reason(quads: DataFrame, schema_triples: DataFrame) -> dict[str, D
     (only of consistent graphs; an inconsistent graph keeps its asserted data).
     """
     schema = Schema(schema_triples)
-    bad = consistency_report(quads, schema_triples, schema)
+    bad = materialize(consistency_report(quads, schema_triples, schema), "violations")
     counts = bad.groupBy("graph").agg(F.count(F.lit(1)).alias("violations"))
     status = quads.select("graph").distinct().join(counts, "graph", "left").select(
         "graph", F.col("violations").isNull().alias("consistent"), F.coalesce("violations", F.lit(0)).alias("violations"))
     good = quads.join(counts.select("graph"), "graph", "left_anti")
     new = rdfs_inferred(good, schema, ("graph",))
-    inferences = subtract(new, quads, QUAD_COLS)
+    inferences = materialize(subtract(new, quads, QUAD_COLS), "inferences")
     return {"violations": bad, "status": status, "inferences": inferences}
 
 

@@ -28,7 +28,7 @@ def split_cells(c: DataFrame, default_split: str | None = None) -> DataFrame:
     token = F.coalesce("split", F.lit(default_split) if default_split else F.lit(None).cast("string"))
     quoted = F.concat(F.lit("\\Q"), token, F.lit("\\E"))
     parts = F.when(token.isNull(), F.array(F.col("value"))).otherwise(F.split(F.col("value"), quoted))
-    out = c.withColumn("value", F.explode(F.transform(parts, F.trim)))
+    out = c.withColumn("value", F.explode(F.transform(parts, lambda x: F.trim(x))))
     return out.where(F.col("value") != "")
 
 

@@ -273,7 +273,7 @@ def _assets() -> None:
            where="p_size >= 15")
     entity("assets", "part", node("assetlink/", k), ("a", "A:ont:Website"),
            ("ont:hasUrl", "CASE WHEN p_size % 2 = 0 THEN 'https://zenodo.org/records/' || CAST(p_partkey AS STRING) "
-            "ELSE 'https://www.example.org/' || CAST(p_partkey AS STRING) END", URI), where="p_size <= 40")
+            "ELSE 'https://www.example.org/' || CAST(p_partkey AS STRING) END", {**URI, "where": "p_size <> 33"}), where="p_size <= 40")
     entity("assets", "part", "'" + BASE + "license/' || p_type", ("a", "A:ont:License"),
            ("label", "'licence ' || p_type", lit(where="p_type <> 'PROMO'")), distinct=True)
     entity("assets", "part", node("language/", "p_size % 5"), ("a", "A:ont:Language"),

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -15,6 +17,9 @@ from kgspark.functions.scalars import RDF_EXTENSIONS, infer_source, literal_int
 from kgspark.functions.text import fix_mojibake
 from kgspark.model import LABEL, OWL, QUAD_COLS, TYPE
 
+# task functions travel with the job; executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_FILE_BYTES = 100 * 1024 * 1024
 TSV = {"sep": "\t", "header": False, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -96,7 +101,7 @@ def registrations(table: DataFrame, row: Column | None = None) -> DataFrame:
         raise ValueError(f"registration tab has no url column; header={table.columns}")
     get = lambda k: F.trim(F.coalesce(F.col(f"`{cols[k]}`"), F.lit(""))) if cols[k] else F.lit("")
     src = F.coalesce(F.nullif(F.lower(get("source")), F.lit("")), infer_source(get("url")), F.lit(""))
-    files = F.filter(F.transform(F.split(get("files"), r"[,;\n]"), F.trim), lambda x: x != "")
+    files = F.filter(F.transform(F.split(get("files"), r"[,;\n]"), lambda x: F.trim(x)), lambda x: x != "")
     out = table.select(src.alias("source"), get("url").alias("url"), files.alias("files"), get("label").alias("label"),
                        (F.lit(None).cast("bigint") if row is None else row).alias("row"))
     return out.where((F.col("url") != "") & ~F.col("url").startswith("#") & F.col("source").isin("github", "zenodo"))
