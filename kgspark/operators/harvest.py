@@ -44,7 +44,7 @@ def select_artifacts(candidates: DataFrame) -> DataFrame:
     stem, variant, ext = variant_parts("path")
     r = artifact_pool(candidates).withColumn("dir", dirname("path")).withColumn("stem", F.lower(stem)).withColumn(
         "v", rank_of(variant, VARIANTS)).withColumn("f", rank_of(ext, FORMATS)).withColumn("len", F.length("path"))
-    best = top_n(r, 1, ["source_key", "dir", "stem"], ["v", "f", "len", "path"])
+    best = top_n(r, 1, ["source_key", "dir", "stem"], ["v", "f", "len", "path", *[c for c in candidates.columns if c not in ("source_key", "path")]])
     return best.select(candidates.columns)
 
 

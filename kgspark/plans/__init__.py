@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_patterns", "q_metrics", "q_questions", "q_quality", "q_graph", "q_templates"]
+MODULES = ["q_patterns", "q_metrics", "q_questions", "q_quality", "q_graph", "q_templates", "q_harvest"]
 
 
 def load_all() -> None:

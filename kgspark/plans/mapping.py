@@ -420,8 +420,14 @@ class Tables:
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL in which ``{table}`` marks a driver table."""
-        names = sorted(set(re.findall(r"\{(\w+)\}", text)))
-        return self.spark.sql(text, **{n: self(n) for n in names})
+        tag = uuid.uuid5(uuid.NAMESPACE_URL, self.dir).hex[:12]
+
+        def name(m: re.Match) -> str:
+            view = f"kgspark_{tag}_{m.group(1)}"
+            self(m.group(1)).createOrReplaceTempView(view)
+            return view
+
+        return self.spark.sql(re.sub(r"\{(\w+)\}", name, text))
 
     def derive(self, graph: str) -> DataFrame:
         """The quads of one group of graphs, straight from the tables. The rules of one source

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import functools
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kgspark.model import PREFIXES
 from kgspark.plans import mapping
+from kgspark.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +37,10 @@ class Context:
     def graph(self, *names: str, preds: tuple = ()) -> DataFrame:
         return self.t.quads(*names, preds=preds or self.preds)
 
+    def scratch(self, name: str) -> str:
+        """A fresh path in the shared folder, for queries that write and read back."""
+        return f"{shared_dir(self.spark).rstrip('/')}/kgspark/{name}-{uuid.uuid4().hex}"
+
     def view(self, name: str) -> DataFrame:
         return self.t.sql(VIEWS[name])
 

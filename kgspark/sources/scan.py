@@ -268,9 +268,12 @@ def _expand(batches: Iterator[pd.DataFrame], cap: int, exts: tuple[str, ...]) ->
 def scan_zip(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES, exts: list[str] = RDF_EXTENSIONS) -> DataFrame:
     """Members of archives that are RDF files: (file, inner, label, text). Members too large,
     or pointing outside the archive, are left out."""
-    files = sized_files(spark, path, max_bytes).where(F.lower("path").endswith(".zip")).select("path", "content")
+    return expand_zip(sized_files(spark, path, max_bytes).where(F.lower("path").endswith(".zip")), max_bytes, exts)
+
+
+def expand_zip(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, exts: list[str] = RDF_EXTENSIONS) -> DataFrame:
     allowed = tuple(exts)
-    return files.mapInPandas(lambda it: _expand(it, max_bytes, allowed), "file string, inner string, label string, text string")
+    return files.select("path", "content").mapInPandas(lambda it: _expand(it, max_bytes, allowed), "file string, inner string, label string, text string")
 
 
 def sized_files(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
