@@ -266,17 +266,18 @@ def _(c):
     return report.agg(F.sum("parsed").alias("parsed"), F.sum("corrupt").alias("corrupt"))
 
 
-@query("scan_tabs", views="sheet", sql="""SELECT tab, count(*) AS n, count(c7) AS makers, count(DISTINCT c2) AS names FROM sheet WHERE line_no >= 3 AND trim(coalesce(c0, '')) <> '' GROUP BY tab""")
+@query("scan_tabs", views="sheet", sql="""
+    SELECT tab, 'data' AS part, count(*) AS n, count(nullif(c7, '')) AS makers, max(row) AS last_row FROM (SELECT *, row_number() OVER (PARTITION BY tab ORDER BY line_no) AS row FROM sheet) WHERE line_no >= 3 AND trim(coalesce(c0, '')) <> '' GROUP BY tab
+    UNION ALL SELECT tab, 'directives', 8, count(*) FILTER (line_no = 2), 2 FROM sheet GROUP BY tab""")
 def _(c):
     path = c.scratch("tabs")
-    cells = [f"c{i}" for i in range(8)]
-    sheet = c.view("sheet").select("tab", "line_no", *cells)
-    # a tab is one file whose first lines matter: order and tab are fixed by the layout of the folder
-    sheet.repartition("tab").sortWithinPartitions("tab", "line_no").drop("line_no").write.partitionBy("tab").options(sep="\t", quoteAll=False, emptyValue="").csv(path)
-    raw = c.spark.read.options(**scan.TSV).schema("c0 STRING, c1 STRING, c2 STRING, c3 STRING, c4 STRING, c5 STRING, c6 STRING, c7 STRING, tab STRING").csv(path)
-    data = raw.where(F.trim(F.coalesce("c0", F.lit(""))).startswith("http"))
-    return data.groupBy("tab").agg(n(), F.count(F.nullif("c7", F.lit(""))).alias("makers"), F.count_distinct(F.nullif("c2", F.lit(""))).alias("x")).select(
-        "tab", "n", "makers", F.col("x").alias("names"))
+    sheet = c.view("sheet").select("tab", "line_no", *[f"c{i}" for i in range(8)])
+    # ranges of (tab, line) become files in line order
+    sheet.repartitionByRange("tab", "line_no").sortWithinPartitions("tab", "line_no").drop("line_no").write.partitionBy("tab").options(sep="\t", emptyValue="").csv(path)
+    data, dirs = scan.scan_tabs(c.spark, path + "/*/*.csv", 8, tab_regex="tab=([^/]*)/", multi_line=False)
+    a = data.groupBy("tab").agg(n(), F.count(F.nullif(F.col("cells")[7], F.lit(""))).alias("makers"), F.max("row").alias("last_row")).select("tab", F.lit("data").alias("part"), "n", "makers", "last_row")
+    b = dirs.groupBy("tab").agg(n(), F.max((F.col("directive") == "ID").cast("bigint")).alias("makers")).select("tab", F.lit("directives").alias("part"), "n", "makers", F.lit(2).cast("bigint").alias("last_row"))
+    return a.unionByName(b)
 
 
 VIEWS["registration_sheet"] = """SELECT c_custkey AS row_no, 'https://kg.example.org/ont/Dataset' AS `TYPE`, CASE WHEN c_nationkey = 1 THEN 'GitHub' ELSE '' END AS `Source`, CASE c_nationkey WHEN 2 THEN '# note' WHEN 3 THEN '' WHEN 4 THEN 'https://other.example.org/x'
@@ -349,7 +350,7 @@ def _(c):
 
 @query("graph_provenance", graphs="files", sql=f"""
     WITH g AS (SELECT graph, max(CASE WHEN p = 'rdf:type' AND o = 'ont:Event' THEN 1 ELSE 0 END) AS bad FROM quads GROUP BY graph)
-    SELECT graph || '/validation' AS s, 'status: ' || CASE WHEN bad = 1 THEN 'INCONSISTENT' ELSE 'consistent' END || chr(10) || 'checked_at: 2026-01-31' || chr(10) || 'summary: ' || CASE WHEN bad = 1 THEN 'clash' ELSE 'ok' END AS o, 23 + bad AS triples FROM g""")
+    SELECT graph || '/validation' AS s, 'status: ' || CASE WHEN bad = 1 THEN 'INCONSISTENT' ELSE 'consistent' END || chr(10) || 'checked_at: 2026-01-31' || chr(10) || 'summary: ' || CASE WHEN bad = 1 THEN 'clash' ELSE 'ok' END AS o, 21 + bad AS triples FROM g""")
 def _(c):
     hot = F.max(F.when((F.col("p") == "http://www.w3.org/1999/02/22-rdf-syntax-ns#type") & (F.col("o") == TERMS.event), 1).otherwise(0))
     g = c.quads.groupBy("graph").agg((hot == 0).alias("consistent"))
@@ -364,7 +365,7 @@ def _(c):
 
 @query("dump_metadata", sql="""
     WITH f AS (SELECT 'b:dump/' || o_orderpriority || '/' || substr(CAST(o_orderdate AS VARCHAR), 1, 7) AS dump, o_orderpriority AS stage, substr(CAST(o_orderdate AS VARCHAR), 1, 7) AS version, count(*) AS n FROM orders GROUP BY 1, 2, 3)
-    SELECT dump || '/file' AS s, CASE WHEN stage = '5-LOW' THEN dump || '/download' ELSE 'https://doi.org/10.1/' || version END AS url, n AS triples, 13 AS rows FROM f""")
+    SELECT dump || '/file' AS s, CASE WHEN stage = '5-LOW' THEN dump || '/download' ELSE 'https://doi.org/10.1/' || version END AS url, n AS triples, 12 AS rows FROM f""")
 def _(c):
     o = c.t("orders").select(F.col("o_orderpriority").alias("stage"), F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("version"))
     f = o.groupBy("stage", "version").agg(n("triples")).withColumn("dump", F.concat(F.lit(BASE + "dump/"), "stage", F.lit("/"), "version"))
@@ -389,7 +390,7 @@ def _file_facts(c, quads):
 @query("void_description", graphs="files", sql=f"""
     WITH st AS ({STATS_SQL}), d AS (SELECT 'b:file/' || CAST(doc_id AS VARCHAR) AS graph, source, lang, 'b:source/' || source AS subject FROM documents JOIN st ON st.graph = 'b:file/' || CAST(doc_id AS VARCHAR)),
     cp AS (SELECT graph, count(DISTINCT CASE WHEN p = 'rdf:type' THEN o END) AS nc, count(DISTINCT p) AS np FROM quads GROUP BY graph),
-    per AS (SELECT graph AS g, 25 + 3 * (nc + np) + CASE WHEN lang <> 'de' THEN 0 ELSE 0 END AS n FROM d JOIN cp USING (graph)),
+    per AS (SELECT graph AS g, 26 + 3 * (nc + np) AS n FROM d JOIN cp USING (graph)),
     reg AS (SELECT 'urn:default' AS g, CAST(sum(11 + CASE WHEN lang <> 'de' THEN 5 ELSE 0 END) + (SELECT sum(4 + CASE WHEN source <> 'src1' THEN 1 ELSE 0 END) FROM (SELECT DISTINCT source FROM d)) AS BIGINT) AS n FROM d)
     SELECT g AS graph, n FROM per UNION ALL SELECT * FROM reg""")
 def _(c):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from kgspark.functions.scalars import RDF_EXTENSIONS, infer_source, literal_int
 from kgspark.functions.text import fix_mojibake
 from kgspark.model import LABEL, OWL, QUAD_COLS, TYPE
+from kgspark.operators.ordinal import with_ordinal
 
 # task functions travel with the job; executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,30 +31,30 @@ def _wide(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n)])
 
 
-def scan_tabs(spark: SparkSession, path: str, columns: int, repair: bool = False, scope: str = "cell") -> tuple[DataFrame, DataFrame]:
+def scan_tabs(spark: SparkSession, path: str, columns: int, repair: bool = False, scope: str = "cell",
+              tab_regex: str = r"([^/]*?)(\.[^./]*)?$", multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """Tabs (tab, tab_order, row, cells) and directives (tab, col, header, directive).
 
-    Row 1 of every file is the header, row 2 the directives, data follows; data rows need a
-    first cell, and a tab of fewer than 3 rows is empty. The row position comes from the
-    file, so reading needs no order across files. ``scope='file'`` repairs a tab only when no
-    character of it lies above U+00FF.
+    Row 1 of a tab is the header, row 2 the directives, data follows; data rows need a first
+    cell, and a tab of fewer than 3 rows is empty. The tab name is group 1 of ``tab_regex`` on
+    the file path; a tab may consist of several files, in file-name order. Rows are numbered
+    by (file, block, position), so large tabs are read in splits when ``multi_line`` is off.
+    ``scope='file'`` repairs a tab only when no character of it lies above U+00FF.
     """
-    raw = spark.read.options(**TSV).schema(_wide(columns)).csv(path)
-    raw = raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("tab"),
-                     F.monotonically_increasing_id().alias("__id"),
-                     F.array(*[f"c{i}" for i in range(columns)]).alias("cells"))
-    # multi-line files are read whole by one task, so ids inside a file are consecutive
-    first = raw.groupBy("tab").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
-    rows = raw.join(first, "tab").withColumn("row", (F.col("__id") - F.col("__first") + 1).cast("bigint"))
+    raw = spark.read.options(**{**TSV, "multiLine": multi_line}).schema(_wide(columns)).csv(path)
+    raw = raw.select(F.regexp_extract(F.col("_metadata.file_path"), tab_regex, 1).alias("tab"),
+                     F.concat(F.col("_metadata.file_name"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")).alias("__at"),
+                     F.monotonically_increasing_id().alias("__id"), F.array(*[f"c{i}" for i in range(columns)]).alias("cells"))
+    sizes = raw.groupBy("tab").agg(F.count(F.lit(1)).alias("__rows"))
+    rows = with_ordinal(raw, ["__id"], F.col("__at"), "row", by=["tab"]).join(sizes, "tab").drop("__at", "__id")
     if repair:
-        fixed = F.transform("cells", lambda c: c)
         if scope == "file":
             wide = F.exists("cells", lambda c: F.coalesce(c, F.lit("")).rlike("[^\u0000-ÿ]"))
             ok = rows.groupBy("tab").agg((~F.bool_or(wide)).alias("__fix"))
             rows = rows.join(ok, "tab")
         else:
             rows = rows.withColumn("__fix", F.lit(True))
-        long = rows.select("tab", "row", "__rows", "__fix", F.posexplode(fixed).alias("i", "v"))
+        long = rows.select("tab", "row", "__rows", "__fix", F.posexplode("cells").alias("i", "v"))
         long = long.withColumn("v", F.when(F.col("__fix"), fix_mojibake("v")).otherwise(F.col("v")))
         rows = long.groupBy("tab", "row", "__rows").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("x")).withColumn(
             "cells", F.transform("x", lambda x: x["v"]))
@@ -201,7 +202,8 @@ def parse_records(df: DataFrame, column: str = "value") -> DataFrame:
                   F.from_json(F.get_json_object(v, "$.files.entries"), f"MAP<STRING, {FILE}>").alias("as_map"))
     named = F.transform(F.map_entries("as_map"), lambda e: F.struct(
         F.coalesce(e["value"]["key"], e["key"]).alias("key"), e["value"]["filename"].alias("filename"), e["value"]["checksum"].alias("checksum"), e["value"]["links"].alias("links")))
-    r = r.withColumn("__files", F.coalesce(F.filter("as_list", lambda x: x["links"].isNotNull() | x["checksum"].isNotNull()), named))
+    listed = F.filter("as_list", lambda x: x["links"].isNotNull() | x["checksum"].isNotNull())
+    r = r.withColumn("__files", F.coalesce(F.when(F.size(listed) > 0, listed), named))
     f = r.select("r.*", F.explode_outer("__files").alias("f"))
     return f.select(F.col("id").cast("string").alias("id"), "conceptrecid", F.col("metadata.title").alias("title"), F.col("metadata.upload_type").alias("upload_type"),
                     F.col("metadata.resource_type.type").alias("resource_type"), F.coalesce("f.key", "f.filename").alias("file_key"), F.col("f.checksum").alias("checksum"),
