@@ -54,12 +54,14 @@ class Catalog:
     # --- people ---------------------------------------------------------------------------
     @cached_property
     def people(self) -> DataFrame:
-        """(ord, side, pos, role, name, email, iri); nameless people of a role share one key."""
+        """(role, name, email, first, last, iri): each mention once, with its first and last place
+        in record order. Repeats are folded before anything is minted; nameless people of a
+        role share one key."""
         parts = []
         for side, role in enumerate(("contact", "contributor")):
             z = zip_lists(self.records.select("ord", f"{role}_name", f"{role}_email"), {"name": f"{role}_name", "email": f"{role}_email"}, keep_blanks=self.keep_blanks)
-            parts.append(z.select("ord", F.lit(side).alias("side"), "pos", F.lit(role).alias("role"), "name", "email"))
-        out = parts[0].unionByName(parts[1])
+            parts.append(z.select(F.struct("ord", F.lit(side).alias("side"), "pos").alias("at"), F.lit(role).alias("role"), "name", "email"))
+        out = parts[0].unionByName(parts[1]).groupBy("role", "name", "email").agg(F.min("at").alias("first"), F.max("at").alias("last"))
         return out.withColumn("iri", self.mint(F.concat_ws("|", "name", "role")))
 
     @cached_property
@@ -102,7 +104,7 @@ class Catalog:
         p = self.people
         key = F.concat_ws("|", "name", "role")
         shown = F.coalesce(F.nullif("name", F.lit("")), F.nullif("email", F.lit("")), key)
-        lab = p.groupBy("iri").agg(F.min_by(shown, F.struct("ord", "side", "pos")).alias("label"), F.min("name").alias("n"))
+        lab = p.groupBy("iri").agg(F.min_by(shown, "first").alias("label"), F.min("name").alias("n"))
         links = p.select("iri", F.explode(F.array(self.email_iri("email"), self._written("name"))).alias("d")).where("d <> ''").distinct()
         # a person's own distinct addresses and names, as one cell
         cell = links.groupBy("iri").agg(F.array_join(F.array_sort(F.collect_list("d")), ";").alias("denoted_by"))
@@ -113,10 +115,11 @@ class Catalog:
         return F.when(F.col(c) != "", self.mint(F.concat(F.lit("written-name|"), F.col(c)))).otherwise("")
 
     def emails(self) -> DataFrame:
-        e = self.people.select("ord", "side", "pos", F.col("email").alias("value")).unionByName(
-            self.publishers.select("ord", F.lit(2).alias("side"), "pos", F.col("email").alias("value")))
+        at = F.struct("ord", F.lit(2).alias("side"), "pos")
+        pub = self.publishers.groupBy(F.col("email").alias("value")).agg(F.max(at).alias("last"))
+        e = self.people.select(F.col("email").alias("value"), "last").unionByName(pub)
         e = e.where("value <> ''").withColumn("iri", self.mint(F.lower("value")))
-        return self._named(self._last(e, "value", "ord", "side", "pos"), self.terms.email)
+        return self._named(self._last(e, "value", "last"), self.terms.email)
 
     def websites(self) -> DataFrame:
         w = self.publishers.where("uri <> ''").select(self.mint("uri").alias("iri"), F.col("uri").alias("value")).distinct()

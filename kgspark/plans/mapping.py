@@ -68,6 +68,7 @@ SOURCES = {
 }
 
 RULES: list[Rule] = []
+RULES_PER_SCAN = 4
 
 
 def entity(graph: str, src: str, s: str, *props, where=None, distinct=False, s_kind="iri") -> None:
@@ -429,27 +430,25 @@ class Tables:
 
         return self.spark.sql(re.sub(r"\{(\w+)\}", name, text))
 
-    def derive(self, graph: str) -> DataFrame:
-        """The quads of one group of graphs, straight from the tables. The rules of one source
-        are exploded from one scan; those that must be made distinct stay narrow branches."""
-        return self.sql(grouped_sql([graph]))
-
-    def stored(self, graph: str) -> str:
-        """Folder of the loaded quads of a group of graphs; loaded on first use.
+    def stored(self, *graphs: str) -> list[str]:
+        """Folders of the loaded quads of groups of graphs; missing ones are loaded in one job.
 
         Files are sorted by predicate and subject, so a filter on the predicate skips row
-        groups. There is no shuffle: the load writes where it reads.
+        groups. There is no shuffle beyond that of the distinct rules: the load writes where
+        it reads.
         """
-        key = (self.spark.sparkContext.applicationId, self.dir, graph)
-        if key not in _LOADED:
-            path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{uuid.uuid4().hex}/{graph}"
-            self.derive(graph).sortWithinPartitions("p", "s").write.parquet(path)
-            _LOADED[key] = path
-        return _LOADED[key]
+        key = lambda g: (self.spark.sparkContext.applicationId, self.dir, g)
+        missing = [g for g in graphs if key(g) not in _LOADED]
+        if missing:
+            path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{uuid.uuid4().hex}"
+            parts = self.sql("\nUNION ALL ".join(f"SELECT *, '{g}' AS part FROM ({grouped_sql([g])})" for g in missing))
+            parts.sortWithinPartitions("part", "p", "s").write.partitionBy("part").parquet(path)
+            _LOADED.update({key(g): f"{path}/part={g}" for g in missing})
+        return [_LOADED[key(g)] for g in graphs]
 
     def quads(self, *graphs: str, preds: tuple | None = None) -> DataFrame:
         """The quads of the named graphs as one scan, on request only some predicates."""
-        df = self.spark.read.schema(QUAD).parquet(*[self.stored(g) for g in graphs or ALL_GRAPHS])
+        df = self.spark.read.schema(QUAD).parquet(*self.stored(*(graphs or ALL_GRAPHS)))
         return df.where(F.col("p").isin([expand(p) for p in preds])) if preds else df
 
 
@@ -478,7 +477,9 @@ def grouped_sql(graphs) -> str:
     for r in rules:
         if not r.distinct:
             groups.setdefault(r.src, []).append(r)
-    for src, members in groups.items():
+    # a few rules per scan: generated code for longer arrays grows past what the JVM compiles
+    batches = [(src, m[i:i + RULES_PER_SCAN]) for src, m in groups.items() for i in range(0, len(m), RULES_PER_SCAN)]
+    for src, members in batches:
         structs = []
         for r in members:
             one = f"named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, {e}' for c, e in zip(QUAD_COLS, r.cols))})"
