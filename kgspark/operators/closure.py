@@ -314,43 +314,51 @@ def owlrl_closure(triples: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame
     inter = materialize(pairs("intersectionOf", "c", "l").join(members, "l").select("c", "member").distinct(), "inter")
     inter_size = inter.groupBy("c").agg(F.count(F.lit(1)).alias("need"))
 
+    # a rule whose schema side holds nothing is left out of every round
+    has = {k: not d.isEmpty() for k, d in {"inverse": inv, "value": has_value, "some": some, "union": union_of, "inter": inter,
+                                           "transitive": transitive, "functional": functional, "inverse_functional": inverse_functional}.items()}
     types = lambda d: d.where((F.col("p") == TYPE) & is_node())
+    typing = lambda df: df.select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c")))
     all_rows, same = materialize(base.unionByName(_sub_rows(schema)).distinct(), "owl"), None
     delta = all_rows
     for _ in range(max_rounds):
         nodes, d_types, a_types = delta.where(is_node()), types(delta), types(all_rows)
-        typing = lambda df: df.select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c")))
-        out = [
-            rdfs_inferred(delta, schema),
-            nodes.join(inv, "p").select(*node_triples(F.col("o"), F.col("q"), F.col("s"))),
-            # x type R, R hasValue v on p -> x p v, and back
-            d_types.select("s", F.col("o").alias("r")).join(has_value, "r").select(
+        out = [rdfs_inferred(delta, schema)]
+        if has["inverse"]:
+            out.append(nodes.join(inv, "p").select(*node_triples(F.col("o"), F.col("q"), F.col("s"))))
+        if has["value"]:  # x type R, R hasValue v on p -> x p v, and back
+            out.append(d_types.select("s", F.col("o").alias("r")).join(has_value, "r").select(
                 "s", F.when(F.startswith("s", F.lit("_:")), "bnode").otherwise("iri").alias("s_kind"), "p", F.col("v").alias("o"),
-                F.col("vk").alias("o_kind"), F.col("vd").alias("o_datatype"), F.col("vl").alias("o_lang")),
-            typing(delta.join(has_value, (delta["p"] == has_value["p"]) & (F.col("o") == F.col("v")) & (F.col("o_kind") == F.col("vk"))
-                              & F.col("o_datatype").eqNullSafe(F.col("vd")) & (F.col("o_lang") == F.col("vl"))).select("s", F.col("r").alias("c"))),
-            typing(d_types.join(union_of, F.col("o") == F.col("member")).select("s", "c")),
-            # a subject with every member class of an intersection; the other way round each member
-            typing(semi(a_types, d_types, "s").select("s", F.col("o").alias("member")).join(inter, "member").groupBy("s", "c").agg(
-                F.count_distinct("member").alias("n")).join(inter_size, "c").where("n = need").select("s", "c")),
-            typing(d_types.join(inter, F.col("o") == F.col("c")).select("s", F.col("member").alias("c"))),
-        ]
+                F.col("vk").alias("o_kind"), F.col("vd").alias("o_datatype"), F.col("vl").alias("o_lang")))
+            out.append(typing(delta.join(has_value, (delta["p"] == has_value["p"]) & (F.col("o") == F.col("v")) & (F.col("o_kind") == F.col("vk"))
+                              & F.col("o_datatype").eqNullSafe(F.col("vd")) & (F.col("o_lang") == F.col("vl"))).select("s", F.col("r").alias("c"))))
+        if has["union"]:
+            out.append(typing(d_types.join(union_of, F.col("o") == F.col("member")).select("s", "c")))
+        if has["inter"]:  # every member class gives the intersection, the intersection gives each member
+            out.append(typing(semi(a_types, d_types, "s").select("s", F.col("o").alias("member")).join(inter, "member").groupBy("s", "c").agg(
+                F.count_distinct("member").alias("n")).join(inter_size, "c").where("n = need").select("s", "c")))
+            out.append(typing(d_types.join(inter, F.col("o") == F.col("c")).select("s", F.col("member").alias("c"))))
         for left, right in ((delta, all_rows), (all_rows, delta)):
-            l = left.where(is_node()).join(transitive, "p").select("s", "p", F.col("o").alias("m"))  # noqa: E741
-            r = right.where(is_node()).select(F.col("s").alias("m"), "p", "o")
-            out.append(l.join(r, ["p", "m"]).select(*node_triples(F.col("s"), F.col("p"), F.col("o"))))
-            x = left.where(is_node()).select("s", "p", F.col("o").alias("y")).join(some, "p")
-            y = types(right).select(F.col("s").alias("y"), F.col("o").alias("c"))
-            thing = x.where(F.col("c") == OWL + "Thing").select("s", F.col("r").alias("c"))
-            out.append(typing(x.join(y, ["y", "c"]).select("s", F.col("r").alias("c")).unionByName(thing)))
+            if has["transitive"]:
+                a = left.where(is_node()).join(transitive, "p").select("s", "p", F.col("o").alias("m"))
+                b = right.where(is_node()).select(F.col("s").alias("m"), "p", "o")
+                out.append(a.join(b, ["p", "m"]).select(*node_triples(F.col("s"), F.col("p"), F.col("o"))))
+            if has["some"]:
+                x = left.where(is_node()).select("s", "p", F.col("o").alias("y")).join(some, "p")
+                y = types(right).select(F.col("s").alias("y"), F.col("o").alias("c"))
+                thing = x.where(F.col("c") == OWL + "Thing").select("s", F.col("r").alias("c"))
+                out.append(typing(x.join(y, ["y", "c"]).select("s", F.col("r").alias("c")).unionByName(thing)))
         new = materialize(subtract(_union(out).distinct(), all_rows), "owl")
         grown = _union([all_rows, new])
         # equal nodes: asserted, two objects of a functional, two subjects of an inverse functional property
         eq = grown.where((F.col("p") == SAME_AS) & is_node()).select(F.col("s").alias("a"), F.col("o").alias("b"))
         g = grown.where(is_node())
-        f = g.join(functional, "p").select("s", "p", "o")
-        fi = g.join(inverse_functional, "p").select(F.col("o").alias("s"), "p", F.col("s").alias("o"))
-        for d in (f, fi):
+        clashes = []
+        if has["functional"]:
+            clashes.append(g.join(functional, "p").select("s", "p", "o"))
+        if has["inverse_functional"]:
+            clashes.append(g.join(inverse_functional, "p").select(F.col("o").alias("s"), "p", F.col("s").alias("o")))
+        for d in clashes:
             low = d.groupBy("s", "p").agg(F.min("o").alias("b"))
             eq = eq.unionByName(d.join(low, ["s", "p"]).where("o <> b").select(F.col("o").alias("a"), "b"))
         eq = materialize(eq.where("a <> b").distinct(), "eq")

@@ -166,8 +166,13 @@ def _recombined(c):
     return out.groupBy("graph").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("schema_module", graphs="datasets ontology")
+@query("schema_module", graphs="datasets ontology", sql=f"""
+    WITH onto AS (SELECT DISTINCT {TRIPLE} FROM quads WHERE graph = 'g:ontology'), d AS (SELECT * FROM quads WHERE graph = 'g:datasets'),
+    n AS (SELECT term AS node FROM (SELECT s AS term FROM d WHERE s_kind = 'iri' UNION SELECT p FROM d UNION SELECT o FROM d WHERE o_kind = 'iri')
+      WHERE NOT starts_with(term, 'b:dataset') AND NOT starts_with(term, 'b:title') AND NOT starts_with(term, 'owl:')
+      UNION SELECT q.o FROM n JOIN onto q ON q.s = n.node AND q.p <> 'rdf:type' AND q.{NODE})
+    SELECT s, p, o, o_lang FROM onto WHERE s IN (SELECT node FROM n)""")
 def _(c):
     onto = c.graph("ontology")
     used = C.term_signature(c.graph("datasets"), [BASE + "dataset", BASE + "title", OWL])
-    return C.schema_module(onto, used)
+    return C.schema_module(onto, used).select("s", "p", "o", "o_lang")

@@ -36,6 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

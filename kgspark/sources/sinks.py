@@ -10,7 +10,7 @@ from kgspark.functions.scalars import graph_stem, nt_line
 from kgspark.model import METRIC_TABLES, QUAD_COLS
 from kgspark.operators.ordinal import chunk_lines
 from kgspark.operators.pattern import latest, strip_bnodes
-from kgspark.session import materialize
+from kgspark.session import materialize, path_exists
 
 
 # --- metric tables -----------------------------------------------------------------------------
@@ -79,11 +79,8 @@ def publish_graphs(quads: DataFrame, path: str, delete_first: bool = True, bucke
     if not delete_first:
         new.write.mode("append").partitionBy("graph_bucket").parquet(path)
         return
-    try:
+    if path_exists(spark, path):
         old = spark.read.parquet(path)
-    except Exception:  # nothing published yet
-        old = None
-    if old is not None:
         new = materialize(new, "publish")
         touched = new.select("graph_bucket").distinct()
         gone = new.select("graph").distinct()

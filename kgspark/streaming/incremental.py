@@ -12,23 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kgspark.operators.harvest import change_detect
 from kgspark.sources.scan import scan_state
 from kgspark.sources.sinks import publish_graphs
+from kgspark.session import path_exists
 
 STATE = "graph_iri STRING, sha256 STRING, version STRING, harvested_at STRING, registered_from STRING"
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Complete state versions below ``root`` (those with a success marker)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    if not path_exists(spark, root):
         return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[1:]))
-    return sorted(out)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(path)]
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and path_exists(spark, f"{root}/{n}/_SUCCESS"))
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
