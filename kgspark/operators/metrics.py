@@ -39,13 +39,17 @@ def instance_counts(quads: DataFrame) -> DataFrame:
     return quads.where(F.col("p") == TYPE).groupBy("graph", F.col("o").alias("class_iri")).agg(n_rows().alias("n"))
 
 
+def classes_in_use(quads: DataFrame, name: str) -> DataFrame:
+    return quads.where(F.col("p") == TYPE).select(F.col("o").alias(name)).distinct()
+
+
 def class_counts(quads: DataFrame, all_quads: DataFrame, limit: int | None = 200) -> DataFrame:
     """Instances per class with one English label. Counted before labels are joined, so a
     class with several labels is not counted several times."""
     base = instance_counts(quads)
     if limit:
         base = top_n(base, limit, ["graph"], ["-n", "class_iri"])
-    return optional(base, sample_labels(all_quads, "class_iri", "class_label")).select(
+    return optional(base, sample_labels(all_quads, "class_iri", "class_label", of=classes_in_use(quads, "class_iri"))).select(
         "graph", "class_iri", "class_label", F.col("n").alias("instances"))
 
 
@@ -62,9 +66,8 @@ def class_property_flow(quads: DataFrame, all_quads: DataFrame, limit: int = 300
         n_rows().alias("n"))
     flow = types.join(used, ["graph", "s"]).groupBy("graph", "source_iri", "target_iri").agg(
         F.sum("n").alias("value"))
-    lab = english_labels(all_quads, "iri", "label")
-    flow = optional(flow, lab.select(F.col("iri").alias("source_iri"), F.col("label").alias("sl")),
-                    lab.select(F.col("iri").alias("target_iri"), F.col("label").alias("tl")))
+    flow = optional(flow, english_labels(all_quads, "source_iri", "sl", of=classes_in_use(quads, "source_iri")),
+                    english_labels(all_quads, "target_iri", "tl", of=quads.select(F.col("p").alias("target_iri"))))
     flow = flow.select("graph", "source_iri", F.coalesce("sl", "source_iri").alias("source_label"), "target_iri",
                        F.coalesce("tl", "target_iri").alias("target_label"), "value")
     return top_n(flow, limit, ["graph"], ["-value", "source_iri", "target_iri", "source_label", "target_label"])
@@ -81,7 +84,7 @@ def dataset_type_counts(quads: DataFrame, all_quads: DataFrame, terms: Terms = T
 
 def top_concepts(quads: DataFrame, all_quads: DataFrame, n: int = 10) -> DataFrame:
     ranked = top_n(instance_counts(quads), n, ["graph"], ["-n", "class_iri"], rank="rank")
-    return optional(ranked, sample_labels(all_quads, "class_iri", "label")).select(
+    return optional(ranked, sample_labels(all_quads, "class_iri", "label", of=classes_in_use(quads, "class_iri"))).select(
         "graph", F.col("class_iri").alias("concept_iri"), F.coalesce("label", "class_iri").alias("concept_label"),
         F.col("n").alias("count"), F.col("rank").cast("bigint").alias("rank"))
 

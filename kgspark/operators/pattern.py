@@ -57,15 +57,23 @@ def labels(quads: DataFrame, a: str, b: str) -> DataFrame:
     return value(quads, LABEL, a, b)
 
 
-def english_labels(quads: DataFrame, a: str, b: str) -> DataFrame:
-    """Labels of the union of all graphs, English or untagged, each once."""
-    return value(quads, LABEL, a, b, cond=english("o_lang")).distinct()
+def _english(quads: DataFrame, a: str, b: str, of: DataFrame | None) -> DataFrame:
+    lab = value(quads, LABEL, a, b, cond=english("o_lang"))
+    return lab if of is None else lab.join(of.select(a).distinct(), a, "left_semi")
 
 
-def sample_labels(quads: DataFrame, a: str, b: str) -> DataFrame:
+def english_labels(quads: DataFrame, a: str, b: str, of: DataFrame | None = None) -> DataFrame:
+    """Labels of the union of all graphs, English or untagged, each once.
+
+    ``of`` names the nodes in question (column ``a``): labels of other nodes are dropped by a
+    semi join before they are shuffled, which matters where only classes are labelled.
+    """
+    return _english(quads, a, b, of).distinct()
+
+
+def sample_labels(quads: DataFrame, a: str, b: str, of: DataFrame | None = None) -> DataFrame:
     """One English label per node: the smallest, so that reruns agree."""
-    return quads.where((F.col("p") == LABEL) & english("o_lang")).groupBy(F.col("s").alias(a)).agg(
-        F.min("o").alias(b))
+    return _english(quads, a, b, of).groupBy(a).agg(F.min(b).alias(b))
 
 
 def via_node(quads: DataFrame, p: str, prop: str, a: str, b: str, cls: str | None = None,

@@ -218,13 +218,13 @@ def federated_people(q, other, identifier, employer, country, marker, strip, t:
 
 def concepts(q, cap=CAP):
     c = q.where((F.col("p") == TYPE)).select(F.col("o").alias("concept")).distinct()
-    return _done(optional(c, english_labels(q, "concept", "label")), "concept", "label", cap=cap)
+    return _done(optional(c, english_labels(q, "concept", "label", of=metrics.classes_in_use(q, "concept"))), "concept", "label", cap=cap)
 
 
 def entities_per_concept(q, cap=CAP):
     """Grouped by concept and label: a concept with several labels has a row for each."""
     n = union_graph(q).where(F.col("p") == TYPE).groupBy(F.col("o").alias("concept")).agg(F.count(F.lit(1)).alias("count"))
-    return order_limit(optional(n, english_labels(q, "concept", "label")).select("concept", "label", "count"), cap, "-count", "concept", "label")
+    return order_limit(optional(n, english_labels(q, "concept", "label", of=metrics.classes_in_use(q, "concept"))).select("concept", "label", "count"), cap, "-count", "concept", "label")
 
 
 def count_distinct(q, column: str, name: str, cond=None):
@@ -234,7 +234,7 @@ def count_distinct(q, column: str, name: str, cond=None):
 
 def top_properties(q, cap=10):
     n = union_graph(q).groupBy(F.col("p").alias("property")).agg(F.count(F.lit(1)).alias("count"))
-    return order_limit(optional(n, english_labels(q, "property", "label")).select("property", "label", "count"), cap, "-count", "property", "label")
+    return order_limit(optional(n, english_labels(q, "property", "label", of=q.select(F.col("p").alias("property")))).select("property", "label", "count"), cap, "-count", "property", "label")
 
 
 def out_degree(q, cap=10):

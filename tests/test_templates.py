@@ -67,7 +67,7 @@ def test_scalars(spark):
 
     assert one(S.date_mdy("d"), d="2024-01-31T10:00:00Z") == "01/31/2024" and one(S.date_mdy("d"), d="soon") == "soon" and one(S.date_mdy("d"), d="2024-13-99") == "2024-13-99"
     assert one(S.sanitize("x"), x=" a\tb \n  c ") == "a b c"
-    assert one(S.owner_repo("u"), u="https://github.com/ICAMS/calphy/tree/master") == "ICAMS/calphy" and one(S.owner_repo("u"), u="https://github.com/abinit") is None
+    assert one(S.owner_repo("u"), u="https://github.com/acme/tool/tree/master") == "acme/tool" and one(S.owner_repo("u"), u="https://github.com/acme") is None
     assert one(S.owner_repo("u"), u="git@github.com:o/r.git") == "o/r" and one(S.owner_repo("u"), u="https://github.com/orgs/settings") is None
     assert one(S.record_id("r"), r="https://doi.org/10.5281/zenodo.12") == "12" and one(S.record_id("r"), r="77") == "77" and one(S.record_id("r"), r="x") is None
     assert one(S.literal_int("v"), v="3.0") == 3 and one(S.literal_int("v"), v="many") == 0
