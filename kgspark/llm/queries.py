@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kgspark.llm import decontam, exactdup, neardup, packing, urlfilter
+from kgspark.llm import chat, decontam, exactdup, licenses, neardup, packing, secrets, shards, toxicity, urlfilter
 from kgspark.llm.common import table
+from kgspark.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +93,53 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.t) AS tex
 @query("op9_exact_dedup", SQL9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+_SAID = CONVERSATION[0][3]
+_LENGTH = "length(regexp_replace({0}, '(\\\\|### |</turn>)', '\\\\\\1', 'g'))"
+
+SQL6 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + {_LENGTH.format('role')} + {_LENGTH.format('text')}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op6_chat_formatting", SQL6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.union(spark.createDataFrame(CONVERSATION, "conv_id long, turn long, role string, text string"))
+    return chat.digests(chat.format_conversations(turns)).drop("n_tokens", "n_loss_tokens")
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = F.col("toxicity")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", t["severity"].alias("severity"), t["grade"].alias("grade"), t["p_toxic"].alias("p_toxic"),
+        t["rejected"].alias("rejected"), (~t["rejected"]).alias("kept"))
+
+
+@query("op2_secret_scans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scans")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_binary_output")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark).rstrip('/')}/kgspark/shards-{uuid.uuid4().hex}"
+    index = shards.materialise(table(spark, sf_dir, "documents"), path, key="training-order")
+    if index.isEmpty():
+        return index.withColumn("stored_crc32", F.lit(None).cast("long"))
+    return shards.verified(index, shards.read_records(spark, path))
