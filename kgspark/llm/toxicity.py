@@ -103,16 +103,16 @@ def sample_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     few = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("k")).agg(F.max(label_col).cast("int").alias("label"))
     few = few.orderBy(F.xxhash64("k"), "k").limit(sample)
     # at most ``sample`` ids: a broadcast of a known size
-    joined = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(few), "k").select("k", "label", "text")
+    joined = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(few), "k").select("k", "label", "text", F.xxhash64("text").alias("th"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [sorted(words(t.as_py())) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], ["k", "label", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(found, pa.list_(pa.string()))], ["k", "label", "th", "words"])
 
     kind = joined.schema["k"].dataType.simpleString()
-    stored = materialize(joined.mapInArrow(split, f"k {kind}, label int, words array<string>"), "labelled")
-    return stored.groupBy("words").agg(F.min("k").alias("k"), F.max("label").alias("label"))
+    stored = materialize(joined.mapInArrow(split, f"k {kind}, label int, th long, words array<string>"), "labelled")
+    return stored.groupBy("th", "words").agg(F.min("k").alias("k"), F.max("label").alias("label"))
 
 
 def grade(label: int, marked: int) -> int:
