@@ -1,13 +1,16 @@
 """Fixpoints over quads: transitive closure, ego subgraphs, rule closure, contradictions.
 
 Loops are semi-naive: each round joins only the rows found in the round before, the new rows
-are written to the shared folder, and a round without new rows ends the loop. A round limit
-raises an error; results are never cut short silently.
+are written to the shared folder, and a round without new rows ends the loop. There is no round
+limit unless a caller asks for one, which then raises an error; path lengths double from round to
+round, so a chain of n nodes takes about log2(n) rounds.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,7 +20,16 @@ from kgspark.model import (
 from kgspark.operators.pattern import order_limit, semi
 from kgspark.session import materialize
 
-MAX_ROUNDS = 50
+#: Single steps of a path search before it goes on with doubled steps.
+SINGLE_STEPS = 8
+
+
+def _rounds(limit: int | None, what: str) -> Iterator[int]:
+    """0, 1, 2, ... without end, or up to a limit the caller asked for."""
+    for i in itertools.count():
+        if limit is not None and i >= limit:
+            raise RuntimeError(f"{what} did not finish within {limit} rounds")
+        yield i
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -41,28 +53,36 @@ def hierarchy(quads: DataFrame, predicate: str) -> DataFrame:
         F.col("s").alias("a"), F.col("o").alias("b")).distinct()
 
 
-def transitive_closure(pairs: DataFrame, keys: tuple = (), max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def transitive_closure(pairs: DataFrame, keys: tuple = (), max_rounds: int | None = None) -> DataFrame:
     """All (a, b) reachable in one or more steps; ``keys`` keep separate graphs apart. A node
-    on a cycle reaches itself."""
+    on a cycle reaches itself.
+
+    A round joins the pairs found last with all pairs known: a pair at distance d has a node
+    in between at the longest distance known so far, so distances double.
+    """
     cols = [*keys, "a", "b"]
-    edges = materialize(pairs.where(F.col("a") != F.col("b")).select(cols).distinct(), "edges")
-    step = edges.select(*keys, F.col("a").alias("b"), F.col("b").alias("c"))
-    known, delta = [edges], edges
-    for _ in range(max_rounds):
+    delta = materialize(pairs.where(F.col("a") != F.col("b")).select(cols).distinct(), "edges")
+    known = [delta]
+    for _ in _rounds(max_rounds, "closure"):
+        every = _union(known)
+        step = every.select(*keys, F.col("a").alias("b"), F.col("b").alias("c"))
         found = delta.join(step, [*keys, "b"]).select(*keys, "a", F.col("c").alias("b")).distinct()
-        delta = materialize(found.join(_union(known), cols, "left_anti"), "closure")
+        delta = materialize(found.join(every, cols, "left_anti"), "closure")
         if delta.isEmpty():
-            return _union(known)
+            return every
         known.append(delta)
-    raise RuntimeError(f"closure did not finish within {max_rounds} rounds")
 
 
-def reach(edges: DataFrame, starts: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Nodes reachable from the start nodes over (a, b) edges in one or more steps."""
-    edges = edges.select("a", "b").distinct()
+def reach(edges: DataFrame, starts: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """Nodes reachable from the start nodes over (a, b) edges in one or more steps.
+
+    After ``SINGLE_STEPS`` steps a search that still finds nodes goes on over the edges between
+    unseen nodes with steps of 1, 2, 4, ... edges at once, so long chains end after few rounds.
+    """
+    edges = materialize(edges.select("a", "b").distinct(), "steps")
     frontier = starts.select(F.col(starts.columns[0]).alias("node")).distinct()
     seen: list[DataFrame] = []
-    for _ in range(max_rounds):
+    for i in _rounds(max_rounds, "path search"):
         nxt = edges.join(frontier, edges["a"] == frontier["node"]).select(F.col("b").alias("node")).distinct()
         if seen:
             nxt = nxt.join(_union(seen), "node", "left_anti")
@@ -70,15 +90,25 @@ def reach(edges: DataFrame, starts: DataFrame, max_rounds: int = MAX_ROUNDS) ->
         if nxt.isEmpty():
             return _union(seen) if seen else nxt
         seen.append(nxt)
-        frontier = nxt
-    raise RuntimeError(f"path search did not finish within {max_rounds} rounds")
+        if i < SINGLE_STEPS:
+            frontier = nxt
+            continue
+        # hops: walks of exactly 2^k edges that end outside what the single steps saw; frontier: all found since
+        if i == SINGLE_STEPS:
+            old = _union(seen[:-1]) if len(seen) > 1 else nxt.limit(0)
+            edges = materialize(edges.join(old.select(F.col("node").alias("b")), "b", "left_anti").select("a", "b"), "hops")
+            fresh = [nxt]
+        else:
+            edges = materialize(edges.join(edges.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select(
+                "a", F.col("c").alias("b")).distinct(), "hops")
+            fresh.append(nxt)
+        frontier = _union(fresh)
 
 
 def path_plus(quads: DataFrame, predicate: str, start: str) -> DataFrame:
     """``<start> predicate+ ?node``."""
     edges = quads.where((F.col("p") == predicate) & is_node()).select(F.col("s").alias("a"), F.col("o").alias("b"))
-    one = quads.sparkSession.sql(f"SELECT '{start}' AS node")
-    return reach(edges, one)
+    return reach(edges, quads.sparkSession.createDataFrame([(start,)], "node string"))
 
 
 def descendants(schema: DataFrame, classes: list[str]) -> DataFrame:
@@ -93,7 +123,7 @@ def descendants(schema: DataFrame, classes: list[str]) -> DataFrame:
 
 def ego_subgraph(triples: DataFrame, centers: list[str], hops: int = 2, limit: int | None = 5000,
                  direction: str = "both", exclude: DataFrame | None = None,
-                 max_rounds: int = MAX_ROUNDS) -> DataFrame:
+                 max_rounds: int | None = None) -> DataFrame:
     """Triples around the centres; ``hops=h`` runs h+1 rounds, -1 runs until nothing is new.
 
     ``exclude`` holds schema nodes (column s): triples touching one are left out. The cap
@@ -108,7 +138,7 @@ def ego_subgraph(triples: DataFrame, centers: list[str], hops: int = 2, limit: i
     frontier = spark.createDataFrame([(c,) for c in centers], "node string")
     seen, found, depth = [frontier], [], 0
     while hops < 0 or depth <= hops:
-        if depth >= max_rounds:
+        if max_rounds is not None and depth >= max_rounds:
             raise RuntimeError(f"subgraph did not finish within {max_rounds} rounds")
         sides = []
         if direction in ("out", "both"):
@@ -254,13 +284,13 @@ def inverse_materialise(quads: DataFrame, schema_triples: DataFrame, keys: tuple
         *node_triples(F.col("o"), F.col("pb"), F.col("s"), *keys)).distinct()
 
 
-def components(pairs: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def components(pairs: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(node, rep): smallest node of each connected component. Labels spread by minimum, which
     combines before the shuffle, and jump along the label found so far."""
     edges = pairs.where(F.col("a") != F.col("b"))
     edges = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "same")
     lab = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("rep")), "rep")
-    for _ in range(max_rounds):
+    for _ in _rounds(max_rounds, "components"):
         near = edges.join(lab, edges["b"] == lab["node"]).groupBy(F.col("a").alias("node")).agg(F.min("rep").alias("near"))
         step = lab.join(near, "node").select("node", "rep", F.least("rep", "near").alias("cand"))
         hop = lab.select(F.col("node").alias("cand"), F.col("rep").alias("hop"))
@@ -269,7 +299,6 @@ def components(pairs: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
         lab = new.select("node", "rep")
         if new.where("rep <> old").isEmpty():
             return lab
-    raise RuntimeError(f"components did not finish within {max_rounds} rounds")
 
 
 def rewrite(triples: DataFrame, reps: DataFrame) -> DataFrame:
@@ -289,7 +318,7 @@ def list_members(triples: DataFrame) -> DataFrame:
         rest.join(first, "b").select(F.col("a").alias("l"), "member")).distinct()
 
 
-def owlrl_closure(triples: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def owlrl_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """RDFS plus inverse, symmetric, transitive, functional, equivalence, sameAs, hasValue,
     someValuesFrom, intersection and union rules, to the fixpoint.
 
@@ -321,7 +350,7 @@ def owlrl_closure(triples: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame
     typing = lambda df: df.select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c")))
     all_rows, same = materialize(base.unionByName(_sub_rows(schema)).distinct(), "owl"), None
     delta = all_rows
-    for _ in range(max_rounds):
+    for _ in _rounds(max_rounds, "rule closure"):
         nodes, d_types, a_types = delta.where(is_node()), types(delta), types(all_rows)
         out = [rdfs_inferred(delta, schema)]
         if has["inverse"]:
@@ -376,8 +405,7 @@ def owlrl_closure(triples: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame
             continue
         if new.isEmpty():
             return all_rows
-        all_rows, delta = materialize(grown, "owl"), new
-    raise RuntimeError(f"rule closure did not finish within {max_rounds} rounds")
+        all_rows, delta = grown, new
 
 
 # --- contradictions and isolation -------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,13 @@ def build_session(app: str = "kgspark", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where a session names none (single-machine tests) a temporary one is set.
+    Only where a local session names none (tests) a temporary one is set; on a cluster that is an error,
+    because executors do not see the driver's folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         d = spark.sparkContext.getCheckpointDir()
     return d
@@ -41,6 +45,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

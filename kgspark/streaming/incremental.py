@@ -1,59 +1,78 @@
 """Incremental jobs on Structured Streaming: change detection, re-sync, snapshots, upserts.
 
-State is a table in the shared folder. Each batch writes a new version under its batch id and
-the newest complete version is the state, so a batch repeated after a failure writes the same
-version again.
+State is a table in the shared folder. Each batch writes a new version, numbered after all stored
+ones and named by its run (the streaming checkpoint) and batch; the newest complete version is the
+state. A batch repeated after a failure finds its own name and writes the same version again.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kgspark.operators.harvest import change_detect
 from kgspark.sources.scan import scan_state
-from kgspark.sources.sinks import publish_graphs
-from kgspark.session import path_exists
+from kgspark.sources.sinks import publish_graphs, read_graphs
+from kgspark.session import path_exists, remove_path
 
 STATE = "graph_iri STRING, sha256 STRING, version STRING, harvested_at STRING, registered_from STRING"
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete state versions below ``root`` (those with a success marker)."""
+def _run_id(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+
+def _versions(spark: SparkSession, root: str, complete: bool = True) -> list[tuple[int, str, int]]:
+    """(version, run, batch) of the stored states below ``root``, oldest first."""
     if not path_exists(spark, root):
         return []
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [st.getPath().getName() for st in fs.listStatus(path)]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and path_exists(spark, f"{root}/{n}/_SUCCESS"))
+    return sorted((int(v[1:]), run, int(batch)) for n in names if n.startswith("v") and (not complete or path_exists(spark, f"{root}/{n}/_SUCCESS"))
+                  for v, run, batch in [n.split("-")])
+
+
+def _name(version: tuple[int, str, int]) -> str:
+    return f"v{version[0]}-{version[1]}-{version[2]}"
+
+
+def next_version(spark: SparkSession, root: str, run: str, batch: int) -> tuple[int, str, int]:
+    """The version a batch writes: its own if it began before, else one after all others."""
+    stored = _versions(spark, root, complete=False)
+    return next((v for v in stored if v[1:] == (run, batch)), (max((v[0] for v in stored), default=-1) + 1, run, batch))
 
 
-def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    vs = [v for v in _versions(spark, root) if before is None or v < before]
-    return scan_state(spark, f"{root}/v{vs[-1]}", STATE) if vs else spark.createDataFrame([], STATE)
+def read_state(spark: SparkSession, root: str, before: int | None = None, run: str | None = None) -> DataFrame:
+    """The newest state, on request only up to a version or of one run."""
+    vs = [v for v in _versions(spark, root) if (before is None or v[0] < before) and (run is None or v[1] == run)]
+    return scan_state(spark, f"{root}/{_name(vs[-1])}", STATE) if vs else spark.createDataFrame([], STATE)
 
 
 def run_change_detection(spark: SparkSession, landing: str, state_root: str, report: str, checkpoint: str,
                          resync: bool = False, max_files: int | None = None) -> None:
     """Take in landed harvest files and classify every graph against the remembered state.
 
-    Each run reads the files new since the last one. A full re-sync ignores the prior state
-    and needs its own checkpoint.
+    Each run reads the files new since the last one. A full re-sync ignores the states of other runs
+    (not those of its own earlier batches) and needs its own checkpoint; later runs go on from its state.
     """
     reader = spark.readStream.schema(STATE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    run = _run_id(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        version = run_base + batch_id
-        prior = spark.createDataFrame([], STATE) if resync else read_state(spark, state_root, version)
+        version = next_version(spark, state_root, run, batch_id)
+        prior = read_state(spark, state_root, version[0], run if resync else None)
         newest = batch.groupBy("graph_iri").agg(F.max_by(F.struct(*batch.columns[1:]), F.struct("harvested_at", "sha256")).alias("r")).select("graph_iri", "r.*")
         touched = prior.join(newest.select("graph_iri"), "graph_iri", "left_semi")
         # a file batch is a part of the world: graphs it does not mention keep their state
-        change_detect(newest, touched).withColumn("batch", F.lit(version)).write.mode("overwrite").parquet(f"{report}/batch={version}")
+        change_detect(newest, touched).withColumn("batch", F.lit(version[0])).write.mode("overwrite").parquet(f"{report}/batch={version[0]}")
         rest = prior.join(newest.select("graph_iri"), "graph_iri", "left_anti")
-        newest.unionByName(rest.select(newest.columns)).write.mode("overwrite").parquet(f"{state_root}/v{version}")
+        newest.unionByName(rest.select(newest.columns)).write.mode("overwrite").parquet(f"{state_root}/{_name(version)}")
 
-    run_base = 0 if not resync else (max(_versions(spark, state_root), default=-1) + 1)
     q = (reader.json(landing).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -81,11 +100,31 @@ def run_daily_snapshots(spark: SparkSession, landing: str, schema: str, out: str
     q.awaitTermination()
 
 
-def run_upsert(spark: SparkSession, landing: str, schema: str, table: str, checkpoint: str) -> None:
-    """Graphs in each batch replace their stored content; repeating a batch changes nothing."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        publish_graphs(batch.distinct(), table, delete_first=True)
+def run_upsert(spark: SparkSession, landing: str, schema: str, table: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Graphs in a run replace their stored content; repeating a batch or a run changes nothing.
+
+    A graph whose rows come in several batches of a run is replaced by the first and added to by the
+    others: the graphs of each batch are noted beside the table before it is published.
+    """
+    log = f"{table.rstrip('/')}-runs"
+    opened = f"{log}/open-{_run_id(checkpoint)}"  # there while a run is under way: one that failed goes on under its id
+    if not path_exists(spark, f"{opened}/_SUCCESS"):
+        spark.createDataFrame([(uuid.uuid4().hex[:12],)], "value string").coalesce(1).write.mode("overwrite").text(opened)
+    run = spark.read.text(opened).first()["value"]
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
-    q = (spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(step)
+    def step(batch: DataFrame, batch_id: int) -> None:
+        new = batch.distinct()
+        new.select("graph").distinct().write.mode("overwrite").parquet(f"{log}/{run}/batch={batch_id}")
+        earlier = spark.read.parquet(f"{log}/{run}").where(F.col("batch") < batch_id).select("graph").distinct()
+        if not earlier.isEmpty():
+            begun = earlier.join(new.select("graph").distinct(), "graph", "left_semi")
+            new = new.unionByName(read_graphs(spark, table).join(begun, "graph", "left_semi").select(new.columns)).distinct()
+        publish_graphs(new, table, delete_first=True)
+
+    q = (reader.parquet(landing).writeStream.foreachBatch(step)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    remove_path(spark, opened)

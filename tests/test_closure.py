@@ -100,3 +100,28 @@ def test_prefilter_and_inverse(spark, quads):
     out = P.drop_terms(q, spark.createDataFrame([(ONT + "bad",)], "t string"), ONT + "p", OWL + "propertyChainAxiom")
     assert out.count() == 2
     assert rows(C.inverse_materialise(q.where(f"o = '{ONT}c'"), q), "s", "o") == [(ONT + "c", ONT + "a"), (ONT + "c", ONT + "bad")]
+
+
+def test_long_chain_and_long_list(spark, quads):
+    chain = spark.range(10_000).selectExpr("cast(id as string) AS a", "cast(id + 1 as string) AS b")
+    assert C.reach(chain, spark.createDataFrame([("0",)], "node string"), max_rounds=30).count() == 10_000
+    n = 500
+    links = spark.range(n).selectExpr("cast(id as string) AS a", "cast(id + 1 as string) AS b")
+    assert C.transitive_closure(links, max_rounds=12).count() == n * (n + 1) // 2
+    cells = [("g", f"_:l{i}", "rdf:first", f"ont:m{i}") for i in range(n)] + [("g", f"_:l{i}", "rdf:rest", f"_:l{i + 1}" if i < n - 1 else "rdf:nil") for i in range(n)]
+    assert C.list_members(P.union_graph(quads(*cells))).where("l = '_:l0'").count() == n
+
+
+def test_reach_on_random_graphs(spark):
+    rnd = random.Random(3)
+    for size, links in ((60, 70), (300, 310)):
+        pairs = [(f"n{rnd.randrange(size)}", f"n{rnd.randrange(size)}") for _ in range(links)] + [(f"c{i}", f"c{i + 1}") for i in range(25)] + [("n0", "c0"), ("c25", "n1")]
+        got = {r.node for r in C.reach(spark.createDataFrame(pairs, "a string, b string"), spark.createDataFrame([("n0",)], "node string")).collect()}
+        seen, todo = set(), ["n0"]
+        while todo:
+            x = todo.pop()
+            for a, b in pairs:
+                if a == x and b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        assert got == seen
