@@ -8,10 +8,12 @@ compared in batches; after each, the posterior of the similarity (uniform prior)
 
 Groups of near copies are never expanded into pairs. Equal sets become one class first. Then every
 bucket offers its smallest class as a hub: classes are tested against hubs and joined to
-components, and only pairs of one bucket whose components still differ are tested one by one, so a
-group of k copies costs about k tests. No bucket is capped: what the hubs do not settle is compared
-in full. Buckets are aggregated before and joined after the shuffle, so adaptive skew splitting
-covers huge ones; links, components and signatures stay in stored tables.
+components, so a group of k copies costs about k tests. Buckets whose classes still lie in several
+components are settled without a cap and without pairs as rows: the classes outside the bucket's largest
+component are a query set, sent to blocks of the bucket's classes of bounded size, where signatures prune
+and full sets verify; one link per class and component comes out. Buckets are aggregated before and
+joined after the shuffle, so adaptive skew splitting covers huge ones; links, components, signatures
+and the sets of bucketed classes stay in stored tables.
 
 Words are runs of characters other than white space (``\\x20 \\x09-\\x0D``) after lower-casing A-Z. A
 document of fewer than five words is one shingle. Defined cases: null texts and texts without words
@@ -37,6 +39,12 @@ from kgspark.session import materialize
 SHINGLE, BANDS, ROWS, STEP, MISS = 5, 40, 5, 20, 1e-6
 PERCENT = 75
 MEMORY_WORDS = 500_000
+#: Hubs are tested anew while open buckets hold more than so many pairs of components a class.
+HUBS = 50
+#: Shingles of the classes that one task holds at once when open buckets are settled.
+BLOCK_SHINGLES = 2_000_000
+#: Bits of the filter that keeps texts of unbucketed documents from being shingled again: 16 MB at most.
+FILTER_BITS = 1 << 27
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -147,20 +155,38 @@ def _likely(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").where(near).where(alive("sa", "sb")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Stored pairs (a, b) whose full sets are similar enough."""
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "doc_id", "th"), "node")
+def _sets(docs: DataFrame, need: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Stored (node, s) of the classes ``need`` (node, doc_id, th): their full sets, from one more pass over the texts.
+
+    A bitmap of text hashes, of bounded size, lets only those texts through (and now and then another,
+    which the join drops).
+    """
+    slot = F.pmod("th", F.lit(FILTER_BITS)) + 1  # bitmaps count from 1
+    bits = need.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("b")).collect()
+    sent = docs.sparkSession.sparkContext.broadcast({r["k"]: bytes(r["b"]) for r in bits})
     text = F.col(text_col).cast("string")
-    src = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("h"), text.alias("text")).join(
-        need, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th"))).select("node", "text")
+    src = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))
+    kind = src.schema["d"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)  # pages of zeros take no memory
+        for k, b in sent.value.items():
+            table[k - 1] = np.frombuffer(b, np.uint8)
         for b in batches:
-            for k in range(0, b.num_rows, 64):
-                part = b.slice(k, 64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t.as_py()).tobytes() for t in part.column(1)], pa.binary())], ["node", "s"])
+            h = b.column(1).to_numpy() % FILTER_BITS
+            rows = np.flatnonzero((table[h >> 15, (h & 32767) >> 3] >> (h & 7).astype(np.uint8)) & 1)
+            for k in range(0, len(rows), 64):
+                part = b.take(pa.array(rows[k:k + 64]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([shingles(t.as_py()).tobytes() for t in part.column(2)], pa.binary())], ["d", "h", "s"])
+
+    full = src.mapInArrow(sets, f"d {kind}, h long, s binary")
+    # repeated rows have equal sets, any of them will do
+    found = full.join(need, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th"))).select("node", "s")
+    return materialize(found.dropDuplicates(["node"]), "sets")
 
-    full = materialize(src.mapInArrow(sets, "node long, s binary"), "sets").dropDuplicates(["node"])
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored pairs (a, b) whose full sets are similar enough."""
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -171,8 +197,76 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str,
             out.append(100 * both >= percent * (len(a) + len(b) - both))
         return pd.Series(out, dtype=bool)
 
-    return materialize(pairs.join(full.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(
-        full.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").where(similar("sa", "sb")).select("a", "b"), "verified")
+    return materialize(pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").where(similar("sa", "sb")).select("a", "b"), "verified")
+
+
+class _Block:
+    """Classes of a block (node, label, sig, set) that queries are compared with."""
+
+    def __init__(self, rows: list[tuple[int, int, bytes, bytes]], percent: int, least: list[int]):
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        self.percent, self.least = percent, least
+        self.node, self.label = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        self.n = np.array([len(x) for x in sets], np.int64)
+        self.sig = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(len(rows), BANDS * ROWS)
+        owner, every = np.repeat(np.arange(len(rows)), self.n), np.concatenate(sets)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], owner[order]
+
+    def links(self, label: int, sig: bytes, full: bytes) -> list[int]:
+        """One linked node for every other component that has one."""
+        s, x = np.frombuffer(full, np.uint64), np.frombuffer(sig, "<u2")
+        near = 100 * np.minimum(self.n, len(s)) >= self.percent * np.maximum(self.n, len(s))
+        keep = np.flatnonzero((self.label != label) & near)
+        same = np.zeros(len(self.n), np.int64)
+        for k, m in enumerate(self.least):
+            cols = slice(k * STEP, (k + 1) * STEP)
+            same[keep] += (self.sig[keep, cols] == x[cols]).sum(1)
+            keep = keep[same[keep] >= m]
+        if not len(keep):
+            return []
+        low, up = np.searchsorted(self.every, s, "left"), np.searchsorted(self.every, s, "right")
+        size = up - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.n))[keep]
+        keep = keep[100 * both >= self.percent * (self.n[keep] + len(s) - both)]
+        return self.node[keep[np.unique(self.label[keep], return_index=True)[1]]].tolist()
+
+
+def _settled(named: DataFrame, open_: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored links (a, b) between classes of different components that share an open bucket.
+
+    ``named`` (key, node, label), ``open_`` (key, most). Every two such classes meet: of the classes of a
+    bucket, those outside its largest component ``most`` query all.
+    """
+    here = named.join(open_.select("key", "most"), "key").select("most", "node", "label").distinct()
+    full = here.join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
+    full = materialize(full, "open-sets")
+    size = full.groupBy("most").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    full = full.join(size, "most")
+    cols = ["most", "block", "asks", "node", "label", "sig", "s"]
+    held = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
+    asked = full.where("label != most").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
+    least = least_matches(list(range(STEP, BANDS * ROWS + 1, STEP)), percent / 100, MISS)
+    dealt = held.select(cols).union(asked.select(cols)).repartition("most", "block").sortWithinPartitions("most", "block", "asks", "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, block, out = None, [], None, []
+        for b in batches:
+            for most, k, asks, node, label, sig, s in zip(*(c.to_pylist() for c in b.columns)):
+                if (most, k) != key:
+                    key, rows, block = (most, k), [], None
+                if not asks:
+                    rows.append((node, label, sig, s))
+                elif rows:
+                    block = block or _Block(rows, percent, least)
+                    out += [(min(node, y), max(node, y)) for y in block.links(label, sig, s)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+                out = []
+
+    return materialize(dealt.mapInArrow(compare, "a long, b long").distinct(), "settled")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -187,39 +281,33 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))).alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     buckets = materialize(bands.join(shared, "key").select("key", "node"), "buckets")
+    sets = _sets(docs, buckets.select("node").distinct().join(nodes.select("node", "doc_id", "th"), "node"), id_col, text_col)
     label = nodes.select("node", F.col("node").alias("label")).limit(0)  # only of classes that have a link
-    links = None
-    settled, tested = False, None
-    while not settled:
+    links, tested = None, None
+    while True:
         named = buckets.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         parts = named.groupBy("key", "label").agg(F.min("node").alias("rep"), F.count("*").alias("k"))
-        whole = parts.groupBy("key").agg(F.count("*").alias("parts"), F.min("rep").alias("hub"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.max_by("label", "k").alias("most")).where("parts > 1")
-        open_ = materialize(whole, "open")
+        whole = parts.groupBy("key").agg(F.count("*").alias("parts"), F.min("rep").alias("hub"), F.sum("k").alias("k"),
+                                         F.sum(F.col("k") * F.col("k")).alias("kk"), F.max_by("label", "k").alias("most"))
+        open_ = materialize(whole.where("parts > 1"), "open")
         n_open, cross = open_.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
         if not n_open:
             break
-        if tested is None or cross > 4 * n_open:
-            pairs = parts.join(open_.select("key", "hub"), "key").where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-            if tested is None:
-                pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        pairs = None
+        if tested is None or cross > HUBS * n_open:
+            pairs = parts.join(open_.select("key", "hub"), "key").where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+            # the first round tests a class once, against its smallest hub
+            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
+            pairs = materialize(pairs, "pairs")
+        if pairs is not None and not pairs.isEmpty():
+            found = _verified(materialize(_likely(pairs, nodes, percent), "likely"), sets, percent)
+            tested = pairs if tested is None else tested.union(pairs)
         else:
-            settled = True
-        if not settled and tested is not None:
-            pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-            settled = pairs.isEmpty()
-        if settled:
-            # what the hubs left open: the smaller components of a bucket against all others
-            these = named.join(open_.select("key", "most"), "key")
-            few = these.where("label != most").select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
-            all_ = these.select("key", F.col("node").alias("y"), F.col("label").alias("ly"), "most")
-            pairs = few.join(all_, "key").where("lx != ly and (ly = most or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = _verified(materialize(_likely(pairs, nodes, percent), "likely"), docs, nodes, id_col, text_col, percent)
-        tested = pairs if tested is None else tested.union(pairs)
+            found = _settled(named, open_, nodes, sets, percent)
         links = found if links is None else links.union(found)
         label = components(links)
+        if pairs is None or pairs.isEmpty():
+            break
     low = nodes.select("node", "low").join(label, "node").groupBy("label").agg(F.min("low").alias("least"))
     final = label.join(low, "label").select(F.col("node").alias("v"), "least")
     return members.join(final, F.col("node") == F.col("v"), "left").select(
