@@ -55,7 +55,7 @@ def utc_stamp(ts, seconds: bool = True) -> Column:
 
 def normalize_doi(s) -> Column:
     low = F.lower(F.trim(_c(s)))
-    return F.regexp_replace(low, r"^(https?://(dx\.)?doi\.org/|doi:)", "")
+    return F.regexp_replace(low, r"^(https?://(dx\.)?doi\.org/|doi:)|/+$", "")
 
 
 def safe_segment(s) -> Column:
@@ -71,10 +71,16 @@ def slug(s) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(_c(s)), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
 
 
-def safe_stem(iri) -> Column:
-    """Readable file stem made unique with a hash prefix of the whole IRI."""
-    tail = F.regexp_extract(_c(iri), r"([^/#]*)[/#]?$", 1)
-    return F.concat(safe_segment(tail), F.lit("-"), F.substring(F.sha1(_c(iri)), 1, 8))
+def safe_slug(s) -> Column:
+    """Lower-case identifier for file names: ``doi:`` dropped, slashes to ``_``, other characters removed; never empty."""
+    low = F.regexp_replace(F.lower(F.trim(_c(s))), r"^doi:\s*", "")
+    return F.coalesce(F.nullif(F.regexp_replace(F.replace(low, F.lit("/"), F.lit("_")), r"[^a-z0-9._-]+", ""), F.lit("")), F.lit("id"))
+
+
+def record_graph_iri(base: str, function: str, record) -> Column:
+    """Readable snapshot graph of a record and function; the record is a DOI in any form or an id."""
+    r = F.regexp_replace(F.trim(_c(record)), r"https?://doi\.org/|doi:", "")
+    return F.concat(F.lit(f"{base}snapshot/{function}/"), F.regexp_replace(r, r"[^A-Za-z0-9._-]+", "_"))
 
 
 def record_id(ref, own: str = r"10\.5281/zenodo\.") -> Column:
@@ -93,13 +99,18 @@ def infer_source(url) -> Column:
 
 
 def owner_repo(url) -> Column:
-    """``owner/repo`` from any form of a code-host URL; null for owner or feature pages."""
-    pat = (r"(?i)github\.com[/:]+([a-z0-9](?:[a-z0-9-]*[a-z0-9])?)/([a-z0-9._-]+?)(?:\.git)?(?:[/#?].*)?$")
+    """``owner/repo`` from any form of a code-host URL; null for owner or feature pages.
+
+    What follows the host is cut at the query or fragment and split; its first two segments count.
+    """
     u = F.trim(_c(url))
-    owner = F.regexp_extract(u, pat, 1)
-    repo = F.regexp_replace(F.regexp_extract(u, pat, 2), r"(?i)\.git$", "")
-    bad = (owner == "") | (repo == "") | F.lower(repo).isin(NOT_A_REPO)
-    return F.when(~bad, F.concat_ws("/", owner, repo))
+    after = F.substring(u, F.instr(F.lower(u), "github.com") + len("github.com"), F.length(u))
+    parts = F.split(F.get(F.split(F.ltrim(F.translate(after, ":", "/"), F.lit("/")), "[?#]"), F.lit(0)), "/")
+    owner, name = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    repo = F.when(F.lower(name).endswith(".git"), F.substring(name, F.lit(1), F.length(name) - 4)).otherwise(name)
+    fits = (F.lower(u).contains("github.com") & after.rlike("^[:/]") & owner.rlike("^[A-Za-z0-9-]+$") & ~owner.rlike("^-|-$")
+            & repo.rlike("^[A-Za-z0-9._-]+$") & ~F.lower(repo).isin(NOT_A_REPO))
+    return F.when(fits, F.concat_ws("/", owner, repo))
 
 
 def label_fallback(label, iri, strict: bool = True) -> Column:
@@ -224,8 +235,8 @@ def url_canon(u) -> Column:
 
 
 def excerpt(text, limit: int = 600) -> Column:
-    t = F.trim(F.coalesce(_c(text), F.lit("")))
-    return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.substring(t, 1, limit), F.lit(" …[truncated]")))
+    t = F.regexp_replace(F.coalesce(_c(text), F.lit("")), r"^\s+|\s+$", "")
+    return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.substring(t, 1, limit), F.lit("\n…(truncated)")))
 
 
 def url_tail(u) -> Column:
@@ -247,27 +258,40 @@ def is_english(text, threshold: float = 0.12) -> Column:
 
 
 def human_total(n) -> Column:
-    """``~234K`` / ``~1.2M`` style; small numbers as they are."""
+    """``~234K`` (cut) / ``~1.2M`` (rounded, halves to even) style; small numbers as they are."""
     n = _c(n).cast("bigint")
-    tenths = F.floor(n / 100000)
-    return (F.when(n >= 1000000, F.concat(F.lit("~"), F.floor(tenths / 10).cast("string"), F.lit("."),
-                                          (tenths % 10).cast("string"), F.lit("M")))
+    return (F.when(n >= 1000000, F.concat(F.lit("~"), F.bround(n.cast("decimal(38,6)") / 1000000, 1).cast("decimal(38,1)").cast("string"), F.lit("M")))
             .when(n >= 1000, F.concat(F.lit("~"), F.floor(n / 1000).cast("string"), F.lit("K")))
             .otherwise(n.cast("string")))
 
 
 def date_dmy(s) -> Column:
-    return F.date_format(F.substring(_c(s), 1, 10).try_cast("date"), "dd.MM.yyyy")
+    """``yyyy-MM-dd`` as DD.MM.YYYY; any other text stays."""
+    c = _c(s)
+    return F.coalesce(F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.date_format(c.try_cast("date"), "dd.MM.yyyy")), c)
 
 
-DIRECTIVE = r"^(ID|TYPE|AT|AI|A|I)(?:\s+(\S+?))?(?:\^\^(\S+))?(?:\s+SPLIT=(\S+))?\s*$"
+# The kinds of template directives.
+DIRECTIVE_KINDS = ["ID", "TYPE", "A", "I", "AI", "AT", "C", "DOMAIN", "RANGE"]
 
 
 def parse_directive(cell) -> Column:
-    """struct(kind, property, datatype, split) of a template directive; nulls when absent."""
+    """struct(kind, property, datatype, lang, split) of a template directive; nulls when absent.
+
+    The first word after the kind is the property, without its ``@lang`` or ``^^datatype`` (also after a blank)
+    and closing punctuation; ``rdfs:label`` is written out.
+    """
     t = F.trim(_c(cell))
-    part = lambda i: F.nullif(F.regexp_extract(t, DIRECTIVE, i), F.lit(""))
-    return F.struct(part(1).alias("kind"), part(2).alias("property"), part(3).alias("datatype"), part(4).alias("split"))
+    known = t.rlike("^(" + "|".join(DIRECTIVE_KINDS) + r")(\s|$)")
+    rest = F.when(known, F.regexp_replace(t, r"^\S+\s*", ""))
+    found = lambda pattern: F.nullif(F.regexp_extract(rest, pattern, 1), F.lit(""))
+    word = F.when(~rest.rlike(r"^(SPLIT=|\^\^|@)"), F.regexp_replace(F.regexp_replace(found(r"^(\S+)"), r"\^\^.*$|SPLIT=.*$", ""), r"@[A-Za-z]+(-[A-Za-z0-9]+)*$", ""))
+    prop = F.nullif(F.regexp_replace(word, r"^<|[>,;.]+$", ""), F.lit(""))
+    return F.struct(
+        F.when(known, F.regexp_extract(t, r"^(\S+)", 1)).alias("kind"),
+        F.when(prop == "rdfs:label", "http://www.w3.org/2000/01/rdf-schema#label").otherwise(prop).alias("property"),
+        found(r"\^\^<?([^\s>]+?)>?(?:\s|$)").alias("datatype"), found(r"@([A-Za-z]+(?:-[A-Za-z0-9]+)*)(?:\s|$)").alias("lang"),
+        found(r"SPLIT=(\S+)").alias("split"))
 
 
 def literal_int(v, default: int | None = 0) -> Column:

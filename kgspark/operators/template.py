@@ -52,15 +52,15 @@ def template_to_triples(tabs: DataFrame, directives: DataFrame, graph: str) -> t
     index = label_index(c)
     null = F.lit(None).cast("string")
     ids = c.where("kind = 'TYPE'")
-    types = ids.where(F.col("value").rlike("^https?://")).select("id", F.lit(TYPE).alias("p"), F.trim("value").alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_datatype"))
+    types = ids.where(F.col("value").rlike("^https?://")).select("id", F.lit(TYPE).alias("p"), F.trim("value").alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_datatype"), F.lit("").alias("o_lang"))
     v = split_cells(c.where("kind in ('A', 'AT', 'AI')"))
     dt = F.when(F.col("kind") == "AT", F.regexp_replace(F.coalesce("datatype", F.lit(XSD + "string")), "^xsd:", XSD))
     lit = v.select("id", F.regexp_replace("property", "^rdfs:label$", LABEL).alias("p"), F.col("value").alias("o"),
-                   F.when(F.col("kind") == "AI", "iri").otherwise("literal").alias("o_kind"), dt.alias("o_datatype"))
+                   F.when(F.col("kind") == "AI", "iri").otherwise("literal").alias("o_kind"), dt.alias("o_datatype"), F.when(F.col("kind") == "A", F.coalesce("lang", F.lit(""))).otherwise("").alias("o_lang"))
     refs = resolve(split_cells(c.where("kind = 'I'"), "|"), index)
-    nodes = refs.where("iri is not null").select("id", F.col("property").alias("p"), F.col("iri").alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_datatype"))
+    nodes = refs.where("iri is not null").select("id", F.col("property").alias("p"), F.col("iri").alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_datatype"), F.lit("").alias("o_lang"))
     quads = types.unionByName(lit).unionByName(nodes).select(
-        F.lit(graph).alias("graph"), F.col("id").alias("s"), F.lit("iri").alias("s_kind"), "p", "o", "o_kind", "o_datatype", F.lit("").alias("o_lang"))
+        F.lit(graph).alias("graph"), F.col("id").alias("s"), F.lit("iri").alias("s_kind"), "p", "o", "o_kind", "o_datatype", "o_lang")
     return quads.select(QUAD_COLS).distinct(), refs.where("iri is null").select("tab", "row", "id", "header", "value")
 
 

@@ -141,9 +141,10 @@ def _(c):
     return H.repair_ids(c.view("slots"))
 
 
-@query("mint_graph_iris", sql="SELECT page_id, 'b:snap/classes/' || substr(sha256('classes|' || regexp_replace(trim(url), '/$', '')), 1, 24) AS classes_graph, 'b:snap/schema/' || substr(sha256('schema|' || regexp_replace(trim(url), '/$', '')), 1, 24) AS schema_graph FROM pages")
+@query("mint_graph_iris", sql="SELECT page_id, 'b:snap/classes/' || substr(sha256('classes|' || regexp_replace(trim(url), '/$', '')), 1, 24) AS classes_graph, 'b:snap/schema/' || substr(sha256('schema|' || regexp_replace(trim(url), '/$', '')), 1, 24) AS schema_graph, 'b:snapshot/tbox/10.5281_zenodo.' || CAST(page_id AS VARCHAR) AS record_graph FROM pages")
 def _(c):
-    return c.t("pages").select("page_id", *[S.snapshot_iri(BASE + "snap/", f, "url").alias(f + "_graph") for f in ("classes", "schema")])
+    return c.t("pages").select("page_id", *[S.snapshot_iri(BASE + "snap/", f, "url").alias(f + "_graph") for f in ("classes", "schema")],
+                               S.record_graph_iri(BASE, "tbox", F.concat(F.lit(" doi:10.5281/zenodo."), F.col("page_id"))).alias("record_graph"))
 
 
 @query("content_hash", sql="SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -316,11 +317,10 @@ def _(c):
     return scan.expand_zip(files).select("inner", F.length("text").cast("bigint").alias("chars"))
 
 
-@query("size_cap")
+@query("size_cap", sql="SELECT doc_id, octet_length(encode(text)) AS length FROM documents WHERE octet_length(encode(text)) <= 20000")
 def _(c):
-    path = c.scratch("blobs")
-    c.t("documents").select("source", F.col("text").alias("value")).write.partitionBy("source").text(path)
-    return scan.sized_files(c.spark, path + "/*", 200_000).select(F.regexp_extract("path", "source=([^/]*)", 1).alias("source"), (F.col("length") > 0).alias("filled")).distinct()
+    """Contents up to a cap of 20,000 bytes."""
+    return scan.capped(c.t("documents").select("doc_id", F.octet_length("text").cast("bigint").alias("length")), 20_000)
 
 
 @query("scan_state", views="state_now", sql="SELECT version, count(*) AS n FROM state_now GROUP BY version UNION ALL SELECT 'missing', 0")

@@ -211,11 +211,11 @@ def _(c):
 
 
 @query("status_rollup", graphs="files documents meta", sql="""
-    SELECT kind, status, count(*) AS graphs, CAST(sum(n) AS BIGINT) AS total FROM (SELECT substr(graph, 1, 26) AS kind, CASE WHEN max(CASE WHEN p = 'rdf:type' AND o = 'ont:Event' THEN 1 ELSE 0 END) = 1 THEN 'inconsistent' ELSE 'consistent' END AS status, count(*) AS n
+    SELECT kind, status, count(*) AS graphs, CAST(sum(n) AS BIGINT) AS total FROM (SELECT regexp_extract(graph, '^(.*[/:])[^/:]*$', 1) AS kind, CASE WHEN max(CASE WHEN p = 'rdf:type' AND o = 'ont:Event' THEN 1 ELSE 0 END) = 1 THEN 'inconsistent' ELSE 'consistent' END AS status, count(*) AS n
     FROM quads GROUP BY graph) GROUP BY ROLLUP (kind, status)""")
 def _(c):
     hot = F.max(F.when((F.col("p") == TYPE) & (F.col("o") == TERMS.event), 1).otherwise(0))
-    per = c.quads.groupBy("graph").agg(hot.alias("e"), n("n")).select(F.substring("graph", 1, 26).alias("kind"), F.when(F.col("e") == 1, "inconsistent").otherwise("consistent").alias("status"), "n")
+    per = c.quads.groupBy("graph").agg(hot.alias("e"), n("n")).select(F.regexp_extract("graph", "^(.*[/:])[^/:]*$", 1).alias("kind"), F.when(F.col("e") == 1, "inconsistent").otherwise("consistent").alias("status"), "n")
     return M.status_rollup(per, "kind", "status", "n")
 
 
@@ -227,7 +227,7 @@ def _(c):
 
 
 @query("human_total", sql="""
-    SELECT graph, CASE WHEN n >= 1000000 THEN '~' || CAST(n // 1000000 AS VARCHAR) || '.' || CAST((n // 100000) % 10 AS VARCHAR) || 'M' WHEN n >= 1000 THEN '~' || CAST(n // 1000 AS VARCHAR) || 'K' ELSE CAST(n AS VARCHAR) END AS shown
+    SELECT graph, CASE WHEN n >= 1000000 THEN printf('~%.1fM', n / 1000000) WHEN n >= 1000 THEN '~' || CAST(n // 1000 AS VARCHAR) || 'K' ELSE CAST(n AS VARCHAR) END AS shown
     FROM (SELECT graph, count(*) AS n FROM quads GROUP BY graph)""")
 def _(c):
     return c.quads.groupBy("graph").agg(n("n")).select("graph", S.human_total("n").alias("shown"))

@@ -73,7 +73,7 @@ def _(c):
 @query("parse_directive", views="sheet", sql="""
     WITH x AS (SELECT tab, col, any_value(h) AS header, trim(any_value(t)) AS t FROM (SELECT a.tab, u.col, u.h, w.t FROM sheet a, LATERAL (SELECT unnest(range(8)) AS col, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS h) u
       JOIN (SELECT tab AS tb, unnest(range(8)) AS col2, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS t FROM sheet WHERE line_no = 2) w ON w.tb = a.tab AND w.col2 = u.col WHERE a.line_no = 1) GROUP BY tab, col)
-    SELECT tab, CAST(col AS INTEGER) AS col, header, split_part(t, ' ', 1) AS kind, nullif(split_part(split_part(t, ' ', 2), '^^', 1), '') AS property, nullif(split_part(split_part(t, ' ', 2), '^^', 2), '') AS datatype, nullif(regexp_extract(t, 'SPLIT=(.+)$', 1), '') AS split FROM x""")
+    SELECT tab, CAST(col AS INTEGER) AS col, header, split_part(t, ' ', 1) AS kind, nullif(split_part(split_part(t, ' ', 2), '^^', 1), '') AS property, nullif(split_part(split_part(t, ' ', 2), '^^', 2), '') AS datatype, CAST(NULL AS VARCHAR) AS lang, nullif(regexp_extract(t, 'SPLIT=(.+)$', 1), '') AS split FROM x""")
 def _(c):
     _data, dirs = _tabs(c)
     return dirs.select("tab", "col", "header", F.inline(F.array(S.parse_directive("directive"))))
@@ -277,12 +277,12 @@ def _(c):
     return c.view("catalog_records").select("ord", S.sanitize("title").alias("clean"), F.array_join(S.split_list("contact_name"), "|").alias("parts"))
 
 
-@query("parse_date", views="catalog_records", sql=f"SELECT ord, {MDY.format(clean('metadata_created'))} AS day, CASE WHEN regexp_matches(metadata_created, '^\\d{{4}}') THEN strftime(CAST(substr(metadata_created, 1, 10) AS DATE), '%d.%m.%Y') END AS dmy FROM catalog_records")
+@query("parse_date", views="catalog_records", sql=f"SELECT ord, {MDY.format(clean('metadata_created'))} AS day, CASE WHEN regexp_matches(metadata_created, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') THEN strftime(CAST(metadata_created AS DATE), '%d.%m.%Y') ELSE metadata_created END AS dmy FROM catalog_records")
 def _(c):
     return c.view("catalog_records").select("ord", S.date_mdy("metadata_created").alias("day"), S.date_dmy("metadata_created").alias("dmy"))
 
 
-@query("utc_stamp")
+@query("utc_stamp", sql="SELECT event_id, strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%SZ') AS seconds, strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS micros FROM events")
 def _(c):
     e_ = c.t("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     return e_.select("event_id", S.utc_stamp("ts").alias("seconds"), S.utc_stamp("ts", False).alias("micros"))
@@ -330,28 +330,39 @@ def _(c):
     return c.t("pages").select("page_id", F.coalesce(S.url_tail("url"), F.lit("")).alias("tail"))
 
 
-@query("excerpt", sql="SELECT doc_id, CASE WHEN length(trim(text)) <= 600 THEN trim(text) ELSE substr(trim(text), 1, 600) || ' …[truncated]' END AS excerpt FROM documents")
+@query("excerpt", sql="SELECT doc_id, CASE WHEN length(t) <= 600 THEN t ELSE substr(t, 1, 600) || chr(10) || '…(truncated)' END AS excerpt FROM (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents)")
 def _(c):
     return c.t("documents").select("doc_id", S.excerpt("text").alias("excerpt"))
 
 
-@query("is_english")
+@query("is_english", sql=f"""
+    WITH w AS (SELECT lang, text, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '') AS w FROM documents)
+    SELECT lang, length(trim(text)) >= 20 AND CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: list_contains({S.STOPWORDS_EN!r}, x))) / len(w) ELSE 0 END >= 0.12 AS english, count(*) AS n FROM w GROUP BY ALL""")
 def _(c):
     d = c.t("documents").select("lang", S.is_english("text").alias("english"))
     return d.groupBy("lang", "english").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("fix_mojibake")
+@query("fix_mojibake", sql="SELECT doc_id, CAST(CASE WHEN text IS NOT NULL THEN TRUE END AS BOOLEAN) AS repaired FROM documents")
 def _(c):
     bad = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     d = c.t("documents").select("doc_id", "text", X.fix_mojibake(bad).alias("fixed"))
     return d.select("doc_id", (F.col("fixed") == F.col("text")).alias("repaired"))
 
 
-@query("pct_encode")
+def _quoted(part, safe):
+    keep = "^[A-Za-z0-9_.~" + "".join("\\" + x for x in safe).replace("'", "''") + "-]$"
+    return f"array_to_string(list_transform(string_split({part}, ''), lambda x: CASE WHEN regexp_matches(x, '{keep}') THEN x ELSE regexp_replace(hex(encode(x)), '(..)', '%\\1', 'g') END), '')"
+
+
+@query("pct_encode", sql=f"""
+    WITH i AS (SELECT page_id, url || '/' || html AS iri FROM pages), p AS (SELECT page_id, iri, regexp_extract(iri, '(?s)^(https?://[^/?#]*)', 1) AS host, regexp_replace(iri, '(?s)^https?://[^/?#]*', '') AS rest FROM i),
+    q AS (SELECT *, regexp_replace(rest, '(?s)[?#].*$', '') AS path, regexp_extract(rest, '(?s)^[^?#]*\\?([^#]*)', 1) AS query, regexp_extract(rest, '(?s)^[^#]*#(.*)$', 1) AS frag FROM p),
+    r AS (SELECT *, regexp_extract(path, '(?s)^(?:.*/)?[^/;]*(;[^/]*)$', 1) AS params FROM q)
+    SELECT page_id, CASE WHEN host = '' THEN iri ELSE host || {_quoted("substr(path, 1, length(path) - length(params))", X.GRAPH_SAFE["path"])} || params || CASE WHEN query <> '' THEN '?' || {_quoted("query", X.GRAPH_SAFE["query"])} ELSE '' END
+      || CASE WHEN frag <> '' THEN '#' || {_quoted("frag", "")} ELSE '' END END AS encoded FROM r""")
 def _(c):
-    iri = F.concat(F.col("url"), F.lit("/"), F.substring("html", 60, 30))
-    return c.t("pages").select("page_id", X.pct_encode(iri).alias("encoded"))
+    return c.t("pages").select("page_id", X.pct_encode(F.concat(F.col("url"), F.lit("/"), F.col("html"))).alias("encoded"))
 
 
 @query("normalize_iris", graphs="documents files")

@@ -99,7 +99,7 @@ def registrations(table: DataFrame, row: Column | None = None) -> DataFrame:
     sources are dropped. Column names are resolved on the header only."""
     cols = {k: pick_column(table.columns, v) for k, v in ALIASES.items()}
     if cols["url"] is None:
-        raise ValueError(f"registration tab has no url column; header={table.columns}")
+        raise ValueError(f"no column of {table.columns} is known as a link column")
     get = lambda k: F.trim(F.coalesce(F.col(f"`{cols[k]}`"), F.lit(""))) if cols[k] else F.lit("")
     src = F.coalesce(F.nullif(F.lower(get("source")), F.lit("")), infer_source(get("url")), F.lit(""))
     files = F.filter(F.transform(F.split(get("files"), r"[,;\n]"), lambda x: F.trim(x)), lambda x: x != "")
@@ -280,7 +280,11 @@ def expand_zip(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, exts: list[str
 
 def sized_files(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Binary files up to a size; the size filter is pushed down, larger files are not read."""
-    return spark.read.format("binaryFile").load(path).where(F.col("length") <= max_bytes)
+    return capped(spark.read.format("binaryFile").load(path), max_bytes)
+
+
+def capped(files: DataFrame, max_bytes: int) -> DataFrame:
+    return files.where(F.col("length") <= max_bytes)
 
 
 def content_hash(files: DataFrame) -> DataFrame:

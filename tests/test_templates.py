@@ -57,8 +57,17 @@ def test_uuid5_and_encoding(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     assert [r[0] for r in df.select(S.uuid5("k", ns)).collect()] == [str(uuid.uuid5(uuid.UUID(ns), k)) for k in keys]
     assert str(uuid.uuid5(uuid.UUID(ns), "Jörg|contact")) == "bebabfa6-4b66-5ae8-acdb-102e692ccda3"
-    assert X.encode_iri("https://x.org/a b/ü?q=1 2#f g") == "https://x.org/a%20b/%C3%BC?q=1%202#f%20g"
-    assert X.encode_iri("https://x.org/a%20b") == "https://x.org/a%20b"
+
+
+def test_percent_encoding(spark):
+    def enc(u, mode="graph"):
+        return spark.createDataFrame([(u,)], "u string").select(X.pct_encode("u", mode)).first()[0]
+
+    assert enc("https://x.org/a b/ü?q=1 2#f g") == "https://x.org/a%20b/%C3%BC?q=1%202#f%20g"
+    assert enc("https://x.org/a%20b (c);p q#f:1") == "https://x.org/a%20b%20%28c%29;p q#f%3A1"
+    for same in ("https://x.org/J\u00f6rg", "urn:x y", "https://x.org/a%20b", "https://x.org/(b)", None):
+        assert enc(same) == same
+    assert enc("https://doi.org/10.1/a(b)%20\u00fc?x y#g h", "doi") == "https://doi.org/10.1/a(b)%2520%C3%BC?x%20y#g%20h"
 
 
 def test_scalars(spark):
@@ -72,12 +81,22 @@ def test_scalars(spark):
     assert one(S.record_id("r"), r="https://doi.org/10.5281/zenodo.12") == "12" and one(S.record_id("r"), r="77") == "77" and one(S.record_id("r"), r="x") is None
     assert one(S.literal_int("v"), v="3.0") == 3 and one(S.literal_int("v"), v="many") == 0
     assert one(S.human_total("n"), n=243059) == "~243K" and one(S.human_total("n"), n=1234567) == "~1.2M" and one(S.human_total("n"), n=7) == "7"
-    assert one(S.excerpt("t"), t="x" * 700).startswith("x" * 600 + " …") and one(S.url_tail("u"), u="https://h/a/b/?q=1") == "b"
+    assert one(S.excerpt("t"), t=" \n" + "x" * 700) == "x" * 600 + "\n…(truncated)" and one(S.url_tail("u"), u="https://h/a/b/?q=1") == "b"
     assert one(S.namespace("i"), i="http://a/b#c") == "http://a/b#" and one(S.namespace("i"), i="http://a/b/c") == "http://a/b/"
     pre = {"ont": ONT, "kg": BASE}
     assert one(S.curie("i", pre), i=ONT + "X") == "ont:X" and one(S.expand_curie("i", pre), i="kg:y") == BASE + "y" and one(S.expand_curie("i", pre), i="zz:y") == "zz:y"
     d = one(S.parse_directive("c"), c=f"AT {ONT}u^^xsd:anyURI SPLIT=;")
-    assert tuple(d) == ("AT", ONT + "u", "xsd:anyURI", ";")
+    assert tuple(d) == ("AT", ONT + "u", "xsd:anyURI", None, ";")
+    label = "http://www.w3.org/2000/01/rdf-schema#label"
+    for cell, want in (("A rdfs:label@en", ("A", label, None, "en", None)), (f"AT {ONT}v ^^xsd:anyURI", ("AT", ONT + "v", "xsd:anyURI", None, None)), ("C %", ("C", "%", None, None, None)),
+                       (f"DOMAIN <{ONT}d>", ("DOMAIN", ONT + "d", None, None, None)), ("RANGE", ("RANGE", None, None, None, None)), (f"I {ONT}r, SPLIT=|", ("I", ONT + "r", None, None, "|")), ("Apple x", (None,) * 5), ("", (None,) * 5)):
+        assert tuple(one(S.parse_directive("c"), c=cell)) == want, cell
+    assert one(S.human_total("n"), n=1960000) == "~2.0M" and one(S.human_total("n"), n=999999) == "~999K"
+    assert one(S.date_dmy("d"), d="2024-01-31") == "31.01.2024" and one(S.date_dmy("d"), d="next week") == "next week"
+    assert one(S.normalize_doi("d"), d=" https://doi.org/10.1/AB/ ") == "10.1/ab" and one(S.safe_slug("d"), d=" doi: 10.1/A b ") == "10.1_ab" and one(S.safe_slug("d"), d="?") == "id"
+    assert one(S.record_graph_iri("b:", "tbox", F.col("d")), d=" doi:10.5281/zenodo.7 ") == "b:snapshot/tbox/10.5281_zenodo.7"
+    for u, want in (("https://github.com/o/r.git?x=1", "o/r"), ("github.com:o/r#a", "o/r"), ("https://github.com/-o/r", None), ("https://github.community/o/r", None), ("https://github.com/o/", None)):
+        assert one(S.owner_repo("u"), u=u) == want, u
     assert one(S.is_english("t"), t="the cat is in the house with a dog") is True and one(S.is_english("t"), t="der Hund ist in dem Haus mit der Katze") is False
 
 
