@@ -50,7 +50,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used between the rounds of iterative operators: it cuts the lineage, survives the
@@ -58,7 +58,7 @@ def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | Non
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/kgspark/{name}-{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
+    w = df.write.mode("errorifexists").options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

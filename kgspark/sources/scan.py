@@ -116,39 +116,71 @@ def scan_registrations(spark: SparkSession, path: str) -> DataFrame:
 
 # --- RDF line formats ----------------------------------------------------------------------
 
-_IRI, _BN = r"<([^>]*)>", r"(_:\S+)"
-NT_LINE = (r"^\s*(?:" + _IRI + "|" + _BN + r")\s+" + _IRI + r"\s+(?:" + _IRI + "|" + _BN
-           + r'|"((?:[^"\\]|\\.)*)"(?:\^\^' + _IRI + r"|@([A-Za-z0-9-]+))?)\s*(?:" + _IRI + "|" + _BN + r")?\s*\.\s*(?:#.*)?$")
+_NODE = r"(?:<([^>]*)>|(_:[^\s<>\"]+))"
+_HEAD = r"^\s*" + _NODE + r"\s+<([^>]*)>\s+"
+_END = r"(?:\s*" + _NODE + r")?\s*\.\s*(?:#.*)?$"
+_OBJECT = "^" + _NODE + _END
+_AFTER_LITERAL = r"^(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?" + _END
+#: Stand-ins for an escaped backslash and quote while a literal's end is looked for (not legal in a line).
+_SLASH, _QUOTE = "\u0001", "\u0002"
+
+
+def _decoded(digits: int, charset: str):
+    """For every part but the first: its leading hex digits as a character, then the rest."""
+    return lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.decode(F.unhex(F.substring(x, 1, digits)), charset), F.substring(x, digits + 1, 2 ** 31 - 1)))
 
 
 def unescape(c: Column) -> Column:
-    """Short escapes of a literal; a backslash pair is parked first so that it cannot start one."""
-    out = F.replace(c, F.lit("\\\\"), F.lit("\u0000"))
-    for esc, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+    """All escapes of a literal: short ones, ``\\uXXXX`` and ``\\UXXXXXXXX``; a backslash pair is parked first
+    so that it cannot start one."""
+    out = F.replace(c, F.lit("\\\\"), F.lit(_SLASH))
+    for esc, raw in (('\\"', '"'), ("\\'", "'"), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f")):
         out = F.replace(out, F.lit(esc), F.lit(raw))
-    return F.replace(out, F.lit("\u0000"), F.lit("\\"))
+    for mark, digits, charset in (("u", 4, "UTF-16BE"), ("U", 8, "UTF-32")):
+        parts = F.split(out, r"\\" + mark + "(?=[0-9A-Fa-f]{%d})" % digits)
+        joined = F.array_join(F.transform(parts, _decoded(digits, charset)), "")
+        out = F.when(F.instr(out, "\\" + mark) > 0, joined).otherwise(out)
+    return F.replace(out, F.lit(_SLASH), F.lit("\\"))
 
 
 def parse_lines(lines: DataFrame, line: str = "value", file_id: str | None = None, graph: str | Column | None = None) -> DataFrame:
-    """N-Triples / N-Quads lines to quads plus ``ok``; blank nodes are prefixed per file."""
-    g = lambda i: F.nullif(F.regexp_extract(line, NT_LINE, i), F.lit(""))
-    ok = F.col(line).rlike(NT_LINE)
+    """N-Triples / N-Quads lines to quads plus ``ok``; blank nodes are prefixed per file.
+
+    The subject and predicate are cut off by a short pattern, a literal's end is found by plain string
+    search, and what follows by another pattern, so literals may have any length.
+    """
+    keep = [c for c in lines.columns if c != line]
     pre = F.substring(F.sha1(F.col(file_id)), 1, 8) if file_id else F.lit("")
     bn = lambda c: F.concat(F.lit("_:"), pre, F.substring(c, 3, 2 ** 31 - 1))
     default = graph if isinstance(graph, Column) else F.lit(graph or "urn:default")
-    is_lit = g(4).isNull() & g(5).isNull()
-    keep = [c for c in lines.columns if c != line]
-    return lines.where(~F.trim(line).rlike("^(#.*)?$")).select(
-        *keep, ok.alias("ok"), F.coalesce(g(9), bn(g(10)), default).alias("graph"), F.coalesce(g(1), bn(g(2)), F.lit("")).alias("s"),
-        F.when(g(2).isNotNull(), "bnode").otherwise("iri").alias("s_kind"), F.coalesce(g(3), F.lit("")).alias("p"),
-        F.coalesce(g(4), bn(g(5)), unescape(F.regexp_extract(line, NT_LINE, 6))).alias("o"),
-        F.when(g(4).isNotNull(), "iri").when(g(5).isNotNull(), "bnode").otherwise("literal").alias("o_kind"),
-        F.when(is_lit, g(7)).alias("o_datatype"), F.coalesce(g(8), F.lit("")).alias("o_lang"))
-
-
-FORMATS_BY_EXTENSION = {".nt": "ntriples", ".nq": "nquads", ".ttl": "turtle", ".owl": "xml", ".rdf": "xml", ".trig": "trig", ".jsonld": "json-ld", ".n3": "n3"}
+    head = lambda i: F.nullif(F.regexp_extract(line, _HEAD, i), F.lit(""))
+    tail = lambda pattern, i: F.nullif(F.regexp_extract("__tail", pattern, i), F.lit(""))
+    rest = F.substring(F.col(line), F.length(F.regexp_extract(line, _HEAD, 0)) + 1, F.lit(2 ** 31 - 1))
+    t = lines.where(~F.rlike(F.col(line), F.lit(r"^\s*(#|$)"))).select(
+        *keep, F.rlike(F.col(line), F.lit(_HEAD)).alias("__ok"), head(1).alias("__s"), head(2).alias("__sb"), head(3).alias("__p"), rest.alias("__rest"))
+    t = t.withColumn("__lit", F.startswith("__rest", F.lit('"')))
+    # the text after the opening quote, its escaped backslashes and quotes parked, split at the first quote left
+    body = F.replace(F.replace(F.substring("__rest", 2, 2 ** 31 - 1), F.lit("\\\\"), F.lit(_SLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    t = t.withColumn("__body", F.when(F.col("__lit"), body)).withColumn("__end", F.instr("__body", '"'))
+    back = lambda c: F.replace(F.replace(c, F.lit(_QUOTE), F.lit('\\"')), F.lit(_SLASH), F.lit("\\\\"))
+    t = t.withColumn("__tail", F.when(F.col("__lit"), F.substring(F.col("__body"), F.col("__end") + 1, F.lit(2 ** 31 - 1))).otherwise(F.col("__rest")))
+    lit, A, O = F.col("__lit"), _AFTER_LITERAL, _OBJECT  # noqa: E741
+    ok = F.col("__ok") & F.when(lit, (F.col("__end") > 0) & F.rlike(F.col("__tail"), F.lit(A))).otherwise(F.rlike(F.col("__tail"), F.lit(O)))
+    text = unescape(back(F.substring(F.col("__body"), F.lit(1), F.col("__end") - 1)))
+    node, blank = F.when(~lit, tail(O, 1)), F.when(~lit, tail(O, 2))
+    return t.select(
+        *keep, F.coalesce(ok, F.lit(False)).alias("ok"),
+        F.coalesce(F.when(lit, tail(A, 3)).otherwise(tail(O, 3)), bn(F.when(lit, tail(A, 4)).otherwise(tail(O, 4))), default).alias("graph"),
+        F.coalesce("__s", bn(F.col("__sb")), F.lit("")).alias("s"), F.when(F.col("__sb").isNotNull(), "bnode").otherwise("iri").alias("s_kind"),
+        F.coalesce("__p", F.lit("")).alias("p"), F.coalesce(node, bn(blank), F.when(lit, text), F.lit("")).alias("o"),
+        F.when(node.isNotNull(), "iri").when(blank.isNotNull(), "bnode").otherwise("literal").alias("o_kind"),
+        F.when(lit, tail(A, 1)).alias("o_datatype"), F.coalesce(F.when(lit, tail(A, 2)), F.lit("")).alias("o_lang"))
+
+
+# RDF formats by file extension and by MIME type.
+FORMATS_BY_EXTENSION = {".nt": "ntriples", ".nq": "nquads", ".ttl": "turtle", ".owl": "xml", ".rdf": "xml", ".xml": "xml", ".trig": "trig", ".jsonld": "json-ld", ".n3": "n3"}
 FORMATS_BY_MIME = {"application/n-triples": "ntriples", "application/n-quads": "nquads", "text/turtle": "turtle",
-                   "application/rdf+xml": "xml", "application/trig": "trig", "application/ld+json": "json-ld"}
+                   "text/n3": "n3", "application/rdf+xml": "xml", "application/trig": "trig", "application/ld+json": "json-ld"}
 
 
 def guess_format(path: Column, content_type: Column) -> Column:
@@ -167,10 +199,16 @@ def scan_nquads(spark: SparkSession, path: str, graph_base: str | None = None) -
 
 
 def scan_permissive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(quads with file, report of (file, parsed, corrupt)): what does not parse is counted and skipped."""
+    """(quads with file, report of (file, format, parsed, corrupt)): what does not parse is counted and skipped.
+
+    The format is guessed from the file's name. Line formats are read as such; files of other formats are
+    tried as lines too, and keep their guess in the report when no line parses.
+    """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     rows = parse_lines(lines, file_id="file")
-    report = rows.groupBy("file").agg(F.count_if("ok").alias("parsed"), F.count_if(~F.col("ok")).alias("corrupt"))
+    counts = rows.groupBy("file").agg(F.count_if("ok").alias("parsed"), F.count_if(~F.col("ok")).alias("corrupt"))
+    guess = guess_format(F.col("file"), F.lit(None).cast("string"))
+    report = counts.select("file", F.when(guess.isin("ntriples", "nquads") | (F.col("parsed") == 0), guess).otherwise("nquads").alias("format"), "parsed", "corrupt")
     return rows.where("ok").drop("ok"), report
 
 

@@ -139,3 +139,14 @@ def test_metric_sinks(spark, tmp_path):
     assert t.count() == 2
     assert rows(sinks.latest_views({"graph_stats": t}, BASE)["graph_stats"], "triples") == [(6,)]
     assert sinks.latest_views({"graph_stats": t}, "urn:")["graph_stats"].count() == 0
+
+
+def test_literals_of_any_length_and_escape(spark, tmp_path):
+    long_ = ('say \\"x\\" \\\\ \\n' * 60_000)
+    lines = [f'<s> <p> "{long_}"@en .', '<s> <p> "\\u00fc \\U0001F600 \\b\\f\\t\\r \\\\u0041 \\\\" .', '<s> <p> "a # \\" b" . # "comment"', '_:a <p> "x"^^<t> _:g .', '<s> <p> "open .', '<s> <p> "x" "y" .', "<s> <p> <o> <g> .", "# c", "  "]
+    (tmp_path / "a.nq").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    got = scan.parse_lines(spark.read.text(str(tmp_path / "a.nq"))).collect()
+    assert [r.ok for r in got] == [True, True, True, True, False, False, True]
+    assert got[0].o == 'say "x" \\ \n' * 60_000 and got[0].o_lang == "en"
+    assert got[1].o == "ü \U0001F600 \b\f\t\r \\u0041 \\" and got[2].o == 'a # " b' and got[3].o_datatype == "t" and got[3].graph == "_:g"
+    assert (got[6].o, got[6].o_kind, got[6].graph) == ("o", "iri", "g")
