@@ -149,10 +149,15 @@ def orgs_by_people(quads: DataFrame, limit: int = 50, terms: Terms = TERMS, pred
 
 # --- statistics --------------------------------------------------------------------------
 
+def _hashed(v: Column) -> Column:
+    return F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("x"), F.xxhash64(F.lit("2nd"), v).alias("y")))
+
+
 def _distinct_per_graph(quads: DataFrame, **cols: Column) -> DataFrame:
     """Distinct non-null values of several expressions per graph. Each expression becomes
-    rows (graph, which, value), de-duplicated on all three before counting."""
-    pieces = F.array(*[F.struct(F.lit(k).alias("which"), v.alias("v")) for k, v in cols.items()])
+    rows (graph, which, value), de-duplicated on all three before counting; a value travels as
+    its 128-bit hash, not as text."""
+    pieces = F.array(*[F.struct(F.lit(k).alias("which"), _hashed(v).alias("v")) for k, v in cols.items()])
     rows = quads.select("graph", F.inline(pieces)).where(F.col("v").isNotNull()).distinct()
     return rows.groupBy("graph").agg(*[F.count_if(F.col("which") == k).alias(k) for k in cols])
 
@@ -204,15 +209,17 @@ def kg_stats(triples: DataFrame) -> DataFrame:
         "num_properties": F.when(is_type & F.col("o").isin(PROPERTY_TYPES), F.col("s")),
     }
     one = triples.select(F.lit("").alias("graph"), "s", "p", "o", "o_kind", "o_datatype", "o_lang")
-    pieces = F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("v")) for k, v in cols.items()] + [
-        F.struct(F.lit("num_resources").alias("metric"), v.alias("v"))
+    pieces = F.array(*[F.struct(F.lit(k).alias("metric"), _hashed(v).alias("v")) for k, v in cols.items()] + [
+        F.struct(F.lit("num_resources").alias("metric"), _hashed(v).alias("v"))
         for v in (F.col("s"), F.col("p"), F.when(F.col("o_kind") != "literal", F.col("o")))])
     dist = one.select(F.inline(pieces)).where("v is not null").distinct().groupBy("metric").agg(n_rows().alias("value"))
     plain = one.agg(n_rows().alias("triples"), F.count_if(F.col("o_kind") == "literal").alias("num_literals"))
     plain = plain.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in ("triples", "num_literals")])))
     ind = individuals(triples).agg(n_rows().alias("value")).select(F.lit("num_individuals").alias("metric"), "value")
-    return dist.unionByName(plain).unionByName(ind)
+    names = triples.sparkSession.createDataFrame([(m,) for m in METRIC_ORDER], "metric string")
+    # a figure without any row is 0
+    return names.join(dist.unionByName(plain).unionByName(ind), "metric", "left").select("metric", F.coalesce("value", F.lit(0)).alias("value"))
 
 
 METRIC_ORDER = ["triples", "num_subjects", "num_predicates", "num_objects", "num_literals", "num_resources",

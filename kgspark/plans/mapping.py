@@ -63,7 +63,7 @@ class Rule:
 # Joined sources the rules read besides the plain tables; {name} marks a table.
 SOURCES = {
     "affiliation": "SELECT DISTINCT o_custkey, l_suppkey FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey",
-    "labelled": "SELECT d.doc_id, d.lang, d.source, d.n_chars, substr(d.text, 1, 40) AS head, l.quality, l.toxic "
+    "labelled": "SELECT d.doc_id, d.lang, d.source, d.n_chars, d.text AS head, l.quality, l.toxic "
                 "FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id",
 }
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kgspark.functions import scalars as S
 from kgspark.model import BASE, METRIC_TABLES, ONT, QUAD_COLS, TERMS
 from kgspark.operators import catalog as K, describe as D, harvest as H, metrics as M
-from kgspark.plans.registry import VIEWS, query
+from kgspark.plans.registry import ORACLES, VIEWS, query
 from kgspark.plans.sqltext import CLASS_TYPES, EN, v
 from kgspark.sources import scan, sinks
 from kgspark.streaming import incremental as I
@@ -232,7 +232,13 @@ def _(c):
     return scan.page_blocks(c.t("pages"))
 
 
-@query("page_tables")
+_LI = "(?is)<li><a href=\"([^\"]*)\">(.*?)</a></li>"
+_TEXT = "trim(regexp_replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("page_tables", sql=f"""
+    WITH l AS (SELECT page_id, regexp_extract_all(html, '{_LI}', 1) AS h, regexp_extract_all(html, '{_LI}', 2) AS t FROM pages)
+    SELECT page_id, i - 1 AS n, {_TEXT.format('h[i]')} AS key, {_TEXT.format('t[i]')} AS value FROM l, unnest(generate_series(1, len(h))) AS x(i)""")
 def _(c):
     # the pages hold no tables; each anchor list is set as a two-column table first
     rows = F.regexp_replace("html", r'(?is)<li><a href="([^"]*)">(.*?)</a></li>', "<tr><td>$1</td><td>$2</td></tr>")
@@ -468,6 +474,12 @@ def _(c):
     return out
 
 
+ORACLES["sink_append"] = f"""SELECT ts, count(*) AS n, CAST(sum(instances) AS BIGINT) AS instances FROM ({ORACLES["class_counts"]}), (VALUES ('{NOW:%Y-%m-%d %H:%M:%S}'), ('{NOW + dt.timedelta(days=1):%Y-%m-%d %H:%M:%S}')) AS t(ts) GROUP BY ts"""
+ORACLES["sink_replace"] = f"""SELECT graph, count(*) AS n, min(usage_count) AS least FROM ({ORACLES["property_counts"]}) WHERE usage_count > 10 GROUP BY graph"""
+ORACLES["sink_ddl"] = "SELECT name AS \"table\", CASE WHEN name IN ('graph_stats', 'subject_counts') THEN n ELSE 0 END AS n FROM (VALUES {}) AS t(name), (SELECT count(*) AS n FROM ({}))".format(
+    ", ".join(f"('{t}')" for t in METRIC_TABLES), ORACLES["graph_sizes"])
+
+
 @query("sink_metric_csv", sql="SELECT p AS term, count(*) AS n FROM (SELECT DISTINCT s, s_kind, p, o, o_kind, o_datatype, o_lang FROM quads) GROUP BY p")
 def _(c):
     from kgspark.operators.pattern import union_graph

@@ -134,7 +134,7 @@ def _(c):
     return M.void_partitions(c.quads)
 
 
-@query("kg_stats", graphs="catalog datasets events documents assets ontology", sql=f"""
+@query("kg_stats", sql=f"""
     WITH {UNION_GRAPH}, cls AS (SELECT DISTINCT s FROM u WHERE p = 'rdf:type' AND o IN {CLASS_TYPES}), prp AS (SELECT DISTINCT s FROM u WHERE p = 'rdf:type' AND o IN {PROP_TYPES})
     SELECT 'triples' AS metric, count(*) AS value FROM u UNION ALL SELECT 'num_subjects', count(DISTINCT s) FROM u UNION ALL SELECT 'num_predicates', count(DISTINCT p) FROM u
     UNION ALL SELECT 'num_objects', count(DISTINCT {TERM}) FROM u UNION ALL SELECT 'num_literals', count(*) FROM u WHERE o_kind = 'literal'
@@ -168,19 +168,19 @@ def _construct_sql() -> str:
     return f"WITH {UNION_GRAPH} " + " UNION ALL ".join(rows)
 
 
-@query("dl_constructs", graphs="ontology events", sql=_construct_sql())
+@query("dl_constructs", sql=_construct_sql())
 def _(c):
     return M.dl_constructs(P.union_graph(c.quads))
 
 
-@query("local_counts", graphs="ontology datasets assets events files", sql="""
+@query("local_counts", sql="""
     SELECT graph, count(DISTINCT CASE WHEN p = 'rdf:type' AND s_kind = 'iri' AND o = 'owl:Class' THEN s END) AS classes, count(DISTINCT CASE WHEN p = 'rdf:type' AND s_kind = 'iri' AND o = 'owl:ObjectProperty' THEN s END) AS object_properties,
     count(DISTINCT CASE WHEN p = 'rdf:type' AND s_kind = 'iri' AND o = 'owl:DatatypeProperty' THEN s END) AS data_properties, count(DISTINCT CASE WHEN p = 'rdf:type' AND s_kind = 'iri' THEN s END) AS instances FROM quads GROUP BY graph""")
 def _(c):
     return M.local_counts(c.quads)
 
 
-@query("endpoint_counts", graphs="ontology catalog datasets assets events", sql=f"""
+@query("endpoint_counts", sql=f"""
     WITH g AS (SELECT DISTINCT graph FROM quads), t AS (SELECT * FROM quads WHERE p = 'rdf:type'), d AS (SELECT DISTINCT graph, s AS o FROM t WHERE o IN {CLASS_TYPES}),
     gen AS (SELECT DISTINCT graph, s FROM t WHERE o = 'rdf:Property')
     SELECT graph, coalesce(nullif((SELECT count(DISTINCT s) FROM t WHERE t.graph = g.graph AND o IN {CLASS_TYPES} AND s_kind = 'iri'), 0), (SELECT count(DISTINCT o) FROM t WHERE t.graph = g.graph AND o_kind = 'iri')) AS classes,
@@ -193,7 +193,7 @@ def _(c):
     return M.endpoint_counts(c.quads)
 
 
-@query("instances_per_class", graphs="ontology catalog datasets assets events", preds="a label", sql=f"""
+@query("instances_per_class", preds="a label", sql=f"""
     WITH t AS (SELECT DISTINCT graph, s, o, o_kind FROM quads WHERE p = 'rdf:type' AND s_kind = 'iri'), d AS (SELECT DISTINCT graph, s AS o FROM quads WHERE p = 'rdf:type' AND o IN {CLASS_TYPES}),
     m AS (SELECT graph, o, count(DISTINCT s) AS n FROM t JOIN d USING (graph, o) GROUP BY graph, o),
     x AS (SELECT * FROM m UNION ALL SELECT graph, o, count(DISTINCT s) FROM t WHERE o_kind = 'iri' AND graph NOT IN (SELECT graph FROM m) GROUP BY graph, o)
@@ -203,14 +203,14 @@ def _(c):
     return M.instances_per_class(c.quads)
 
 
-@query("vocab_namespaces", graphs="ontology catalog datasets assets events", sql="""
+@query("vocab_namespaces", sql="""
     SELECT DISTINCT graph, CASE WHEN contains(t, '#') THEN split_part(t, '#', 1) || '#' ELSE regexp_extract(t, '^(.*/)', 1) END AS vocabulary FROM
     (SELECT graph, o AS t FROM quads WHERE p = 'rdf:type' AND s_kind = 'iri' AND o_kind = 'iri' UNION SELECT graph, p FROM quads) WHERE regexp_matches(t, '^https?://')""")
 def _(c):
     return M.vocabularies(c.quads)
 
 
-@query("status_rollup", graphs="files documents meta", sql="""
+@query("status_rollup", sql="""
     SELECT kind, status, count(*) AS graphs, CAST(sum(n) AS BIGINT) AS total FROM (SELECT regexp_extract(graph, '^(.*[/:])[^/:]*$', 1) AS kind, CASE WHEN max(CASE WHEN p = 'rdf:type' AND o = 'ont:Event' THEN 1 ELSE 0 END) = 1 THEN 'inconsistent' ELSE 'consistent' END AS status, count(*) AS n
     FROM quads GROUP BY graph) GROUP BY ROLLUP (kind, status)""")
 def _(c):
@@ -219,7 +219,7 @@ def _(c):
     return M.status_rollup(per, "kind", "status", "n")
 
 
-@query("bounded_list", graphs="catalog assets datasets", preds="a", sql="""
+@query("bounded_list", preds="a", sql="""
     WITH d AS (SELECT DISTINCT o AS cls, s FROM quads), r AS (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY s) AS k, count(*) OVER (PARTITION BY cls) AS total FROM d)
     SELECT cls, string_agg(s, ', ' ORDER BY s) FILTER (k <= 50) || CASE WHEN max(total) > 50 THEN ' ... (+' || CAST(max(total) - 50 AS VARCHAR) || ' more)' ELSE '' END AS items, max(total) AS total FROM r GROUP BY cls""")
 def _(c):

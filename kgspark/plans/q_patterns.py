@@ -7,7 +7,7 @@ from kgspark.model import BASE, LABEL, ONT, OWL, QUAD_COLS, RDFS, TERMS, TRIPLE_
 from kgspark.operators import harvest, metrics, pattern as P
 from kgspark.operators.ordinal import with_ordinal
 from kgspark.plans.registry import query
-from kgspark.plans.sqltext import EN, NODE, TRIPLE, UNION_GRAPH, e, left, ty, v
+from kgspark.plans.sqltext import CLASS_TYPES, EN, NODE, PROP_TYPES, TRIPLE, UNION_GRAPH, e, left, ty, v
 
 ALL_SIZES = "catalog datasets process events documents files meta assets ontology approved"
 CATALOG = BASE + "g/catalog"
@@ -52,12 +52,12 @@ def _(c):
     return q.where(~F.col("p").isin(TERMS.output_of)).groupBy("p").agg(n("n"))
 
 
-@query("url_contains", graphs="assets datasets", preds="ont:hasUrl", sql="SELECT s, o AS url FROM quads WHERE p = 'ont:hasUrl' AND contains(lower(o), 'github.com')")
+@query("url_contains", preds="ont:hasUrl", sql="SELECT s, o AS url FROM quads WHERE p = 'ont:hasUrl' AND contains(lower(o), 'github.com')")
 def _(c):
     return P.value(c.quads, TERMS.has_url, "s", "url", cond=F.lower("o").contains("github.com"))
 
 
-@query("strip_bnodes", graphs="events ontology", sql="SELECT graph, p, count(*) AS n FROM quads WHERE s_kind <> 'bnode' AND o_kind <> 'bnode' GROUP BY graph, p")
+@query("strip_bnodes", sql="SELECT graph, p, count(*) AS n FROM quads WHERE s_kind <> 'bnode' AND o_kind <> 'bnode' GROUP BY graph, p")
 def _(c):
     return P.strip_bnodes(c.quads).groupBy("graph", "p").agg(n("n"))
 
@@ -66,7 +66,7 @@ TERMLIST = [ONT + "type/PROMO", ONT + "brand#7", OWL + "deprecated"]
 TERMSQL = ", ".join(f"'{x}'" for x in TERMLIST)
 
 
-@query("prefilter_terms", graphs="ontology", sql=f"""
+@query("prefilter_terms", sql=f"""
     SELECT {Q8} FROM quads WHERE s NOT IN ({TERMSQL}) AND p NOT IN ({TERMSQL}) AND NOT (o_kind = 'iri' AND o IN ({TERMSQL}))
     AND NOT (s = 'ont:partOf' AND p = 'owl:propertyChainAxiom')""")
 def _(c):
@@ -74,7 +74,7 @@ def _(c):
     return P.drop_terms(c.quads, terms, TERMS.part_of, OWL + "propertyChainAxiom").select(QUAD_COLS)
 
 
-@query("delete_where", graphs="ontology", sql=f"""
+@query("delete_where", sql=f"""
     SELECT {Q8} FROM quads WHERE NOT (s = 'ont:partOf' AND p = 'rdfs:subPropertyOf' AND o = 'ont:partOf')""")
 def _(c):
     return P.delete_where(c.quads, TERMS.part_of, RDFS + "subPropertyOf", TERMS.part_of)
@@ -215,17 +215,21 @@ def _(c):
     return metrics.vocabulary_reuse(c.graph("catalog", "datasets", "process", "assets"), onto_terms(c.graph("ontology", preds=("a",))))
 
 
+def _nine(name: str, rows: str) -> str:
+    """The nine whole-graph figures of the triples ``rows``, named ``name``."""
+    kind = lambda types: f"(SELECT s FROM {name}_t WHERE p = 'rdf:type' AND o IN {types})"
+    return f"""{name}_t AS (SELECT DISTINCT {TRIPLE} FROM quads WHERE {rows}), {name} AS (SELECT 'triples' AS metric, count(*) AS v FROM {name}_t UNION ALL SELECT 'num_subjects', count(DISTINCT s) FROM {name}_t
+      UNION ALL SELECT 'num_predicates', count(DISTINCT p) FROM {name}_t UNION ALL SELECT 'num_objects', count(*) FROM (SELECT DISTINCT o, o_kind, o_datatype, o_lang FROM {name}_t)
+      UNION ALL SELECT 'num_literals', count(*) FROM {name}_t WHERE o_kind = 'literal' UNION ALL SELECT 'num_resources', count(*) FROM (SELECT s FROM {name}_t UNION SELECT p FROM {name}_t UNION SELECT o FROM {name}_t WHERE {NODE})
+      UNION ALL SELECT 'num_classes', count(DISTINCT s) FROM {kind(CLASS_TYPES)} UNION ALL SELECT 'num_properties', count(DISTINCT s) FROM {kind(PROP_TYPES)}
+      UNION ALL SELECT 'num_individuals', count(DISTINCT s) FROM {name}_t WHERE p = 'rdf:type' AND s NOT IN {kind(CLASS_TYPES)} AND s NOT IN {kind(PROP_TYPES)})"""
+
+
 @query("kg_compare", graphs="catalog datasets", sql=f"""
-    WITH {UNION_GRAPH.replace('FROM quads', "FROM quads WHERE graph = 'g:catalog'")}, w AS (SELECT DISTINCT {TRIPLE} FROM quads WHERE graph = 'g:datasets'),
-    a AS (SELECT 1 AS i, count(*) AS triples, count(DISTINCT s) AS num_subjects, count(DISTINCT p) AS num_predicates, count(*) FILTER (o_kind = 'literal') AS num_literals FROM u),
-    b AS (SELECT 1 AS i, count(*) AS triples, count(DISTINCT s) AS num_subjects, count(DISTINCT p) AS num_predicates, count(*) FILTER (o_kind = 'literal') AS num_literals FROM w)
-    SELECT metric, x.v AS left_value, y.v AS right_value FROM
-    (UNPIVOT (SELECT * EXCLUDE (i) FROM a) ON triples, num_subjects, num_predicates, num_literals INTO NAME metric VALUE v) x JOIN
-    (UNPIVOT (SELECT * EXCLUDE (i) FROM b) ON triples, num_subjects, num_predicates, num_literals INTO NAME metric VALUE v) y USING (metric)""")
+    WITH {_nine('a', "graph = 'g:catalog'")}, {_nine('b', "graph = 'g:datasets'")} SELECT metric, a.v AS left_value, b.v AS right_value FROM a JOIN b USING (metric)""")
 def _(c):
-    stats = lambda g: metrics.kg_stats(c.graph(g))
-    out = metrics.compare(stats("catalog"), stats("datasets"))
-    return out.where(F.col("metric").isin("triples", "num_subjects", "num_predicates", "num_literals")).select("metric", "left_value", "right_value")
+    stats = lambda g: metrics.kg_stats(P.union_graph(c.graph(g)))
+    return metrics.compare(stats("catalog"), stats("datasets")).select("metric", "left_value", "right_value")
 
 
 @query("record_lookup", graphs="files meta", sql="""
@@ -303,7 +307,7 @@ def _(c):
     return P.top_n(c.quads.groupBy("graph", "p").agg(n("n")), 3, ["graph"], ["-n", "p"])
 
 
-@query("top25", graphs="catalog datasets assets ontology", sql=f"""
+@query("top25", sql=f"""
     WITH {UNION_GRAPH}, sch AS (SELECT s FROM u WHERE p = 'rdf:type' AND o IN ('owl:Class', 'rdfs:Class', 'rdf:Property', 'owl:ObjectProperty', 'owl:DatatypeProperty', 'owl:AnnotationProperty')),
     t AS (SELECT 'type' AS kind, o AS term, count(*) AS count FROM u WHERE p = 'rdf:type' AND s NOT IN (SELECT s FROM sch) GROUP BY o ORDER BY 3 DESC, 2 LIMIT 25),
     r AS (SELECT 'predicate' AS kind, p AS term, count(*) AS count FROM u GROUP BY p ORDER BY 3 DESC, 2 LIMIT 25)
@@ -341,7 +345,7 @@ def _(c):
     return with_ordinal(c.t("orders").select("o_orderkey"), ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000), "row_no", start=2)
 
 
-@query("distinct_keys", graphs="events process", preds="ont:hasParticipant", sql="SELECT o, count(DISTINCT s) AS n FROM quads GROUP BY o")
+@query("distinct_keys", preds="ont:hasParticipant", sql="SELECT o, count(DISTINCT s) AS n FROM quads GROUP BY o")
 def _(c):
     return c.quads.select("o", "s").distinct().groupBy("o").agg(n("n"))
 
@@ -404,7 +408,7 @@ def _(c):
     return find_by_label(c.quads, "  Red   WIDGET ", [ONT + "Publication", TERMS.person])
 
 
-@query("term_signature", graphs="catalog assets", sql="""
+@query("term_signature", sql="""
     SELECT DISTINCT term FROM (SELECT s AS term FROM quads WHERE s_kind = 'iri' UNION ALL SELECT p FROM quads UNION ALL SELECT o FROM quads WHERE o_kind = 'iri')
     WHERE NOT starts_with(term, 'b:asset') AND NOT starts_with(term, 'owl:')""")
 def _(c):

@@ -97,17 +97,17 @@ for _key, _graphs, _name in [
     shape(_key, _graphs, _name, {**H.EXECUTED, **H.DOCUMENTED}[_name])
 
 
-@query("shape_targets", graphs="catalog assets ontology", preds="a rdfs:subClassOf", sql=f"WITH {SUB}, {U} SELECT focus FROM {members('ont:Continuant')}")
+@query("shape_targets", preds="a rdfs:subClassOf", sql=f"WITH {SUB}, {U} SELECT focus FROM {members('ont:Continuant')}")
 def _(c):
     return H.targets(c.quads, ONT + "Continuant", c.quads)
 
 
-@query("shape_targets_obj", graphs="process meta", preds="ont:occupies", sql="SELECT DISTINCT o AS focus FROM quads WHERE p = 'ont:occupies'")
+@query("shape_targets_obj", preds="ont:occupies", sql="SELECT DISTINCT o AS focus FROM quads WHERE p = 'ont:occupies'")
 def _(c):
     return H.targets_of_object(c.quads, TERMS.occupies)
 
 
-@query("shape_cardinality", graphs="process ontology", preds="a rdfs:subClassOf ont:hasInput ont:occupies", sql=f"""
+@query("shape_cardinality", preds="a rdfs:subClassOf ont:hasInput ont:occupies", sql=f"""
     WITH {SUB}, {U} {card(members('ont:Occurrent'), 'ont:hasInput', 1, 1, 'one_input', 'exactly one input')}""")
 def _(c):
     return H.cardinality(c.quads, H.targets(c.quads, ONT + "Occurrent", c.quads), TERMS.has_input, "one_input", "exactly one input", 1, 1)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kgspark.model import ONT, TERMS
 from kgspark.operators import harvest, questions as Q, verify
-from kgspark.plans.registry import QUERIES, query
+from kgspark.plans.registry import ORACLES, QUERIES, query
 from kgspark.plans.sqltext import capped, e, ty, v, via
 
 O = ONT  # noqa: E741
@@ -162,3 +162,6 @@ def _(c):
 def _(c):
     names = [k for k in QUERIES if k.startswith("cq_") and k != "cq_report"]
     return verify.non_empty_report({k: QUERIES[k](c.spark, c.t.dir) for k in names})
+
+
+ORACLES["cq_report"] = " UNION ALL ".join(f"SELECT '{k}' AS question, EXISTS (SELECT 1 FROM ({ORACLES[k]})) AS non_empty" for k in QUERIES if k.startswith("cq_") and k != "cq_report")

@@ -374,7 +374,7 @@ class _Rows(HTMLParser):
 def table_rows(html: str) -> list[tuple[int, str, str]]:
     parser = _Rows()
     parser.feed(html)
-    return [(i, r[0], r[1]) for i, r in enumerate(parser.rows) if len(r) == 2]
+    return [(i, r[0], r[1]) for i, r in enumerate(parser.rows) if len(r) >= 2]
 
 
 def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -384,7 +384,7 @@ def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
-    """(page_id, n, key, value) of two-column table rows; pages without a table stay in the JVM."""
+    """(page_id, n, key, value) of the first two cells of table rows; pages without a table stay in the JVM."""
     return pages.where(F.lower("html").contains("<tr")).select("page_id", "html").mapInPandas(
         _tables, "page_id bigint, n bigint, key string, value string")
 
