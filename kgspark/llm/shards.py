@@ -1,7 +1,7 @@
 """Training order: a keyed permutation gives every sequence its slot in fixed-stride binary shards.
 
 Every task joins the ids of its documents, each closed by an end token, to one stream and cuts it into
-sequences of ``capacity`` ids; only the last of a task is shorter. The sequences are stored once (ids compressed)
+sequences of ``capacity`` ids; only the last of a task is shorter. The sequences are stored once
 and numbered 0..n-1 by task and place. A balanced Feistel network over the next even number of bits,
 keyed and with cycle-walking back into the range, permutes these numbers: the slot of a sequence follows
 from its number, the key and n, without a sort or a table. Slot s lies in shard s // ``per_shard`` at byte
@@ -61,7 +61,7 @@ def permute(number: np.ndarray, n: int, key: str, rounds: int = ROUNDS) -> np.nd
 
 def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END,
               vocabulary: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
-    """Stored (task, place, n_tokens, ids_crc32, ids, doc_ids, starts): ids are deflated uint16, starts where each document begins."""
+    """Stored (task, place, n_tokens, ids_crc32, ids, doc_ids, starts): ids are uint16, starts where each document begins."""
     small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
@@ -77,7 +77,7 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
         def row(part: np.ndarray) -> tuple:
             data = part.tobytes()
-            return (task, place, len(part), zlib.crc32(data), zlib.compress(data, 1), [d for d, _ in owners], [a for _, a in owners])
+            return (task, place, len(part), zlib.crc32(data), data, [d for d, _ in owners], [a for _, a in owners])
 
         for b in batches:
             type_, out = b.column(0).type, []
@@ -102,7 +102,8 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
             yield batch([row(ids)])
 
     out = src.mapInArrow(cut, f"task int, place long, n_tokens long, ids_crc32 long, ids binary, doc_ids array<{kind}>, starts array<long>")
-    return materialize(out, "sequences")
+    # pages of many sequences compress better than single ones
+    return materialize(out, "sequences", compression="zstd", **{"parquet.compression.codec.zstd.level": "6"})
 
 
 def ordered(stored: DataFrame, key: str, per_shard: int = PER_SHARD, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
@@ -124,18 +125,29 @@ def ordered(stored: DataFrame, key: str, per_shard: int = PER_SHARD, capacity: i
 def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY, per_shard: int = PER_SHARD) -> None:
     """Write the records under ``path``/shard=N, one file each, in slot order."""
 
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(x.as_py()) for x in b.column(2)], pa.binary())], ["shard", "slot", "ids"])
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
             for data in b.column(1):
                 record = np.full(capacity, PAD, "<u2")
-                ids = np.frombuffer(zlib.decompress(data.as_py()), "<u2")
+                ids = np.frombuffer(z.decompress(data.as_py()), "<u2")
                 record[:len(ids)] = ids
                 out.append(record.tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["shard", "record"])
 
     if n:
-        dealt = placed.select("shard", "ids", "slot").repartition(-(-n // per_shard), "shard").sortWithinPartitions("shard", "slot")
+        small = placed.select("shard", "slot", "ids").mapInArrow(squeeze, "shard long, slot long, ids binary")
+        dealt = small.repartition(-(-n // per_shard), "shard").sortWithinPartitions("shard", "slot")
         # raw bytes pass the text writer unchanged; it adds the line end that closes a record
         dealt.select("shard", "ids").mapInArrow(records, "shard long, record binary").select(
             "shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("compression", "none").text(path)
@@ -143,7 +155,7 @@ def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY,
 
 def read_records(spark: SparkSession, path: str, capacity: int = CAPACITY, per_shard: int = PER_SHARD, first_slot: int = 0) -> DataFrame:
     """(slot, n_tokens, ids) of the records from ``first_slot`` on; ids are little-endian uint16 without the padding. A shard is
-    a file of fixed size, so earlier shards are not opened."""
+    a file of fixed size, so earlier shards are not opened; a task takes as many as fit its split of the input."""
     stride = 2 * capacity + 1
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where(F.col("shard") >= first_slot // per_shard).select("shard", "content")
 
@@ -158,7 +170,6 @@ def read_records(spark: SparkSession, path: str, capacity: int = CAPACITY, per_s
                         pa.array(int(shard.as_py()) * per_shard + k + np.arange(len(ids)), pa.int64()),
                         pa.array([len(h) // 2 for h in held], pa.int64()), pa.array(held, pa.binary())], ["slot", "n_tokens", "ids"])
 
-    small_batches(spark, 8)  # a shard is a value of this table
     return files.mapInArrow(cut, "slot long, n_tokens long, ids binary").where(F.col("slot") >= first_slot)
 
 
