@@ -68,6 +68,8 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, task, place = encoder(vocabulary, folder), TaskContext.get().partitionId(), 0
+        if enc.full.get_vocab_size() > PAD:
+            raise ValueError("token ids of 16 bits only")
         type_, ids, owners = None, np.zeros(0, "<u2"), []  # owners: (document, where its ids begin in the open sequence)
         names = ["task", "place", "n_tokens", "ids_crc32", "ids", "doc_ids", "starts"]
 
@@ -83,10 +85,10 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
             type_, out = b.column(0).type, []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 new = enc.ids(text.as_py())
-                if len(new) and int(new.max()) >= PAD:
-                    raise ValueError("token ids of 16 bits only")
                 owners.append((doc, len(ids)))
-                ids = np.concatenate([ids, new.astype("<u2"), np.array([end], "<u2")])
+                joined = np.empty(len(ids) + len(new) + 1, "<u2")
+                joined[:len(ids)], joined[len(ids):-1], joined[-1] = ids, new, end
+                ids = joined
                 at = 0
                 while len(ids) - at >= capacity:
                     out.append(row(ids[at:at + capacity]))

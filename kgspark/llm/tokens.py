@@ -17,7 +17,7 @@ import numpy as np
 from kgspark.llm.common import worker_cache
 
 SPECIAL = "<|endoftext|>"
-#: What both libraries surely split alike.
+#: Besides Latin-1: what both libraries surely split alike.
 OUTSIDE = re.compile("[^\x00-ɏ‐-‧‰-⁞€]")
 
 
@@ -37,10 +37,20 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @staticmethod
+    def _common(text: str) -> bool:
+        if text.isascii():
+            return True
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            return not OUTSIDE.search(text)
+
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
-        if self.fast is not None and SPECIAL not in text and not OUTSIDE.search(text):
+        if self.fast is not None and SPECIAL not in text and self._common(text):
             return np.array(self.fast.encode_ordinary(text), "<u4")
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
 
