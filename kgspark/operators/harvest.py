@@ -111,12 +111,12 @@ def record_lookup(graphs: DataFrame, part_of: DataFrame) -> DataFrame:
 
 
 def discover_endpoints(quads: DataFrame, endpoint_cls: str, has_url: str, denoted_by: str) -> DataFrame:
-    """(endpoint, url, datasets): http URLs of endpoint individuals with the datasets behind them."""
+    """(endpoint, url, dataset): http URLs of endpoint individuals with the datasets behind them, one row
+    each; the dataset is null where there is none."""
     urls = typed(quads, endpoint_cls, "endpoint").join(value(quads, has_url, "endpoint", "url"), "endpoint")
     urls = urls.where(F.col("url").rlike("^https?://")).distinct()
     ds = link(quads, denoted_by, "dataset", "endpoint").distinct()
-    n = urls.join(ds, "endpoint", "left").groupBy("endpoint", "url").agg(F.count("dataset").alias("datasets"))
-    return n
+    return urls.join(ds, "endpoint", "left").select("endpoint", "url", "dataset")
 
 
 def match_organizations(wanted: DataFrame, registry: DataFrame) -> DataFrame:
@@ -151,10 +151,15 @@ def archive_records(quads: DataFrame, classes: list[str], denoted_by: str, has_u
     return hit.groupBy("record").agg(F.min("dataset").alias("dataset"))
 
 
+# Snapshot functions in the order they claim a number; all others follow by name.
+FUNCTION_ORDER = ["classes", "hierarchy", "tbox"]
+
+
 def repair_ids(state: DataFrame) -> DataFrame:
-    """Graph numbers of one record made unique: the first function keeps its number, later
-    duplicates move past the greatest one. (record, function, ts) -> adds ``fixed``."""
-    first = state.groupBy("record", "ts").agg(F.min("function").alias("function"))
+    """Graph numbers of one record made unique: the first function (in ``FUNCTION_ORDER``) keeps its number,
+    later duplicates move past the greatest one. (record, function, ts) -> adds ``fixed``."""
+    turn = F.struct(rank_of(F.col("function"), FUNCTION_ORDER, len(FUNCTION_ORDER)), "function")
+    first = state.groupBy("record", "ts").agg(F.min_by("function", turn).alias("function"))
     top = state.groupBy("record").agg(F.max("ts").alias("top"))
     dup = state.join(first, ["record", "ts", "function"], "left_anti")
     spread = F.substring(F.sha1("function"), 1, 2)

@@ -248,8 +248,8 @@ def _(c):
 
 
 @query("discover_endpoints", graphs="assets", preds="a ont:hasUrl ont:denotedBy", sql=f"""
-    SELECT endpoint, url, count(dataset) AS datasets FROM {ty('ont:Endpoint', 'endpoint')} JOIN (SELECT DISTINCT s AS endpoint, o AS url FROM quads WHERE p = 'ont:hasUrl' AND (starts_with(o, 'http://') OR starts_with(o, 'https://'))) USING (endpoint)
-    LEFT JOIN (SELECT DISTINCT s AS dataset, o AS endpoint FROM quads WHERE p = 'ont:denotedBy' AND {NODE}) USING (endpoint) GROUP BY endpoint, url""")
+    SELECT endpoint, url, dataset FROM {ty('ont:Endpoint', 'endpoint')} JOIN (SELECT DISTINCT s AS endpoint, o AS url FROM quads WHERE p = 'ont:hasUrl' AND (starts_with(o, 'http://') OR starts_with(o, 'https://'))) USING (endpoint)
+    LEFT JOIN (SELECT DISTINCT s AS dataset, o AS endpoint FROM quads WHERE p = 'ont:denotedBy' AND {NODE}) USING (endpoint)""")
 def _(c):
     return harvest.discover_endpoints(c.quads, TERMS.endpoint, TERMS.has_url, TERMS.denoted_by)
 
@@ -417,9 +417,9 @@ def _(c):
 
 
 @query("onto_labels", graphs="ontology", sql="""
-    SELECT l.s, label, coalesce(d.s IS NOT NULL, FALSE) AS declared, coalesce(n, 0) AS synonyms FROM
-    (SELECT s, min(o) AS label FROM (SELECT s, o, rank() OVER (PARTITION BY s ORDER BY o_lang) AS r FROM quads WHERE p = 'rdfs:label') WHERE r = 1 GROUP BY s) l
-    LEFT JOIN (SELECT DISTINCT s FROM quads WHERE p = 'rdf:type') d ON d.s = l.s LEFT JOIN (SELECT s, count(*) AS n FROM quads WHERE p = 'obo:IAO_0000118' GROUP BY s) a ON a.s = l.s""")
+    SELECT l.s, label, declared, coalesce(n, 0) AS synonyms, coalesce(names, '') AS synonym_list FROM
+    (SELECT s, min(o) AS label, bool_or(s_kind = 'iri') AS declared FROM (SELECT s, s_kind, o, rank() OVER (PARTITION BY s ORDER BY o_lang) AS r FROM quads WHERE p = 'rdfs:label') WHERE r = 1 GROUP BY s) l
+    LEFT JOIN (SELECT s, count(DISTINCT o) AS n, string_agg(DISTINCT o, '|' ORDER BY o) AS names FROM quads WHERE p = 'obo:IAO_0000118' GROUP BY s) a ON a.s = l.s""")
 def _(c):
     from kgspark.sources.scan import onto_labels
     return onto_labels(c.quads, "o_lang")

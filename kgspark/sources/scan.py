@@ -395,13 +395,14 @@ ALT_LABELS = ["http://purl.obolibrary.org/obo/IAO_0000118", "http://www.w3.org/2
 
 
 def onto_labels(quads: DataFrame, order: str) -> DataFrame:
-    """(s, label, declared, synonyms): the first label in load order wins; synonyms are counted
-    and their first value shown."""
-    first = quads.where(F.col("p") == LABEL).groupBy("s").agg(F.min_by("o", F.struct(order, "o")).alias("label"))
-    alts = quads.where(F.col("p").isin(ALT_LABELS)).groupBy("s").agg(F.count(F.lit(1)).alias("synonyms"))
-    decl = quads.where(F.col("p") == TYPE).select("s").distinct().withColumn("declared", F.lit(True))
-    return first.join(alts, "s", "left").join(decl, "s", "left").select(
-        "s", "label", F.coalesce("declared", F.lit(False)).alias("declared"), F.coalesce("synonyms", F.lit(0)).alias("synonyms"))
+    """(s, label, declared, synonyms, synonym_list): the first label in load order wins; every IRI subject is
+    declared; a term's different synonyms are counted and listed in order, separated by ``|``."""
+    first = quads.where(F.col("p") == LABEL).groupBy("s").agg(
+        F.min_by("o", F.struct(order, "o")).alias("label"), F.bool_or(F.col("s_kind") == "iri").alias("declared"))
+    names = quads.where(F.col("p").isin(ALT_LABELS)).select("s", "o").distinct().groupBy("s").agg(
+        F.count(F.lit(1)).alias("synonyms"), F.array_join(F.array_sort(F.collect_list("o")), "|").alias("synonym_list"))
+    return first.join(names, "s", "left").select(
+        "s", "label", "declared", F.coalesce("synonyms", F.lit(0)).alias("synonyms"), F.coalesce("synonym_list", F.lit("")).alias("synonym_list"))
 
 
 TERM_KINDS = {OWL + "Class": "class", OWL + "ObjectProperty": "object", OWL + "DatatypeProperty": "data"}

@@ -48,15 +48,20 @@ def latest_views(tables: dict[str, DataFrame], prefix: str = "") -> dict[str, Da
 
 # --- quads ----------------------------------------------------------------------------------------
 
+#: Files per graph of a line writer.
+FILES = 16
+
+
 def nquads_lines(quads: DataFrame) -> DataFrame:
     """(graph, line) without blank-node triples."""
     return strip_bnodes(quads).select("graph", nt_line().alias("line"))
 
 
 def write_nquads(quads: DataFrame, path: str, with_graph: bool = True) -> None:
-    """Line files per graph in a folder named by the graph's hashed stem."""
+    """Line files per graph in a folder named by the graph's hashed stem, at most ``FILES`` of them: rows are
+    dealt by graph and a hash of the line, so neither many graphs nor a huge one makes too many or too large tasks."""
     q = strip_bnodes(quads).select(graph_stem("graph").alias("graph_stem"), nt_line(with_graph).alias("value"))
-    q.write.mode("overwrite").partitionBy("graph_stem").text(path)
+    q.repartition("graph_stem", F.pmod(F.xxhash64("value"), F.lit(FILES))).write.mode("overwrite").partitionBy("graph_stem").text(path)
 
 
 def publishable(quads: DataFrame, default_iri: str | None = None, default: str = "urn:default") -> DataFrame:
@@ -97,7 +102,7 @@ def read_graphs(spark: SparkSession, path: str) -> DataFrame:
 def write_chunks(quads: DataFrame, path: str, target_bytes: int = 5 * 1024 * 1024) -> None:
     """Statement-bounded chunks of each graph, one folder per chunk."""
     c = chunk_lines(nquads_lines(quads), target_bytes)
-    c.select(graph_stem("graph").alias("graph_stem"), "chunk", F.col("line").alias("value")).write.mode("overwrite").partitionBy(
+    c.select(graph_stem("graph").alias("graph_stem"), "chunk", F.col("line").alias("value")).repartition("graph_stem", "chunk").write.mode("overwrite").partitionBy(
         "graph_stem", "chunk").text(path)
 
 
