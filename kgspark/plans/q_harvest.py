@@ -227,7 +227,13 @@ def _(c):
     return scan.page_links(c.t("pages"))
 
 
-@query("page_blocks")
+_BLOCK = "(?is)" + "|".join(f"<{t}\\b[^>]*>.*?</{t}>" for t in ("h1", "h2", "h3", "p", "li"))
+
+
+@query("page_blocks", sql=f"""
+    WITH b AS (SELECT page_id, regexp_extract_all(html, '{_BLOCK}') AS b FROM pages), x AS (SELECT page_id, i - 1 AS n, lower(regexp_extract(b[i], '^<([a-zA-Z0-9]+)', 1)) AS tag,
+      trim(regexp_replace(regexp_replace(regexp_replace(b[i], '^<[^>]*>|</[a-zA-Z0-9]+>$', '', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM b, unnest(generate_series(1, len(b))) AS t(i))
+    SELECT * FROM x WHERE text <> ''""")
 def _(c):
     return scan.page_blocks(c.t("pages"))
 

@@ -6,7 +6,7 @@ from kgspark.functions import scalars as S, text as X
 from kgspark.model import BASE, LABEL, ONT, TERMS
 from kgspark.operators import catalog as K, pattern as P, template as T
 from kgspark.operators.ordinal import with_ordinal
-from kgspark.plans.registry import VIEWS, query
+from kgspark.plans.registry import ORACLES, VIEWS, query
 from kgspark.plans.sqltext import e, uuid5, v
 from kgspark.sources import scan, sinks
 
@@ -355,24 +355,38 @@ def _quoted(part, safe):
     return f"array_to_string(list_transform(string_split({part}, ''), lambda x: CASE WHEN regexp_matches(x, '{keep}') THEN x ELSE regexp_replace(hex(encode(x)), '(..)', '%\\1', 'g') END), '')"
 
 
-@query("pct_encode", sql=f"""
-    WITH i AS (SELECT page_id, url || '/' || html AS iri FROM pages), p AS (SELECT page_id, iri, regexp_extract(iri, '(?s)^(https?://[^/?#]*)', 1) AS host, regexp_replace(iri, '(?s)^https?://[^/?#]*', '') AS rest FROM i),
+def _encoded(keep: str, source: str) -> str:
+    """SELECT of the columns ``keep`` and ``encoded`` from ``source`` (keep.., iri)."""
+    unsafe = X.UNSAFE.replace("'", "''")
+    return f"""WITH i AS ({source}), p AS (SELECT *, regexp_extract(iri, '(?s)^(https?://[^/?#]*)', 1) AS host, regexp_replace(iri, '(?s)^https?://[^/?#]*', '') AS rest FROM i),
     q AS (SELECT *, regexp_replace(rest, '(?s)[?#].*$', '') AS path, regexp_extract(rest, '(?s)^[^?#]*\\?([^#]*)', 1) AS query, regexp_extract(rest, '(?s)^[^#]*#(.*)$', 1) AS frag FROM p),
     r AS (SELECT *, regexp_extract(path, '(?s)^(?:.*/)?[^/;]*(;[^/]*)$', 1) AS params FROM q)
-    SELECT page_id, CASE WHEN host = '' THEN iri ELSE host || {_quoted("substr(path, 1, length(path) - length(params))", X.GRAPH_SAFE["path"])} || params || CASE WHEN query <> '' THEN '?' || {_quoted("query", X.GRAPH_SAFE["query"])} ELSE '' END
-      || CASE WHEN frag <> '' THEN '#' || {_quoted("frag", "")} ELSE '' END END AS encoded FROM r""")
+    SELECT {keep}, CASE WHEN host = '' OR NOT regexp_matches(iri, '{unsafe}') THEN iri ELSE host || {_quoted("substr(path, 1, length(path) - length(params))", X.GRAPH_SAFE["path"])} || params
+      || CASE WHEN query <> '' THEN '?' || {_quoted("query", X.GRAPH_SAFE["query"])} ELSE '' END || CASE WHEN frag <> '' THEN '#' || {_quoted("frag", "")} ELSE '' END END AS encoded FROM r"""
+
+
+@query("pct_encode", sql=_encoded("page_id", "SELECT page_id, url || '/' || html AS iri FROM pages"))
 def _(c):
     return c.t("pages").select("page_id", X.pct_encode(F.concat(F.col("url"), F.lit("/"), F.col("html"))).alias("encoded"))
 
 
-@query("normalize_iris", graphs="documents files")
+@query("normalize_iris", graphs="documents files", sql="SELECT graph, s, p, encoded AS o FROM (" + _encoded(
+    "graph, s, p", "SELECT graph, s, p, CASE WHEN p = 'rdfs:label' THEN 'b:t/' || o ELSE o END AS iri FROM quads") + ")")
 def _(c):
-    q = c.quads.withColumn("o", F.when(F.col("p") == LABEL, F.concat(F.lit(BASE + "t/"), "o")).otherwise(F.col("o"))).withColumn("o_kind", F.when(F.col("p") == LABEL, "iri").otherwise(F.col("o_kind")))
+    """Labels stand in for IRIs with characters of all kinds."""
+    label = F.col("p") == LABEL
+    q = c.quads.withColumn("o", F.when(label, F.concat(F.lit(BASE + "t/"), "o")).otherwise(F.col("o"))).withColumn("o_kind", F.when(label, "iri").otherwise(F.col("o_kind")))
     enc = lambda x, k: F.when(F.col(k) == "iri", X.pct_encode(x)).otherwise(F.col(x))
     return q.select("graph", enc("s", "s_kind").alias("s"), X.pct_encode("p").alias("p"), enc("o", "o_kind").alias("o"))
 
 
+ORACLES["sink_tsv"] = f"""SELECT 'ID' AS "ID", 'TYPE' AS "TYPE", 'A {LABEL}' AS label, 'A {ONT}comment' AS description UNION ALL SELECT "ID", "TYPE", label, description FROM ({ORACLES["catalog_organizations"]})"""
+
+
 @query("sink_tsv", views="catalog_records")
 def _(c):
-    t = K.Catalog(c.view("catalog_records")).organizations()
-    return sinks.with_directive_row(t, ["ID", "TYPE", f"A {LABEL}", f"A {ONT}comment"]).drop("__pos")
+    """Written with its directive row and read back."""
+    path = c.scratch("tsv")
+    sinks.write_tsv(K.Catalog(c.view("catalog_records")).organizations(), path, ["ID", "TYPE", f"A {LABEL}", f"A {ONT}comment"])
+    t = c.spark.read.options(sep="\t", header=True).csv(path)
+    return t.select(*[F.coalesce(x, F.lit("")).alias(x) for x in t.columns])
