@@ -223,7 +223,7 @@ def _sub_rows(schema: Schema) -> DataFrame:
                    for d, p in ((schema.classes, SUBCLASS), (schema.properties, SUBPROP))])
 
 
-def inferred_types(quads: DataFrame, schema: Schema, keys: tuple = ()) -> DataFrame:
+def inferred_types(quads: DataFrame, schema: Schema, keys: tuple = (), distinct: bool = True) -> DataFrame:
     """(keys.., s, c): types that follow from asserted types, domains and ranges.
 
     Each predicate use is reduced to distinct (node, predicate) before it meets the schema.
@@ -233,7 +233,8 @@ def inferred_types(quads: DataFrame, schema: Schema, keys: tuple = ()) -> DataFr
         schema.classes, "a").select(*k, "s", F.col("b").alias("c"))
     dom = quads.select(*k, "s", "p").distinct().join(schema.domains, "p").select(*k, "s", "c")
     rng = quads.where(is_node()).select(*k, F.col("o").alias("s"), "p").distinct().join(schema.ranges, "p").select(*k, "s", "c")
-    return _union([t, dom, rng]).distinct()
+    out = _union([t, dom, rng])
+    return out.distinct() if distinct else out
 
 
 def inferred_links(quads: DataFrame, schema: Schema, keys: tuple = ()) -> DataFrame:
@@ -243,16 +244,17 @@ def inferred_links(quads: DataFrame, schema: Schema, keys: tuple = ()) -> DataFr
         *keys, *rest, F.col("b").alias("p")).select(*keys, *TRIPLE_COLS)
 
 
-def rdfs_inferred(quads: DataFrame, schema: Schema, keys: tuple = ()) -> DataFrame:
-    types = inferred_types(quads, schema, keys).select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c"), *keys))
-    return types.unionByName(inferred_links(quads, schema, keys)).distinct()
+def rdfs_inferred(quads: DataFrame, schema: Schema, keys: tuple = (), distinct: bool = True) -> DataFrame:
+    types = inferred_types(quads, schema, keys, distinct=False).select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c"), *keys))
+    out = types.unionByName(inferred_links(quads, schema, keys))
+    return out.distinct() if distinct else out
 
 
 def rdfs_closure(triples: DataFrame, schema_triples: DataFrame | None = None) -> DataFrame:
     """Asserted and inferred triples. With the schema closed first, one pass over the instance
     triples reaches the fixpoint."""
     schema = Schema(schema_triples if schema_triples is not None else triples)
-    return _union([triples.select(TRIPLE_COLS), rdfs_inferred(triples, schema), _sub_rows(schema)]).distinct()
+    return _union([triples.select(TRIPLE_COLS), rdfs_inferred(triples, schema, distinct=False), _sub_rows(schema)]).distinct()
 
 
 AXIOM_KINDS = {TYPE: "class_assertion", SUBCLASS: "subclass", SUBPROP: "subproperty"}
@@ -261,7 +263,7 @@ AXIOM_KINDS = {TYPE: "class_assertion", SUBCLASS: "subclass", SUBPROP: "subprope
 def inferred_only(triples: DataFrame, schema_triples: DataFrame | None = None) -> DataFrame:
     """Inferred triples that were not asserted, tagged with the kind of axiom."""
     schema = Schema(schema_triples if schema_triples is not None else triples)
-    new = rdfs_inferred(triples, schema).unionByName(_sub_rows(schema)).distinct()
+    new = rdfs_inferred(triples, schema, distinct=False).unionByName(_sub_rows(schema)).distinct()
     out = subtract(new, triples)
     kind = F.lit("property_assertion")
     for p, name in AXIOM_KINDS.items():
@@ -352,7 +354,7 @@ def owlrl_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFram
     delta = all_rows
     for _ in _rounds(max_rounds, "rule closure"):
         nodes, d_types, a_types = delta.where(is_node()), types(delta), types(all_rows)
-        out = [rdfs_inferred(delta, schema)]
+        out = [rdfs_inferred(delta, schema, distinct=False)]
         if has["inverse"]:
             out.append(nodes.join(inv, "p").select(*node_triples(F.col("o"), F.col("q"), F.col("s"))))
         if has["value"]:  # x type R, R hasValue v on p -> x p v, and back
@@ -419,7 +421,7 @@ def consistency_report(quads: DataFrame, schema_triples: DataFrame, schema: Sche
     dis = schema_triples.where((F.col("p") == OWL + "disjointWith") & is_node()).select(
         F.least("s", "o").alias("c"), F.greatest("s", "o").alias("d")).distinct()
     own = quads.where((F.col("p") == TYPE) & is_node()).select("graph", "s", F.col("o").alias("c"))
-    full = own.unionByName(inferred_types(quads, schema, ("graph",))).distinct()
+    full = own.unionByName(inferred_types(quads, schema, ("graph",), distinct=False)).distinct()
     # only memberships in classes that some axiom mentions take part in the self join
     mentioned = dis.select("c").unionByName(dis.select(F.col("d").alias("c"))).distinct()
     full = full.join(mentioned.unionByName(full.sparkSession.sql(f"SELECT '{OWL}Nothing' AS c")).distinct(), "c", "left_semi")

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kgspark.model import BASE, QUAD, QUAD_COLS, expand
-from kgspark.session import path_exists, shared_dir
+from kgspark.session import fingerprint, path_exists, shared_dir
 
 # (application, directory, graph group) -> folder of the loaded quads
 _LOADED: dict[tuple, str] = {}
@@ -437,7 +437,8 @@ class Tables:
         groups. There is no shuffle beyond that of the distinct rules: the load writes where
         it reads.
         """
-        key = lambda g: (self.spark.sparkContext.applicationId, self.dir, g)
+        state = fingerprint(self.spark, self.dir)
+        key = lambda g: (self.spark.sparkContext.applicationId, self.dir, state, g)
         missing = [g for g in graphs if key(g) not in _LOADED or not path_exists(self.spark, _LOADED[key(g)])]
         if missing:
             path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{uuid.uuid4().hex}"

@@ -138,7 +138,7 @@ def _parts(c):
 
 INF = f"inf AS (SELECT graph, {TRIPLE} FROM ({inferred('good', 'graph, ')}) EXCEPT SELECT graph, {TRIPLE} FROM data)"
 GOOD = "good AS (SELECT * FROM data WHERE graph IN (SELECT graph FROM st WHERE consistent))"
-reasoned("consistency_report", "SELECT * FROM viol", lambda c: _parts(c)[1]["violations"])
+reasoned("consistency_report", "SELECT * FROM viol", lambda c: C.consistency_report(c.graph(*REASONED.split()), c.graph("ontology")))
 reasoned("per_graph_reason", f", {GOOD}, {INF} SELECT st.graph, consistent, violations, coalesce(n, 0) AS inferred FROM st LEFT JOIN (SELECT graph, count(*) AS n FROM inf GROUP BY graph) USING (graph)",
          lambda c: _reason_summary(c))
 reasoned("flatten_inferences", f", {GOOD}, {INF} SELECT p, o, count(*) AS n FROM (SELECT DISTINCT {TRIPLE} FROM inf) GROUP BY p, o",

@@ -45,6 +45,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes, file counts and times of what lies in a folder, to notice changed inputs."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(path):
+        total = fs.getContentSummary(st.getPath())
+        out.append((st.getPath().getName(), total.getLength(), total.getFileCount(), st.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
