@@ -11,7 +11,7 @@ bucket offers its smallest class as a hub: classes are tested against hubs and j
 components, so a group of k copies costs about k tests. Buckets whose classes still lie in several
 components are settled without a cap and without pairs as rows: the classes outside the bucket's largest
 component are a query set, sent to blocks of the bucket's classes of bounded size, where signatures prune
-and full sets verify; one link per class and component comes out. Buckets are aggregated before and
+and full sets verify; a spanning forest of links comes out of every block. Buckets are aggregated before and
 joined after the shuffle, so adaptive skew splitting covers huge ones; links, components, signatures
 and the sets of bucketed classes stay in stored tables.
 
@@ -207,7 +207,8 @@ class _Block:
     def __init__(self, rows: list[tuple[int, int, bytes, bytes]], percent: int, least: list[int]):
         sets = [np.frombuffer(r[3], np.uint64) for r in rows]
         self.percent, self.least = percent, least
-        self.node, self.label = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        # components join as links are found, so a block gives out a spanning forest of them
+        self.node, self.label, self.joined = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), {}
         self.n = np.array([len(x) for x in sets], np.int64)
         self.sig = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(len(rows), BANDS * ROWS)
         owner, every = np.repeat(np.arange(len(rows)), self.n), np.concatenate(sets)
@@ -215,7 +216,9 @@ class _Block:
         self.every, self.owner = every[order], owner[order]
 
     def links(self, label: int, sig: bytes, full: bytes) -> list[int]:
-        """One linked node for every other component that has one."""
+        """One linked node for every component that has one and is not yet joined with the query's."""
+        while label in self.joined:
+            label = self.joined[label]
         s, x = np.frombuffer(full, np.uint64), np.frombuffer(sig, "<u2")
         near = 100 * np.minimum(self.n, len(s)) >= self.percent * np.maximum(self.n, len(s))
         keep = np.flatnonzero((self.label != label) & near)
@@ -231,7 +234,11 @@ class _Block:
         at = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
         both = np.bincount(self.owner[at], minlength=len(self.n))[keep]
         keep = keep[100 * both >= self.percent * (self.n[keep] + len(s) - both)]
-        return self.node[keep[np.unique(self.label[keep], return_index=True)[1]]].tolist()
+        others, first = np.unique(self.label[keep], return_index=True)
+        for other in others.tolist():
+            self.joined[other] = label
+        self.label[np.isin(self.label, others)] = label
+        return self.node[keep[first]].tolist()
 
 
 def _settled(named: DataFrame, open_: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
