@@ -105,7 +105,7 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     out = src.mapInArrow(cut, f"task int, place long, n_tokens long, ids_crc32 long, ids binary, doc_ids array<{kind}>, starts array<long>")
     # pages of many sequences compress better than single ones
-    return materialize(out, "sequences", compression="zstd", **{"parquet.compression.codec.zstd.level": "6"})
+    return materialize(out, "sequences", compression="zstd", **{"parquet.compression.codec.zstd.level": "9"})
 
 
 def ordered(stored: DataFrame, key: str, per_shard: int = PER_SHARD, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
@@ -130,7 +130,7 @@ def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY,
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        z = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        z = zstandard.ZstdCompressor(level=9, write_checksum=False)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(x.as_py()) for x in b.column(2)], pa.binary())], ["shard", "slot", "ids"])
 
