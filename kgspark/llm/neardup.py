@@ -277,7 +277,10 @@ def _settled(named: DataFrame, open_: DataFrame, nodes: DataFrame, sets: DataFra
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(row, doc_id, th, n_shingles, component_id) for every row of ``docs``."""
+    """(row, doc_id, th, n_shingles, component_id, label) for every row of ``docs``.
+
+    ``label`` tells components apart (null without words); ``component_id`` does not where ids are null or repeated.
+    """
     signed = signatures(docs, id_col, text_col)
     classes = signed.where("fp is not null").groupBy("fp").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"))
     members = materialize(signed.join(classes, "fp", "left").select(
@@ -316,9 +319,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if pairs is None or pairs.isEmpty():
             break
     low = nodes.select("node", "low").join(label, "node").groupBy("label").agg(F.min("low").alias("least"))
-    final = label.join(low, "label").select(F.col("node").alias("v"), "least")
+    final = label.join(low, "label").select(F.col("node").alias("v"), "least", "label")
     return members.join(final, F.col("node") == F.col("v"), "left").select(
-        "row", "doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("least", "low").alias("component_id"))
+        "row", "doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("least", "low").alias("component_id"), F.coalesce("label", "node").alias("label"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -331,7 +334,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay, all columns unchanged: one of each component, and every row without words."""
     found = materialize(near_components(docs, id_col, text_col, percent), "near")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    one = found.where(own & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min("row").alias("row"))
+    one = found.where(own & (F.col("n_shingles") > 0)).groupBy("label").agg(F.min("row").alias("row"))
     stay = found.join(one, "row", "left_semi").union(found.where("n_shingles = 0")).select(F.col("doc_id").alias("__d"), F.col("th").alias("__h"))
     text = F.xxhash64(F.col(text_col).cast("string"))
     out = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__d")) & (text == F.col("__h")), "left_semi")

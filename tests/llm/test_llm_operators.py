@@ -233,6 +233,19 @@ def test_near_dedup_edges(spark):
     assert neardup.near_dedup(docs(spark)).count() == 0 and neardup.drop_near_duplicates(docs(spark)).count() == 0
 
 
+def test_near_drop_keeps_one_of_each_component(spark):
+    """Null and repeated ids do not make one component of texts that are not linked."""
+    r = random.Random(6)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(40)) for _ in range(12)]
+    near = [texts[k] + " more" for k in (0, 6, 11)]
+    ids = [None] * 6 + [4, 4, 4, 7, 7, 9] + [None, 3, None]
+    stay = neardup.drop_near_duplicates(docs(spark, *texts, *near, texts[1], ids=[*ids, None]).repartition(3))
+    got = sorted((x.text.removesuffix(" more"), x.doc_id) for x in stay.collect())
+    assert [t for t, _ in got] == sorted(texts)
+    by = dict(got)
+    assert [by[t] for t in texts] == [None] * 6 + [3, 4, 4, 7, 7, 9]
+
+
 def test_minhash_estimates():
     r = np.random.default_rng(2)
     for share in (0.5, 0.75, 0.9):
