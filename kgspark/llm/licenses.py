@@ -2,9 +2,12 @@
 
 A template is a license notice. For every template length there are overlapping windows of the text, wide enough
 and close enough together that one of them holds a whole notice: windows reach ``STRIDE`` words beyond
-the template and start ``STRIDE`` words apart. Windows meet templates in ``BANDS`` bands of ``ROWS`` MinHash values; a
-window with three quarters of a template's shingles (and so a Jaccard similarity of 0.55 or more) shares a
-band with it with probability 1 - (1 - 0.55^2)^32 > 0.99999. A retrieved window is verified exactly: at
+the template and start ``STRIDE`` words apart. Windows meet templates in ``BANDS`` bands of ``ROWS`` MinHash values. A
+window that just passes has i = three quarters of the template's n distinct shingles and at most ``STRIDE`` more shingles
+than the template has places, so J >= i / (n + places + STRIDE - i); it misses all bands with probability
+(1 - J^2)^32 at most, computed for every template (``miss``). Templates for which that exceeds ``MISS`` (short
+ones) are not left to the bands: every window with one of their shingles retrieves them, so none
+of their windows is missed. A retrieved window is verified exactly: at
 least ``PERCENT`` per cent of the template's five-word shingles occur in it. Windows without any
 template shingle share no MinHash value with one and are skipped before hashing.
 
@@ -31,6 +34,8 @@ from kgspark.llm.decontam import words
 from kgspark.llm.neardup import _mix, word_hashes
 
 SHINGLE, BANDS, ROWS, STRIDE, PERCENT, LIMIT = 5, 32, 2, 2, 75, 10_000
+#: Templates that the bands would miss with a larger probability are retrieved by their shingles.
+MISS = 1e-5
 #: Short public notices of common licenses.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -60,17 +65,31 @@ def _shingled(found: list[bytes]) -> np.ndarray:
     return out
 
 
+def miss(distinct: int, places: int) -> float:
+    """The largest probability that the bands miss a window that passes, for a template of so many shingles."""
+    both = -(-PERCENT * distinct // 100)
+    return (1 - (both / (distinct + places + STRIDE - both)) ** ROWS) ** BANDS
+
+
 class Templates:
     def __init__(self, templates: list[tuple[str, str]]):
         self.factors = np.random.default_rng(8).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
         self.names, self.sets, self.sizes = [], [], []
         self.bands: dict[tuple[int, bytes], list[int]] = {}
+        self.direct: dict[tuple[int, int], list[int]] = {}  # (words, shingle): templates retrieved without bands
+        self.banded: set[int] = set()  # words of the others
         for name, text in templates:
             w = words(text)
             if w:
-                s = np.unique(_shingled(w))
-                for k, band in enumerate(self._bands(s)):
-                    self.bands.setdefault((k, band), []).append(len(self.sets))
+                every = _shingled(w)
+                s = np.unique(every)
+                if miss(len(s), len(every)) > MISS:
+                    for x in s.tolist():
+                        self.direct.setdefault((len(w), x), []).append(len(self.sets))
+                else:
+                    self.banded.add(len(w))
+                    for k, band in enumerate(self._bands(s)):
+                        self.bands.setdefault((k, band), []).append(len(self.sets))
                 self.names.append(name)
                 self.sets.append(s)
                 self.sizes.append(len(w))
@@ -102,7 +121,9 @@ class Templates:
             starts = np.unique(np.concatenate([np.arange(max(0, p - span + 1) // STRIDE, p // STRIDE + 1) for p in known.tolist()])) * STRIDE
             for s in starts.tolist():
                 window = np.unique(at[s:s + span])
-                near = {t for b, band in enumerate(self._bands(window)) for t in self.bands.get((b, band), ())}
+                near = {t for x in window.tolist() for t in self.direct.get((size, x), ())}
+                if size in self.banded:
+                    near.update(t for b, band in enumerate(self._bands(window)) for t in self.bands.get((b, band), ()))
                 for t in near:
                     if self.sizes[t] == size:
                         inside = np.isin(self.sets[t], window)

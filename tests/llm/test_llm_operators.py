@@ -401,6 +401,19 @@ def test_licenses_against_brute_force(spark):
     assert licenses.scan_licenses(docs(spark), []).count() == 0 and licenses.scan_licenses(docs(spark, "x"), []).count() == 0
 
 
+def test_short_licenses_are_never_missed():
+    """Exact short notices in many contexts, at even and odd words; every template is either retrieved directly or missed below 1e-5."""
+    r, index = random.Random(12), licenses.Templates(licenses.TEMPLATES)
+    for name, notice in licenses.TEMPLATES:
+        for k in range(400 if len(notice.split()) < 10 else 20):
+            text = " ".join([f"a{r.randrange(10**6)}" for _ in range(7 + k % 2)] + [notice] + [f"b{r.randrange(10**6)}" for _ in range(7)])
+            assert (name, 7 + k % 2, len(decontam.words(notice)), 1.0) in index.find(text), text
+    for size in range(1, 400):
+        n = max(1, size - 4)
+        one = licenses.Templates([("x", " ".join(f"t{k}" for k in range(size)))])
+        assert one.direct or ((1 - (-(-3 * n // 4) / (2 * n + 2 - -(-3 * n // 4))) ** 2) ** 32 <= 1e-5 and one.bands)
+
+
 # --- exact duplicates --------------------------------------------------------------------
 
 def test_exact_dedup(spark):
