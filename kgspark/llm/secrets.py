@@ -1,14 +1,14 @@
 """Secret scans with a random forest that removes false positives; DataFrame functions only.
 
-A candidate is a run of at least ``MIN`` letters, digits and ``+/_-=`` in a text. The forest judges it by
+A candidate is a run of at least ``MIN`` letters, digits and ``+/_-=`` in a text, without a name and equals sign before its value. Shorter values are no candidates. The forest judges it by
 length, character transitions (changes between letters, digits and cases, vowel and consonant
 alternation, share of digits and distinct characters), dictionary coverage (share of its four-letter
-fragments found in frequent words of the corpus), path (what surrounds it in its word) and the
-neighbouring words. Training takes labelled findings (a bounded sample, ``SAMPLE``); the dictionary is
+fragments found in frequent words of the corpus) and path (what surrounds it in its word). Training takes labelled findings (a bounded sample, ``SAMPLE``); the dictionary is
 counted over all documents and its ``WORDS`` most frequent words are kept, a report of fixed size.
 
-``weak_labels`` labels findings where no reviewed ones exist: an assignment to a name that says secret, with
-quotes, is one; everything else is not.
+``weak_labels`` labels findings where no reviewed ones exist, by evidence (``EVIDENCE``: quotes, assignment and names in
+the neighbouring words) that is no feature: a quoted assignment to a name that says secret is one, a
+finding without assignment and name is not, all others have no label and are not trained on.
 
 Defined cases: null and empty texts have no findings; a candidate repeated in a text is found at each
 place; repeated documents are scanned one by one; labels of one class only give that class's share as
@@ -27,8 +27,12 @@ from kgspark.session import materialize
 MIN, SAMPLE, WORDS, FRAGMENT = 16, 20_000, 5_000, 4
 TREES, DEPTH, SEED = 24, 6, 11
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
+#: A name before a long enough value belongs to the context, not to the secret.
+PREFIX = r"^[A-Za-z0-9_\-]+=+(?=[A-Za-z0-9+/_=\-]{16})"
 NAMED = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth|bearer|private[_-]?key)"
-FEATURES = ["length", "switches", "case_switches", "alternation", "digits", "distinct", "hex", "coverage", "path", "quoted", "assigned", "named_near", "named_far"]
+FEATURES = ["length", "switches", "case_switches", "alternation", "digits", "distinct", "hex", "coverage", "path"]
+#: What weak labels are made of; the forest never sees it.
+EVIDENCE = ["quoted", "assigned", "named_near", "named_far"]
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,7 +44,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.transform(at, lambda i: F.struct(
             i.alias("word"), F.get("w", i).alias("around"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("before"),
             F.coalesce(F.get("w", i - 2), F.lit("")).alias("before2"), F.coalesce(F.get("w", i + 1), F.lit("")).alias("after")))).alias("c")).select("doc_id", "c.*")
-    return hit.withColumn("found", F.regexp_extract_all("around", F.lit(CANDIDATE), F.lit(0))).withColumn("secret", F.explode("found")).drop("found")
+    each = hit.withColumn("found", F.regexp_extract_all("around", F.lit(CANDIDATE), F.lit(0))).withColumn("secret", F.explode("found")).drop("found")
+    return each.withColumn("secret", F.regexp_replace("secret", PREFIX, ""))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -54,7 +59,7 @@ def _fragments(c: Column) -> Column:
 
 
 def featured(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Findings with the forest's features. ``words`` is a dictionary of bounded size."""
+    """Findings with the forest's features and the evidence of weak labels. ``words`` is a dictionary of bounded size."""
     known = words.select(F.explode(_fragments(F.col("w"))).alias("f")).distinct()
     each = found.select("secret").distinct()
     share = each.select("secret", F.explode(_fragments(F.col("secret"))).alias("f")).join(known.withColumn("k", F.lit(1)), "f", "left").groupBy("secret").agg(
@@ -80,8 +85,8 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_labels(f: DataFrame) -> DataFrame:
-    said = (F.col("assigned") > 0) & (F.col("quoted") > 0) & ((F.col("named_near") > 0) | (F.col("named_far") > 0))
-    return f.withColumn("label", said.cast("double"))
+    assigned, named = F.col("assigned") > 0, (F.col("named_near") > 0) | (F.col("named_far") > 0)
+    return f.withColumn("label", F.when(assigned & (F.col("quoted") > 0) & named, 1.0).when(~assigned & ~named, 0.0))
 
 
 class SecretModel:

@@ -117,6 +117,18 @@ def test_secrets(spark):
     assert [x.is_secret for x in secrets.scan_secrets(docs(spark, "plain " + "abcdefghij" * 3)).collect()] == [False]
 
 
+def test_secrets_without_quotes_or_names(spark):
+    """The forest learns the secrets themselves, not the context that labelled them."""
+    r = random.Random(2)
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    texts = [f'words token = "{key()}" end' for _ in range(60)] + [f"see internationalisation{'abcdefghij'[k % 10]}{'word' * (k % 9)} now" for k in range(120)]
+    bare = [key() for _ in range(9)]
+    texts += [f"words TOKEN={k} end" for k in bare[:3]] + [f"words secret is {k} end" for k in bare[3:6]] + [f"words x={k} end" for k in bare[6:]]
+    hit = {(x.doc_id, x.secret) for x in secrets.scan_secrets(docs(spark, *texts)).collect() if x.is_secret}
+    assert all(any(i == 180 + n and k in s for i, s in hit) for n, k in enumerate(bare)) and not [i for i, _ in hit if 60 <= i < 180]
+    assert not set(secrets.EVIDENCE) & set(secrets.FEATURES)
+
+
 def test_secret_plan_has_no_python(spark):
     plan = secrets.candidates(docs(spark, "x"))._jdf.queryExecution().toString() + secrets.dictionary(docs(spark, "x"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
