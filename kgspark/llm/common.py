@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows handed to a Python worker at once: with texts of 100 kB a batch stays near 50 MB.
@@ -39,3 +42,22 @@ def as_bytes(text: str | None) -> bytes:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def units(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows that agree in the first ``keys`` columns, which are sorted, as one table each."""
+    held, last = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = np.stack([b.column(k).to_numpy() for k in range(keys)])
+        cuts = [0, *(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            key = cols[:, lo].tolist()
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kgspark.llm.common import units
 from kgspark.session import materialize
 
 #: Vector components of the rows that a task holds at once, and anchors it scores them with.
@@ -52,25 +53,6 @@ def scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.clip(anchors.astype(object) @ rows.astype(object).T, -LONG, LONG - 1).astype(np.int64)
 
 
-def units(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The rows that agree in the first ``keys`` columns, which are sorted, as one table each."""
-    held, last = [], None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = np.stack([b.column(k).to_numpy() for k in range(keys)])
-        cuts = [0, *(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            key = cols[:, lo].tolist()
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(b.slice(lo, hi - lo))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _matrix(t: pa.Table, dim: int) -> np.ndarray:
     return t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(t.num_rows, dim)
 

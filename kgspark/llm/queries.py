@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kgspark.llm import chat, decontam, exactdup, hardneg, licenses, neardup, packing, secrets, shards, toxicity, urlfilter
+from kgspark.llm import chat, decontam, exactdup, hardneg, licenses, neardup, ngramjoin, packing, phrases, secrets, shards, toxicity, urlfilter
 from kgspark.llm.common import table
 from kgspark.session import shared_dir
 
@@ -51,7 +51,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-@query("op5_minhash_near_dedup")
+def _component_sql(size: int, percent: int, extra: str = "") -> str:
+    """Sets of ``size``-word shingles, links of at least ``percent`` percent, components."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {UP}, {LOW}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS g FROM d, unnest(generate_series(1, greatest(1, len(w) - {size - 1}))) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= {percent} * (a.n + b.n - c)),
+r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id{extra} FROM d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op5_minhash_near_dedup", _component_sql(5, 75, ", d.doc_id = min(r.y) AS kept"))
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -145,6 +158,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.verified(index, shards.read_records(spark, path))
 
 
+@query("op11_ngram_jaccard_join", _component_sql(3, 90))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similarity_join(table(spark, sf_dir, "documents"))
+
+
 SQL12 = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -162,3 +180,25 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+SQL13 = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), {UP}, {LOW}), '[.,;:!?\\x0A-\\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(ps) AS piece FROM d)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, w[i:i + k - 1] AS w FROM p, unnest(generate_series(1, 5)) AS a(k), unnest(generate_series(1, len(w) - k + 1)) AS b(i)),
+f AS (SELECT lang, w, count(*) AS f FROM g GROUP BY lang, w),
+c AS (SELECT lang, w, f AS a FROM f WHERE len(w) >= 2 AND f >= 100),
+inner_ AS (SELECT lang, w[i:i + k - 1] AS w, max(a) AS g FROM c, unnest(generate_series(2, 4)) AS x(k), unnest(generate_series(1, len(w) - k + 1)) AS y(i) WHERE k < len(w) GROUP BY ALL),
+kept AS (SELECT c.lang, c.w, a FROM c LEFT JOIN inner_ ON c.lang = inner_.lang AND c.w = inner_.w WHERE g IS NULL OR 100 * g < 100 * a),
+cuts AS (SELECT kept.lang, kept.w, a, k, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM kept, unnest(generate_series(1, len(kept.w) - 1)) AS t(k) JOIN f l ON l.lang = kept.lang AND l.w = kept.w[1:k]
+  JOIN f r ON r.lang = kept.lang AND r.w = kept.w[k + 1:len(kept.w)] JOIN n ON n.lang = kept.lang),
+best AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, n, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM best WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+"""
+
+
+@query("op13_phrase_collocations", SQL13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
