@@ -61,3 +61,23 @@ def units(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
             last = key
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_units(batches: Iterable[pa.RecordBatch], keys: int, rows: int) -> Iterator[pa.Table]:
+    """Tables of some ``rows`` rows that hold whole units: all rows that agree in the first ``keys`` columns, which are sorted."""
+    held, n = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            t = pa.Table.from_batches(held).combine_chunks()
+            cols = [t.column(k).to_numpy() for k in range(keys)]
+            last = np.flatnonzero(np.logical_or.reduce([c[:-1] != c[-1] for c in cols]))
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last unit may go on
+            if cut:
+                yield t.slice(0, cut)
+                held, n = t.slice(cut).to_batches(), n - cut
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

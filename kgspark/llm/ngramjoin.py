@@ -13,7 +13,8 @@ positions of the shingle in both prefixes bound the overlap), groups are expande
 on the full sets, and links are joined to components.
 
 A group of k near copies is never expanded into pairs: in the first round a class is tested against the nearest of the
-classes that stand for the others of its bucket. In the following rounds every two components that meet in a bucket are tested by
+others of its bucket, or, in large buckets, of those that stand for the others. Buckets with further pairs stay open. In the following
+rounds every two components that meet in an open bucket are tested by
 their nearest ``m`` pairs, ``m`` rising until no bucket holds back a pair. Large buckets are cut into blocks: classes outside the bucket's
 largest component ask, in blocks, every block of the bucket. Links, components and buckets stay in stored tables.
 
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kgspark.llm.common import units
+from kgspark.llm.common import units, whole_units
 from kgspark.llm.components import components
 from kgspark.llm.neardup import shingles
 from kgspark.session import materialize
@@ -43,6 +44,8 @@ CELL_BITS, BLOCK_CELLS = 18, 4096
 CHUNK = 2048
 #: Pairs of two components that are tested in the second round; later rounds take ``GROWTH`` times as many.
 NEAREST, GROWTH = 8, 16
+#: Rows that a task looks at together; rows of a bucket up to which all its pairs are; pairs held at once, and bytes of their bitmaps.
+ROWS, SMALL, PAIRS, PAIR_BYTES = 20_000, 64, 500_000, 16 << 20
 FILTER_BITS = 1 << 27
 #: Texts whose sets are made at once.
 SLICE = 64
@@ -128,81 +131,122 @@ def _buckets(nodes: DataFrame, percent: int) -> DataFrame:
     return materialize(both.join(met, ["token", "band"]).drop("k"), "buckets")
 
 
-class _Bucket:
-    """Classes of one bucket, as arrays; rows of the table hold (g, n, at, held, node, label, bits)."""
+class _Rows:
+    """Rows of many buckets, as arrays: size, place of the shingle in the prefix, whether held, class, component, bitmap."""
 
     def __init__(self, t: pa.Table, percent: int):
-        self.g, self.n, self.at, self.node, self.label = (t.column(c).to_numpy() for c in ("g", "n", "at", "node", "label"))
-        self.held, self.percent = t.column("held").to_numpy(zero_copy_only=False), percent
-        raw = t.column("bits").to_pylist()
-        width = min(map(len, raw), default=8)
-        self.bits = np.empty((len(raw), width // 8), np.uint64)
-        for k, b in enumerate(raw):  # wide bitmaps are folded, which keeps parities
-            self.bits[k] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), 0)
-
-    def near(self, k: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``rows`` that the bounds allow to be linked with row ``k``, and the number of bits that differ."""
-        n, m = self.n[k], self.n[rows]
+        self.n, self.at, self.node, self.label = (t.column(c).to_numpy() for c in ("n", "at", "node", "label"))
+        self.held, self.asks = (t.column(c).to_numpy(zero_copy_only=False) for c in ("held", "asks"))
+        self.percent = percent
+        bits = t.column("bits").combine_chunks()
+        self.begin = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset:bits.offset + len(bits) + 1].astype(np.int64)
+        self.bytes = np.frombuffer(bits.buffers()[2] or b"", np.uint8)
+
+    def _bitmaps(self, rows: np.ndarray, size: int, width: int) -> np.ndarray:
+        """Bitmaps of ``size`` bytes, folded to ``width``, which keeps parities."""
+        out = self.bytes[self.begin[rows][:, None] + np.arange(size)].view(np.uint64)
+        return np.bitwise_xor.reduce(out.reshape(len(rows), -1, width // 8), 1)
+
+    def near(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the row pairs (x, y) the bounds allow to be linked, and the number of bits that differ in these."""
+        n, m = self.n[x], self.n[y]
         need = -(-self.percent * (n + m) // (100 + self.percent))  # so large must the overlap be
-        ok = (self.held[rows] | self.held[k]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)) & (np.minimum(n - self.at[k], m - self.at[rows]) >= need)
-        rows, need = rows[ok], need[ok]
-        if not len(rows):
-            return rows, need
-        differ = np.bitwise_count(self.bits[rows] ^ self.bits[k]).sum(1, dtype=np.int64)
-        ok = (n + self.n[rows] - differ) // 2 >= need
-        return rows[ok], differ[ok]
-
-
-def _first_pairs(t: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Every class with the nearest of those that stand for earlier ones; one that has none stands for itself."""
-    b, out = _Bucket(t, percent), []
-    stand = np.empty(len(b.n), np.int64)
-    many = 0
-    for k in range(len(b.n)):
-        rows, differ = b.near(k, stand[:many])
-        if len(rows):
-            out.append((b.node[k], b.node[rows[differ.argmin()]]))
-        else:
-            stand[many] = k
-            many += 1
-    return out
+        ok = np.flatnonzero((self.held[x] | self.held[y]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)) & (np.minimum(n - self.at[x], m - self.at[y]) >= need))
+        x, y = x[ok], y[ok]
+        one, two = self.begin[x + 1] - self.begin[x], self.begin[y + 1] - self.begin[y]
+        differ = np.zeros(len(ok), np.int64)
+        for size in np.unique(np.stack([one, two], 1), axis=0).tolist() if len(ok) else []:
+            width = min(size)
+            these = np.flatnonzero((one == size[0]) & (two == size[1]))
+            for k in range(0, len(these), max(1, PAIR_BYTES // max(size))):
+                part = these[k:k + max(1, PAIR_BYTES // max(size))]
+                differ[part] = np.bitwise_count(self._bitmaps(x[part], size[0], width) ^ self._bitmaps(y[part], size[1], width)).sum(1, dtype=np.int64)
+        keep = (n[ok] + m[ok] - differ) // 2 >= need[ok]
+        return ok[keep], differ[keep]
+
+
+def _inside(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All row pairs (earlier, later) of units, in blocks of bounded size."""
+    for m in np.unique(sizes[sizes > 1]).tolist():
+        one, two = np.triu_indices(m, 1)
+        units_ = starts[sizes == m]
+        for k in range(0, len(units_), max(1, PAIRS // len(one))):
+            part = units_[k:k + max(1, PAIRS // len(one)), None]
+            yield (part + one).ravel(), (part + two).ravel()
+
+
+def _first_pairs(r: _Rows, starts: np.ndarray, sizes: np.ndarray, blocks: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Every class with the nearest earlier one of its bucket (of large buckets: of those that stand for earlier ones, so that a
+    group of near copies is no matter of its square), and the units in which more pairs may be linked."""
+    found, open_ = [], set(np.flatnonzero(blocks > 1).tolist())
+    unit = np.repeat(np.arange(len(sizes)), sizes)
+    small = sizes <= SMALL
+    for x, y in _inside(starts[small], sizes[small]):
+        keep, differ = r.near(x, y)
+        x, y = x[keep], y[keep]
+        order = np.lexsort((x, differ, y))
+        x, y = x[order], y[order]
+        new = np.concatenate([[True], y[1:] != y[:-1]])[:len(y)]
+        found += zip(r.node[x[new]].tolist(), r.node[y[new]].tolist())
+        open_.update(unit[y[~new]].tolist())
+    for k in np.flatnonzero(~small).tolist():
+        stand = np.empty(sizes[k], np.int64)
+        many = 0
+        for y in range(starts[k], starts[k] + sizes[k]):
+            keep, differ = r.near(stand[:many], np.full(many, y))
+            if len(keep):
+                found.append((int(r.node[stand[keep[differ.argmin()]]]), int(r.node[y])))
+            else:
+                stand[many] = y
+                many += 1
+        open_.add(k)
+    return found, np.array(sorted(open_), np.int64)
 
 
-def _nearest_pairs(t: pa.Table, percent: int, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """The nearest ``most`` pairs of every two components, and whether any pair was held back."""
-    b = _Bucket(t, percent)
-    asks = t.column("asks").to_numpy(zero_copy_only=False)
-    rows, found, kept, back = np.flatnonzero(~asks), [], 0, False
+def _nearest_pairs(r: _Rows, starts: np.ndarray, sizes: np.ndarray, most: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """The nearest ``most`` pairs of every two components of a unit, and the units that hold back pairs."""
+    unit, parts, kept, back = np.repeat(np.arange(len(sizes)), sizes), [], 0, set()
 
-    def cut(parts: list[np.ndarray]) -> tuple[np.ndarray, bool]:
-        x = np.concatenate(parts) if parts else np.zeros((0, 5), np.int64)  # label, label, bits that differ, node, node
-        x = x[np.lexsort((x[:, 4], x[:, 3], x[:, 2], x[:, 1], x[:, 0]))]
-        new = np.concatenate([[True], (x[1:, :2] != x[:-1, :2]).any(1)])[:len(x)]
+    def cut(parts: list[np.ndarray]) -> np.ndarray:
+        x = np.concatenate(parts) if parts else np.zeros((0, 6), np.int64)  # unit, label, label, bits that differ, node, node
+        x = np.unique(x, axis=0)  # in this order
+        new = np.concatenate([[True], (x[1:, :3] != x[:-1, :3]).any(1)])[:len(x)]
         rank = np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
-        return x[rank < most], bool((rank >= most).any())
-
-    for k in np.flatnonzero(asks):
-        other, differ = b.near(k, rows[b.label[rows] != b.label[k]])
-        if len(other):
-            mine, theirs = np.full(len(other), b.label[k]), b.label[other]
-            one, two = np.full(len(other), b.node[k]), b.node[other]
-            found.append(np.stack([np.minimum(mine, theirs), np.maximum(mine, theirs), differ, np.minimum(one, two), np.maximum(one, two)], 1))
-            kept += len(other)
-            if kept > 500_000:
-                part, more = cut(found)
-                found, kept, back = [part], 0, back or more
-    part, more = cut(found)
-    return list({(x, y) for x, y in part[:, 3:].tolist()}), back or more
+        back.update(x[rank >= most, 0].tolist())
+        return x[rank < most]
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        small = sizes <= SMALL
+        yield from _inside(starts[small], sizes[small])
+        for k in np.flatnonzero(~small).tolist():
+            rows = np.arange(starts[k], starts[k] + sizes[k])
+            for y in rows[r.asks[rows]]:
+                yield rows, np.full(len(rows), y)
+
+    for x, y in pairs():
+        ok = (r.asks[x] != r.asks[y]) & (r.label[x] != r.label[y])
+        x, y = x[ok], y[ok]
+        keep, differ = r.near(x, y)
+        if len(keep):
+            x, y = x[keep], y[keep]
+            low = lambda a: (np.minimum(a[x], a[y]), np.maximum(a[x], a[y]))  # noqa: B023, E731
+            parts.append(np.stack([unit[y], *low(r.label), differ, *low(r.node)], 1))
+            kept += len(keep)
+            if kept > PAIRS:
+                parts = [cut(parts)]
+                kept = 0
+    return list({(a, b) for a, b in cut(parts)[:, 4:].tolist()}), np.array(sorted(back), np.int64)
 
 
 def _round(buckets: DataFrame, nodes: DataFrame, label: DataFrame | None, percent: int, most: int) -> DataFrame:
-    """Stored pairs (a, b) to be verified; (-1, -1) tells that more were held back."""
+    """Stored rows: pairs (a, b) to be verified, and buckets (token, band) that hold back more."""
     member = nodes.select("g", "node", "bits")
-    key, cols = ["token", "band"], ["g", "n", "at", "held", "node", "label", "bits", "asks"]
+    key, cols = ["token", "band"], ["n", "at", "held", "node", "label", "bits", "asks", "blocks"]
     if label is None:
         here = buckets.join(member.withColumn("label", F.col("node")).withColumn("asks", F.lit(True)), "g")
-        size = here.groupBy(key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
-        dealt = here.join(size.where("blocks > 1"), key, "left").withColumn("block", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("int")).withColumn("part", F.lit(0))
+        size = here.groupBy(key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks")).where("blocks > 1")
+        dealt = here.join(size, key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("part", F.lit(0))
     else:
         named = nodes.select("g", "node").join(label, "node", "left").select("g", "node", F.coalesce("label", "node").alias("label"))
         here = materialize(buckets.join(named, "g"), "members")
@@ -217,27 +261,22 @@ def _round(buckets: DataFrame, nodes: DataFrame, label: DataFrame | None, percen
         dealt = held.union(asked)
     key = [*key, "block", "part"]
     dealt = dealt.select(*key, *cols).repartition(*key).sortWithinPartitions(*key, "node", "asks")
-
     first = label is None
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int]] = []
-        for t in units(batches, 4):
-            if first:
-                out += _first_pairs(t, percent) if t.num_rows > 1 else []
-            else:
-                pairs, back = _nearest_pairs(t, percent, most)
-                out += pairs + [(-1, -1)] * back
-            if len(out) > 10_000:
-                yield batch(out)
-                out = []
-        yield batch(out)
-
-    def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        x = np.array(out, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(x.min(1)), pa.array(x.max(1))], ["a", "b"])
+        for t in whole_units(batches, 4, ROWS):
+            token, band = t.column("token").to_numpy(), t.column("band").to_numpy()
+            keys = [token, band, t.column("block").to_numpy(), t.column("part").to_numpy()]
+            starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in keys])]))
+            sizes = np.diff(np.append(starts, t.num_rows))
+            r = _Rows(t, percent)
+            pairs, open_ = _first_pairs(r, starts, sizes, t.column("blocks").to_numpy()[starts]) if first else _nearest_pairs(r, starts, sizes, most)
+            x, at = np.array(pairs, np.int64).reshape(-1, 2), starts[open_]
+            none = lambda k, type_: pa.nulls(k, type_)
+            yield pa.RecordBatch.from_arrays([pa.array(x.min(1)), pa.array(x.max(1)), none(len(x), pa.int64()), none(len(x), pa.int32())], ["a", "b", "token", "band"])
+            yield pa.RecordBatch.from_arrays([none(len(at), pa.int64()), none(len(at), pa.int64()), pa.array(token[at]), pa.array(band[at])], ["a", "b", "token", "band"])
 
-    return materialize(dealt.mapInArrow(compare, "a long, b long").distinct(), "pairs")
+    return materialize(dealt.mapInArrow(compare, "a long, b long, token long, band int").distinct(), "pairs")
 
 
 def _sets(docs: DataFrame, need: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -297,8 +336,10 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label, links, tested, sets, most = None, None, None, None, NEAREST
     while True:
         pairs = _round(buckets, nodes, label, percent, most)
-        more = not pairs.where("a < 0").isEmpty()
-        fresh = pairs.where("a >= 0")
+        # buckets all of whose pairs have been looked at are done
+        buckets = buckets.join(pairs.where("a IS NULL").select("token", "band").distinct(), ["token", "band"], "left_semi")
+        more = not pairs.where("a IS NULL").isEmpty()
+        fresh = pairs.where("a IS NOT NULL").select("a", "b")
         if tested is not None:
             fresh = materialize(fresh.join(tested, ["a", "b"], "left_anti"), "fresh")
         if not fresh.isEmpty():
@@ -314,12 +355,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             new = components(links)
         else:
             new = label
-        if label is not None:
-            if not more:
-                label = new
-                break
-            most *= GROWTH
-        label = new if new is not None else nodes.select("node", F.col("node").alias("label")).limit(0)
+        most, label = most if label is None else most * GROWTH, new if new is not None else nodes.select("node", F.col("node").alias("label")).limit(0)
+        if not more:
+            break
     low = members.where("row = node").select("node", "low").join(label, "node").groupBy("label").agg(F.min("low").alias("least"))
     final = label.join(low, "label").select(F.col("node").alias("v"), "least", "label")
     return members.join(final, F.col("node") == F.col("v"), "left").select(
