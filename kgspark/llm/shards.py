@@ -5,8 +5,8 @@ sequences of ``capacity`` ids; only the last of a task is shorter. The sequences
 and numbered 0..n-1 by task and place. A balanced Feistel network over the next even number of bits,
 keyed and with cycle-walking back into the range, permutes these numbers: the slot of a sequence follows
 from its number, the key and n, without a sort or a table. Slot s lies in shard s // ``per_shard`` at byte
-(s % ``per_shard``) * stride, so a reader can go on from any slot. Sequences are dealt by shard and a task writes
-a shard in slot order; shards have a fixed size and slots are spread evenly, whatever the skew of the
+(s % ``per_shard``) * stride, so a reader can go on from any slot. Sequences are dealt by ranges of slots and a task writes the
+shards of its range in slot order; shards have a fixed size and slots are spread evenly, whatever the skew of the
 documents.
 
 A record is ``capacity`` little-endian uint16 ids, padded with ``PAD``, and a line end (stride 2 * capacity + 1). Spark's
@@ -36,6 +36,8 @@ from kgspark.llm.tokens import encoder
 from kgspark.session import materialize
 
 PER_SHARD, ROUNDS, PAD = 4096, 4, 0xFFFF
+#: Bytes of records that one task writes at most, where the session has fewer shuffle partitions.
+RANGE_BYTES = 1 << 30
 
 
 def permute(number: np.ndarray, n: int, key: str, rounds: int = ROUNDS) -> np.ndarray:
@@ -105,7 +107,7 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     out = src.mapInArrow(cut, f"task int, place long, n_tokens long, ids_crc32 long, ids binary, doc_ids array<{kind}>, starts array<long>")
     # pages of many sequences compress better than single ones
-    return materialize(out, "sequences", compression="zstd", **{"parquet.compression.codec.zstd.level": "9"})
+    return materialize(out, "sequences", compression="zstd", **{"parquet.compression.codec.zstd.level": "6"})
 
 
 def ordered(stored: DataFrame, key: str, per_shard: int = PER_SHARD, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
@@ -125,12 +127,16 @@ def ordered(stored: DataFrame, key: str, per_shard: int = PER_SHARD, capacity: i
 
 
 def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY, per_shard: int = PER_SHARD) -> None:
-    """Write the records under ``path``/shard=N, one file each, in slot order."""
+    """Write the records under ``path``/shard=N, one file each, in slot order.
+
+    The slots are cut into ranges of whole shards, one range for a task. The number of ranges follows the shuffle partitions
+    of the session and the bytes, not the number of shards.
+    """
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        z = zstandard.ZstdCompressor(level=9, write_checksum=False)
+        z = zstandard.ZstdCompressor(level=5, write_checksum=False)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(x.as_py()) for x in b.column(2)], pa.binary())], ["shard", "slot", "ids"])
 
@@ -148,8 +154,11 @@ def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["shard", "record"])
 
     if n:
+        shards = -(-n // per_shard)
+        wanted = max(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * (2 * capacity + 1) // RANGE_BYTES)
+        each = -(-shards // wanted)
         small = placed.select("shard", "slot", "ids").mapInArrow(squeeze, "shard long, slot long, ids binary")
-        dealt = small.repartition(-(-n // per_shard), "shard").sortWithinPartitions("shard", "slot")
+        dealt = small.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("slot")
         # raw bytes pass the text writer unchanged; it adds the line end that closes a record
         dealt.select("shard", "ids").mapInArrow(records, "shard long, record binary").select(
             "shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("compression", "none").text(path)
