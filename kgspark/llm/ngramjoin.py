@@ -44,8 +44,8 @@ CELL_BITS, BLOCK_CELLS = 18, 4096
 CHUNK = 2048
 #: Pairs of two components that are tested in the second round; later rounds take ``GROWTH`` times as many.
 NEAREST, GROWTH = 8, 16
-#: Rows that a task looks at together; rows of a bucket up to which all its pairs are; pairs held at once, and bytes of their bitmaps.
-ROWS, SMALL, PAIRS, PAIR_BYTES = 20_000, 64, 500_000, 16 << 20
+#: Rows that a task looks at together; rows of a bucket up to which all its pairs are; pairs held at once, and words of their bitmaps.
+ROWS, SMALL, PAIRS, PAIR_WORDS = 20_000, 64, 200_000, 1 << 18
 FILTER_BITS = 1 << 27
 #: Texts whose sets are made at once.
 SLICE = 64
@@ -139,13 +139,13 @@ class _Rows:
         self.held, self.asks = (t.column(c).to_numpy(zero_copy_only=False) for c in ("held", "asks"))
         self.percent = percent
         bits = t.column("bits").combine_chunks()
-        self.begin = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset:bits.offset + len(bits) + 1].astype(np.int64)
-        self.bytes = np.frombuffer(bits.buffers()[2] or b"", np.uint8)
+        ends = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset:bits.offset + len(bits) + 1]
+        self.begin, self.words = ends.astype(np.int64) // 8, np.frombuffer(bits.buffers()[2] or b"", np.uint64, ends[-1] // 8)
 
     def _bitmaps(self, rows: np.ndarray, size: int, width: int) -> np.ndarray:
-        """Bitmaps of ``size`` bytes, folded to ``width``, which keeps parities."""
-        out = self.bytes[self.begin[rows][:, None] + np.arange(size)].view(np.uint64)
-        return np.bitwise_xor.reduce(out.reshape(len(rows), -1, width // 8), 1)
+        """Bitmaps of ``size`` words, folded to ``width``, which keeps parities."""
+        out = self.words[self.begin[rows][:, None] + np.arange(size)]
+        return np.bitwise_xor.reduce(out.reshape(len(rows), -1, width), 1)
 
     def near(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the row pairs (x, y) the bounds allow to be linked, and the number of bits that differ in these."""
@@ -158,8 +158,8 @@ class _Rows:
         for size in np.unique(np.stack([one, two], 1), axis=0).tolist() if len(ok) else []:
             width = min(size)
             these = np.flatnonzero((one == size[0]) & (two == size[1]))
-            for k in range(0, len(these), max(1, PAIR_BYTES // max(size))):
-                part = these[k:k + max(1, PAIR_BYTES // max(size))]
+            for k in range(0, len(these), max(1, PAIR_WORDS // max(size))):
+                part = these[k:k + max(1, PAIR_WORDS // max(size))]
                 differ[part] = np.bitwise_count(self._bitmaps(x[part], size[0], width) ^ self._bitmaps(y[part], size[1], width)).sum(1, dtype=np.int64)
         keep = (n[ok] + m[ok] - differ) // 2 >= need[ok]
         return ok[keep], differ[keep]
