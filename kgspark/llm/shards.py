@@ -138,19 +138,14 @@ def write_shards(placed: DataFrame, n: int, path: str, capacity: int = CAPACITY,
 
         z = zstandard.ZstdCompressor(level=5, write_checksum=False)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(x.as_py()) for x in b.column(2)], pa.binary())], ["shard", "slot", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([*map(z.compress, b.column(2).to_pylist())], pa.binary())], ["shard", "slot", "ids"])
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        z = zstandard.ZstdDecompressor()
+        z, pad = zstandard.ZstdDecompressor(), np.full(capacity, PAD, "<u2").tobytes()
         for b in batches:
-            out = []
-            for data in b.column(1):
-                record = np.full(capacity, PAD, "<u2")
-                ids = np.frombuffer(z.decompress(data.as_py()), "<u2")
-                record[:len(ids)] = ids
-                out.append(record.tobytes())
+            out = [ids + pad[len(ids):] for ids in map(z.decompress, b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["shard", "record"])
 
     if n:
@@ -176,10 +171,11 @@ def read_records(spark: SparkSession, path: str, capacity: int = CAPACITY, per_s
                 data = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride)
                 for k in range(0, len(data), 512):
                     ids = np.ascontiguousarray(data[k:k + 512, :-1]).view("<u2")
-                    held = [r[r != PAD].tobytes() for r in ids]
+                    full = (ids != PAD).sum(1).tolist()  # the padding follows the ids
+                    held = [r[:n].tobytes() for r, n in zip(ids, full)]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(int(shard.as_py()) * per_shard + k + np.arange(len(ids)), pa.int64()),
-                        pa.array([len(h) // 2 for h in held], pa.int64()), pa.array(held, pa.binary())], ["slot", "n_tokens", "ids"])
+                        pa.array(full, pa.int64()), pa.array(held, pa.binary())], ["slot", "n_tokens", "ids"])
 
     return files.mapInArrow(cut, "slot long, n_tokens long, ids binary").where(F.col("slot") >= first_slot)
 
