@@ -2,14 +2,14 @@
 
 Documents are sets of distinct three-word shingles; two are linked when their sets overlap in at least nine tenths of
 their union. Shingles have a total order, rare ones first; two sets that are similar enough share a shingle among
-their first ``n - ceil(0.9 n) + 1`` ones, their prefixes. Any order gives right results; this one comes from a table of 2^18 counters
+their first ``n - ceil(0.9 n) + 1`` ones, their prefixes. Any order gives right results; this one comes from a table of 2^22 counters
 over all texts, which tells shingles apart that many documents share.
 
 Equal sets become one class, and classes of equal size and prefix one group. Groups, not documents, are posted under the
 shingles of their prefixes; postings that meet no other one are dropped, and the rest are dealt out by (shingle, size band), where
 sizes of linked sets lie in the same or the next band. There the groups of a bucket are filtered in pairs (sizes, and the
 positions of the shingle in both prefixes bound the overlap), groups are expanded to their classes, and a parity bitmap of each class
-(as many bits as its set has shingles) bounds the overlap again; both bounds are exact, so they lose nothing. What passes is verified
+(half as many bits as its set has shingles, or more) bounds the overlap again; both bounds are exact, so they lose nothing. What passes is verified
 on the full sets, and links are joined to components.
 
 A group of k near copies is never expanded into pairs: in the first round a class is tested against the nearest of the
@@ -39,7 +39,7 @@ from kgspark.llm.neardup import shingles
 from kgspark.session import materialize
 
 SHINGLE, PERCENT = 3, 90
-CELL_BITS, BLOCK_CELLS = 18, 4096
+CELL_BITS, BLOCK_CELLS = 22, 65536
 #: Classes of a bucket that one task compares with one another, or asks at once.
 CHUNK = 2048
 #: Pairs of two components that are tested in the second round; later rounds take ``GROWTH`` times as many.
@@ -60,34 +60,36 @@ def cells(sets: np.ndarray) -> np.ndarray:
 
 
 def levels(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """How common the shingles of each counter are, in half powers of two: 2^18 bytes."""
+    """How common the shingles of each counter are, in half powers of two: 2^22 bytes."""
     src = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
+        total = np.zeros(1 << CELL_BITS, np.uint32)
         for b in batches:
             for k in range(0, b.num_rows, SLICE):
                 found = [shingles(t.as_py(), size) for t in b.column(0).slice(k, SLICE)]
-                total += np.bincount(cells(np.concatenate(found)), minlength=1 << CELL_BITS)
+                np.add.at(total, cells(np.concatenate(found)), np.uint32(1))
         for k in range(0, len(total), BLOCK_CELLS):
-            if (part := total[k:k + BLOCK_CELLS]).any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK_CELLS], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "counts"])
+            if (part := total[k:k + BLOCK_CELLS]).any():  # what is common in one task is common enough
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK_CELLS], pa.int32()), pa.array([np.minimum(part, 255).astype(np.uint8).tobytes()], pa.binary())], ["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in units(batches, 1):
-            total = sum(np.frombuffer(c, np.int64) for c in t.column(1).to_pylist())
+            total = np.zeros(BLOCK_CELLS, np.int64)
+            for c in t.column(1):
+                total += np.frombuffer(c.as_buffer(), np.uint8)
             low = np.ceil(2 * np.log2(total + 1)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([t.column(0)[:1].combine_chunks(), pa.array([low.tobytes()], pa.binary())], ["block", "levels"])
 
-    out = np.zeros((1 << CELL_BITS - 12, BLOCK_CELLS), np.uint8)
+    out = np.zeros(((1 << CELL_BITS) // BLOCK_CELLS, BLOCK_CELLS), np.uint8)
     for r in src.mapInArrow(count, "block int, counts binary").repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, levels binary").collect():
         out[r["block"]] = np.frombuffer(r["levels"], np.uint8)
     return out.ravel()
 
 
 def parity(s: np.ndarray) -> bytes:
-    """A bit for every shingle, or rather for an odd number of them: no fewer bits than shingles."""
-    width = 1 << max(6, (len(s) - 1).bit_length())
+    """A bit for every shingle, or rather for an odd number of them; at least half as many bits as shingles."""
+    width = 1 << max(6, (len(s) - 1).bit_length() - 1)
     return np.packbits(np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
 
 
@@ -127,7 +129,9 @@ def _buckets(nodes: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log("n") * F.lit((1 - 1e-9) / log(100 / percent))).cast("int")
     both = posted.join(shared, "token").withColumn("own", band).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
     both = materialize(both.select("token", "band", "g", "n", "k", "at", (F.col("own") == F.col("band")).alias("held")), "posted")
-    met = both.groupBy("token", "band").agg(F.sum("k").alias("all"), F.max("held").alias("any")).where("all > 1 and any").select("token", "band")
+    # of two linked sets the smaller one, which is held, has the shingle in a prefix that is shorter still
+    short = F.col("held") & (F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
+    met = both.groupBy("token", "band").agg(F.sum("k").alias("all"), F.max(short).alias("any")).where("all > 1 and any").select("token", "band")
     return materialize(both.join(met, ["token", "band"]).drop("k"), "buckets")
 
 
