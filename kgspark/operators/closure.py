@@ -2,8 +2,8 @@
 
 Loops are semi-naive: each round joins only the rows found in the round before, the new rows
 are written to the shared folder, and a round without new rows ends the loop. There is no round
-limit unless a caller asks for one, which then raises an error; path lengths double from round to
-round, so a chain of n nodes takes about log2(n) rounds.
+limit unless a caller asks for one, which then raises an error; closures double path lengths from round
+to round, and path searches contract chains, so a chain of n nodes takes about log2(n) rounds.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ from kgspark.model import (
 from kgspark.operators.pattern import order_limit, semi
 from kgspark.session import materialize
 
-#: Single steps of a path search before it goes on with doubled steps.
+#: Steps of a path search before it contracts chains.
 SINGLE_STEPS = 8
+#: Stored rounds that a plan reads before they are put together.
+MANY = 16
 
 
 def _rounds(limit: int | None, what: str) -> Iterator[int]:
@@ -73,36 +75,74 @@ def transitive_closure(pairs: DataFrame, keys: tuple = (), max_rounds: int | Non
         known.append(delta)
 
 
+def contract_chains(edges: DataFrame, keep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chains of edges as single edges: (a, b, chain), and (node, chain) of the nodes inside them.
+
+    A node with one edge in and one out lies inside a chain, unless it is in ``keep`` (node). Every such node
+    points to the next one of its chain and then, by pointer jumping, twice as far each round, until
+    all point to the last one, whose name is the chain's. Edges of whole cycles, which nothing enters, go.
+    """
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    degree = ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    loops = edges.where("a = b").select(F.col("a").alias("node"))
+    inner = materialize(degree.where("out = 1 AND into = 1").select("node").join(keep, "node", "left_anti").join(loops, "node", "left_anti"), "inner")
+    step = edges.join(inner.withColumnRenamed("node", "a"), "a", "left_semi")
+    to = inner.select(F.col("node").alias("b"), F.lit(True).alias("inside"))
+    # the last node of a chain points to itself
+    jump = materialize(step.join(to, "b", "left").select(F.col("a").alias("node"), F.when(F.col("inside"), F.col("b")).otherwise(F.col("a")).alias("to")), "jump")
+    moving = None
+    while True:
+        far = jump.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        now = materialize(jump.join(far, "to").select("node", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")), "jump")
+        n = now.where("moved").count()
+        jump = now.select("node", "to")
+        # pointers that still move though no further one came to rest go round on a cycle
+        if n == 0 or n == moving:
+            break
+        moving = n
+    last = jump.where("node = to").select(F.col("node").alias("chain"))
+    inside = materialize(jump.withColumnRenamed("to", "chain").join(last, "chain", "left_semi").select("node", "chain"), "inside")
+    leave = edges.join(last.withColumnRenamed("chain", "a"), "a").select(F.col("a").alias("chain"), F.col("b").alias("end"))
+    outer = edges.join(inner.withColumnRenamed("node", "a"), "a", "left_anti").join(inside.withColumnRenamed("node", "b"), "b", "left")
+    outer = outer.join(leave, "chain", "left").select("a", F.coalesce("end", "b").alias("b"), "chain")
+    return materialize(outer.distinct(), "contracted"), inside
+
+
 def reach(edges: DataFrame, starts: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Nodes reachable from the start nodes over (a, b) edges in one or more steps.
 
-    After ``SINGLE_STEPS`` steps a search that still finds nodes goes on over the edges between
-    unseen nodes with steps of 1, 2, 4, ... edges at once, so long chains end after few rounds.
+    Every round takes one step from the nodes found last. A search that is not over after ``SINGLE_STEPS``
+    steps first contracts the chains among the edges that lead to unseen nodes, so that a chain is one
+    step, whatever its length. No table of a round has more rows than there are edges.
     """
     edges = materialize(edges.select("a", "b").distinct(), "steps")
     frontier = starts.select(F.col(starts.columns[0]).alias("node")).distinct()
     seen: list[DataFrame] = []
+    visited, inside = [], None
     for i in _rounds(max_rounds, "path search"):
+        if i == SINGLE_STEPS:
+            fresh = edges.join(_union(seen).withColumnRenamed("node", "b"), "b", "left_anti").select("a", "b")
+            edges, inside = contract_chains(materialize(fresh, "steps"), frontier)
+        if inside is not None:
+            visited.append(frontier)
         nxt = edges.join(frontier, edges["a"] == frontier["node"]).select(F.col("b").alias("node")).distinct()
         if seen:
             nxt = nxt.join(_union(seen), "node", "left_anti")
         nxt = materialize(nxt, "reach")
         if nxt.isEmpty():
-            return _union(seen) if seen else nxt
+            break
         seen.append(nxt)
-        if i < SINGLE_STEPS:
-            frontier = nxt
-            continue
-        # hops: walks of exactly 2^k edges that end outside what the single steps saw; frontier: all found since
-        if i == SINGLE_STEPS:
-            old = _union(seen[:-1]) if len(seen) > 1 else nxt.limit(0)
-            edges = materialize(edges.join(old.select(F.col("node").alias("b")), "b", "left_anti").select("a", "b"), "hops")
-            fresh = [nxt]
-        else:
-            edges = materialize(edges.join(edges.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select(
-                "a", F.col("c").alias("b")).distinct(), "hops")
-            fresh.append(nxt)
-        frontier = _union(fresh)
+        frontier = nxt
+        if len(seen) > MANY:  # plans stay small however many rounds there are
+            seen = [materialize(_union(seen), "reach")]
+        if len(visited) > MANY:
+            visited = [materialize(_union(visited), "reach")]
+    found = _union(seen) if seen else nxt
+    if inside is None:
+        return found
+    entered = edges.join(_union(visited).withColumnRenamed("node", "a"), "a", "left_semi").where("chain IS NOT NULL").select("chain").distinct()
+    return found.unionByName(inside.join(entered, "chain", "left_semi").select("node"))
 
 
 def path_plus(quads: DataFrame, predicate: str, start: str) -> DataFrame:
@@ -303,13 +343,18 @@ def components(pairs: DataFrame, max_rounds: int | None = None) -> DataFrame:
             return lab
 
 
-def rewrite(triples: DataFrame, reps: DataFrame) -> DataFrame:
-    """Replace nodes by their representative."""
-    r = reps.select(F.col("node"), F.col("rep"))
-    out = triples.join(r.toDF("s", "__rs"), "s", "left").join(
-        r.toDF("__o", "__ro"), (F.col("o") == F.col("__o")) & is_node(), "left")
-    return out.select(F.coalesce("__rs", "s").alias("s"), "s_kind", "p", F.coalesce("__ro", "o").alias("o"), "o_kind",
-                      "o_datatype", "o_lang").distinct()
+def touching(triples: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows in which a node that has another representative stands, with the representatives as ``__s``, ``__p``, ``__o``."""
+    out = triples
+    for c in ("s", "p", "o"):
+        r = reps.select(F.col("node").alias(f"__n{c}"), F.col("rep").alias(f"__{c}"))
+        out = out.join(r, (F.col(c) == F.col(f"__n{c}")) & (is_node() if c == "o" else F.lit(True)), "left").drop(f"__n{c}")
+    return out.where("coalesce(__s, __p, __o) IS NOT NULL")
+
+
+def rewrite(touched: DataFrame) -> DataFrame:
+    """``touching`` rows with every node replaced by its representative."""
+    return touched.select(*[(F.coalesce(f"__{c}", c) if c in ("s", "p", "o") else F.col(c)).alias(c) for c in TRIPLE_COLS]).distinct()
 
 
 def list_members(triples: DataFrame) -> DataFrame:
@@ -320,94 +365,128 @@ def list_members(triples: DataFrame) -> DataFrame:
         rest.join(first, "b").select(F.col("a").alias("l"), "member")).distinct()
 
 
-def owlrl_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """RDFS plus inverse, symmetric, transitive, functional, equivalence, sameAs, hasValue,
-    someValuesFrom, intersection and union rules, to the fixpoint.
-
-    Nodes known to be the same are replaced by their smallest member (one row per sameAs pair
-    to the representative is kept), because spelling out every alias would multiply all rows.
-    """
-    base = triples.select(TRIPLE_COLS).distinct()
-    schema = Schema(base)
-    of_type = lambda c: base.where((F.col("p") == TYPE) & (F.col("o") == OWL + c)).select(F.col("s").alias("p")).distinct()
-    pairs = lambda p, a, b: base.where((F.col("p") == OWL + p) & is_node()).select(F.col("s").alias(a), F.col("o").alias(b))
-    inv = materialize(pairs("inverseOf", "p", "q").unionByName(pairs("inverseOf", "q", "p").select("p", "q")).unionByName(
-        of_type("SymmetricProperty").select("p", F.col("p").alias("q"))).distinct(), "inv")
-    transitive, functional, inverse_functional = (materialize(of_type(c), "prop") for c in (
-        "TransitiveProperty", "FunctionalProperty", "InverseFunctionalProperty"))
-    on_prop = pairs("onProperty", "r", "p")
-    has_value = materialize(on_prop.join(base.where(F.col("p") == OWL + "hasValue").select(
-        F.col("s").alias("r"), F.col("o").alias("v"), F.col("o_kind").alias("vk"), F.col("o_datatype").alias("vd"),
-        F.col("o_lang").alias("vl")), "r"), "hasvalue")
-    some = materialize(on_prop.join(pairs("someValuesFrom", "r", "c"), "r"), "some")
-    members = list_members(base)
-    union_of = materialize(pairs("unionOf", "c", "l").join(members, "l").select("c", "member").distinct(), "union")
-    inter = materialize(pairs("intersectionOf", "c", "l").join(members, "l").select("c", "member").distinct(), "inter")
-    inter_size = inter.groupBy("c").agg(F.count(F.lit(1)).alias("need"))
-
-    # a rule whose schema side holds nothing is left out of every round
-    has = {k: not d.isEmpty() for k, d in {"inverse": inv, "value": has_value, "some": some, "union": union_of, "inter": inter,
-                                           "transitive": transitive, "functional": functional, "inverse_functional": inverse_functional}.items()}
-    types = lambda d: d.where((F.col("p") == TYPE) & is_node())
-    typing = lambda df: df.select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c")))
-    all_rows, same = materialize(base.unionByName(_sub_rows(schema)).distinct(), "owl"), None
-    delta = all_rows
-    for _ in _rounds(max_rounds, "rule closure"):
-        nodes, d_types, a_types = delta.where(is_node()), types(delta), types(all_rows)
-        out = [rdfs_inferred(delta, schema, distinct=False)]
-        if has["inverse"]:
-            out.append(nodes.join(inv, "p").select(*node_triples(F.col("o"), F.col("q"), F.col("s"))))
-        if has["value"]:  # x type R, R hasValue v on p -> x p v, and back
-            out.append(d_types.select("s", F.col("o").alias("r")).join(has_value, "r").select(
+SCHEMA_PREDICATES = [SUBCLASS, SUBPROP, DOMAIN, RANGE, RDF + "first", RDF + "rest"] + [OWL + x for x in (
+    "equivalentClass", "equivalentProperty", "inverseOf", "onProperty", "hasValue", "someValuesFrom", "unionOf", "intersectionOf")]
+SCHEMA_TYPES = [OWL + x for x in ("SymmetricProperty", "TransitiveProperty", "FunctionalProperty", "InverseFunctionalProperty")]
+
+
+def is_schema() -> Column:
+    """Rows that the schema side of the rules is made of."""
+    return F.col("p").isin(SCHEMA_PREDICATES) | (F.col("p") == TYPE) & F.col("o").isin(SCHEMA_TYPES)
+
+
+class Rules:
+    """The schema side of the rules, as stored tables; a rule whose schema side holds nothing is left out of every round."""
+
+    def __init__(self, triples: DataFrame):
+        base = materialize(triples.where(is_schema()), "axioms")
+        self.schema = Schema(base)
+        of_type = lambda c: base.where((F.col("p") == TYPE) & (F.col("o") == OWL + c)).select(F.col("s").alias("p")).distinct()
+        pairs = lambda p, a, b: base.where((F.col("p") == OWL + p) & is_node()).select(F.col("s").alias(a), F.col("o").alias(b))
+        self.inverse = materialize(pairs("inverseOf", "p", "q").unionByName(pairs("inverseOf", "q", "p").select("p", "q")).unionByName(
+            of_type("SymmetricProperty").select("p", F.col("p").alias("q"))).distinct(), "inv")
+        self.transitive, self.functional, self.inverse_functional = (materialize(of_type(c), "prop") for c in (
+            "TransitiveProperty", "FunctionalProperty", "InverseFunctionalProperty"))
+        on_prop = pairs("onProperty", "r", "p")
+        self.value = materialize(on_prop.join(base.where(F.col("p") == OWL + "hasValue").select(
+            F.col("s").alias("r"), F.col("o").alias("v"), F.col("o_kind").alias("vk"), F.col("o_datatype").alias("vd"),
+            F.col("o_lang").alias("vl")), "r"), "hasvalue")
+        self.some = materialize(on_prop.join(pairs("someValuesFrom", "r", "c"), "r"), "some")
+        members = list_members(base)
+        self.union_of = materialize(pairs("unionOf", "c", "l").join(members, "l").select("c", "member").distinct(), "union")
+        self.inter = materialize(pairs("intersectionOf", "c", "l").join(members, "l").select("c", "member").distinct(), "inter")
+        self.has = {k for k in ("inverse", "transitive", "functional", "inverse_functional", "value", "some", "union_of", "inter") if not getattr(self, k).isEmpty()}
+
+    def derived(self, delta: DataFrame, all_rows: DataFrame) -> DataFrame:
+        """What follows from one application of every rule to rows of which at least one is in ``delta``."""
+        types = lambda d: d.where((F.col("p") == TYPE) & is_node())
+        typing = lambda df: df.select(*node_triples(F.col("s"), F.lit(TYPE), F.col("c")))
+        nodes, d_types, a_types, value = delta.where(is_node()), types(delta), types(all_rows), self.value
+        out = [rdfs_inferred(delta, self.schema, distinct=False)]
+        if "inverse" in self.has:
+            out.append(nodes.join(self.inverse, "p").select(*node_triples(F.col("o"), F.col("q"), F.col("s"))))
+        if "value" in self.has:  # x type R, R hasValue v on p -> x p v, and back
+            out.append(d_types.select("s", F.col("o").alias("r")).join(value, "r").select(
                 "s", F.when(F.startswith("s", F.lit("_:")), "bnode").otherwise("iri").alias("s_kind"), "p", F.col("v").alias("o"),
                 F.col("vk").alias("o_kind"), F.col("vd").alias("o_datatype"), F.col("vl").alias("o_lang")))
-            out.append(typing(delta.join(has_value, (delta["p"] == has_value["p"]) & (F.col("o") == F.col("v")) & (F.col("o_kind") == F.col("vk"))
+            out.append(typing(delta.join(value, (delta["p"] == value["p"]) & (F.col("o") == F.col("v")) & (F.col("o_kind") == F.col("vk"))
                               & F.col("o_datatype").eqNullSafe(F.col("vd")) & (F.col("o_lang") == F.col("vl"))).select("s", F.col("r").alias("c"))))
-        if has["union"]:
-            out.append(typing(d_types.join(union_of, F.col("o") == F.col("member")).select("s", "c")))
-        if has["inter"]:  # every member class gives the intersection, the intersection gives each member
-            out.append(typing(semi(a_types, d_types, "s").select("s", F.col("o").alias("member")).join(inter, "member").groupBy("s", "c").agg(
-                F.count_distinct("member").alias("n")).join(inter_size, "c").where("n = need").select("s", "c")))
-            out.append(typing(d_types.join(inter, F.col("o") == F.col("c")).select("s", F.col("member").alias("c"))))
+        if "union_of" in self.has:
+            out.append(typing(d_types.join(self.union_of, F.col("o") == F.col("member")).select("s", "c")))
+        if "inter" in self.has:  # every member class gives the intersection, the intersection gives each member
+            need = self.inter.groupBy("c").agg(F.count(F.lit(1)).alias("need"))
+            out.append(typing(semi(a_types, d_types, "s").select("s", F.col("o").alias("member")).join(self.inter, "member").groupBy("s", "c").agg(
+                F.count_distinct("member").alias("n")).join(need, "c").where("n = need").select("s", "c")))
+            out.append(typing(d_types.join(self.inter, F.col("o") == F.col("c")).select("s", F.col("member").alias("c"))))
         for left, right in ((delta, all_rows), (all_rows, delta)):
-            if has["transitive"]:
-                a = left.where(is_node()).join(transitive, "p").select("s", "p", F.col("o").alias("m"))
+            if "transitive" in self.has:
+                a = left.where(is_node()).join(self.transitive, "p").select("s", "p", F.col("o").alias("m"))
                 b = right.where(is_node()).select(F.col("s").alias("m"), "p", "o")
                 out.append(a.join(b, ["p", "m"]).select(*node_triples(F.col("s"), F.col("p"), F.col("o"))))
-            if has["some"]:
-                x = left.where(is_node()).select("s", "p", F.col("o").alias("y")).join(some, "p")
+            if "some" in self.has:
+                x = left.where(is_node()).select("s", "p", F.col("o").alias("y")).join(self.some, "p")
                 y = types(right).select(F.col("s").alias("y"), F.col("o").alias("c"))
                 thing = x.where(F.col("c") == OWL + "Thing").select("s", F.col("r").alias("c"))
                 out.append(typing(x.join(y, ["y", "c"]).select("s", F.col("r").alias("c")).unionByName(thing)))
-        new = materialize(subtract(_union(out).distinct(), all_rows), "owl")
-        grown = _union([all_rows, new])
-        # equal nodes: asserted, two objects of a functional, two subjects of an inverse functional property
-        eq = grown.where((F.col("p") == SAME_AS) & is_node()).select(F.col("s").alias("a"), F.col("o").alias("b"))
-        g = grown.where(is_node())
-        clashes = []
-        if has["functional"]:
-            clashes.append(g.join(functional, "p").select("s", "p", "o"))
-        if has["inverse_functional"]:
-            clashes.append(g.join(inverse_functional, "p").select(F.col("o").alias("s"), "p", F.col("s").alias("o")))
-        for d in clashes:
-            low = d.groupBy("s", "p").agg(F.min("o").alias("b"))
-            eq = eq.unionByName(d.join(low, ["s", "p"]).where("o <> b").select(F.col("o").alias("a"), "b"))
-        eq = materialize(eq.where("a <> b").distinct(), "eq")
-        fresh = eq if same is None else eq.join(same.select(F.col("node").alias("a"), F.col("rep").alias("b")), ["a", "b"], "left_anti")
-        if not fresh.isEmpty():
-            known = eq if same is None else eq.unionByName(same.toDF("a", "b"))
-            reps = components(known)
-            same = reps.where("node <> rep")
-            rows = rewrite(grown.where(F.col("p") != SAME_AS), reps).unionByName(
-                same.select(*node_triples(F.col("node"), F.lit(SAME_AS), F.col("rep"))))
-            nxt = materialize(rows.distinct(), "owl")
-            delta, all_rows = materialize(subtract(nxt, all_rows), "owl"), nxt
-            if delta.isEmpty() and new.isEmpty():
+        return _union(out).distinct()
+
+    def equal(self, delta: DataFrame, all_rows: DataFrame) -> DataFrame:
+        """(a, b) nodes that are the same: stated in ``delta``, or two values where ``delta`` added one and a property allows one."""
+        out = delta.where((F.col("p") == SAME_AS) & is_node()).select(F.col("s").alias("a"), F.col("o").alias("b"))
+        for name, key, other in (("functional", "s", "o"), ("inverse_functional", "o", "s")):
+            if name in self.has:
+                grown = delta.where(is_node()).join(getattr(self, name), "p").select(F.col(key).alias("k"), "p").distinct()
+                d = all_rows.where(is_node()).select(F.col(key).alias("k"), "p", F.col(other).alias("a")).join(grown, ["k", "p"], "left_semi")
+                low = d.groupBy("k", "p").agg(F.min("a").alias("b"))
+                out = out.unionByName(d.join(low, ["k", "p"]).select("a", "b"))
+        return out.where("a <> b").distinct()
+
+
+def owlrl_closure(triples: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """RDFS plus inverse, symmetric, transitive, functional, equivalence, sameAs, hasValue,
+    someValuesFrom, intersection and union rules, to the fixpoint.
+
+    Nodes known to be the same are replaced by their smallest member (one row per sameAs pair
+    to the representative is kept), because spelling out every alias would multiply all rows. Only new pairs go into the
+    components of a round: earlier ones have been replaced already. Only rows that hold a replaced node are written
+    anew. Classes, properties, lists and restrictions may be replaced, or found, like any other node; then the
+    schema side of the rules is built again and all rows meet it once more.
+    """
+    base = triples.select(TRIPLE_COLS).distinct()
+    rules = Rules(base)
+    parts, same = [materialize(base.unionByName(_sub_rows(rules.schema)).distinct(), "owl")], None
+    delta = parts[0]
+    for _ in _rounds(max_rounds, "rule closure"):
+        all_rows = _union(parts)
+        new = materialize(subtract(rules.derived(delta, all_rows), all_rows), "owl")
+        grown = _union([*parts, new])
+        eq = materialize(rules.equal(delta.unionByName(new), grown), "eq")
+        if same is not None:  # what has been replaced already says nothing new
+            eq = materialize(eq.join(same.select(F.col("node").alias("a"), F.col("rep").alias("b")), ["a", "b"], "left_anti"), "eq")
+        changed = new.where(is_schema())
+        if eq.isEmpty():
+            if new.isEmpty():
                 return all_rows
-            continue
-        if new.isEmpty():
-            return all_rows
-        all_rows, delta = grown, new
+            parts, delta, again = [*parts, new], new, not changed.isEmpty()
+        else:
+            reps = materialize(components(eq).where("node <> rep"), "reps")
+            known = reps if same is None else same.join(reps.toDF("rep", "__r"), "rep", "left").select("node", F.coalesce("__r", "rep").alias("rep")).unionByName(reps)
+            same = materialize(known, "same")
+            rows = grown.where(F.col("p") != SAME_AS)
+            touched = materialize(touching(rows, reps), "touched")
+            written = rewrite(touched).unionByName(same.select(*node_triples(F.col("node"), F.lit(SAME_AS), F.col("rep"))))
+            rest = subtract(rows, touched.select(TRIPLE_COLS))
+            kept = subtract(new.where(F.col("p") != SAME_AS), touched.select(TRIPLE_COLS))
+            delta = materialize(subtract(written.distinct(), rest).unionByName(kept).distinct(), "owl")
+            parts = [materialize(subtract(rest, delta), "owl"), delta]
+            again = not (touched.where(is_schema()).isEmpty() and changed.isEmpty())
+        if again:
+            rules = Rules(_union(parts))
+            closed = subtract(_sub_rows(rules.schema).distinct(), _union(parts))
+            parts = [materialize(_union([*parts, closed]), "owl")]
+            delta = parts[0]
+        elif len(parts) > MANY:
+            parts = [materialize(_union(parts), "owl")]
 
 
 # --- contradictions and isolation -------------------------------------------------------------
@@ -430,8 +509,10 @@ def consistency_report(quads: DataFrame, schema_triples: DataFrame, schema: Sche
     nothing = full.where(F.col("c") == OWL + "Nothing").select(
         "graph", F.lit("nothing_member").alias("rule"), F.col("s").alias("node"), F.col("c").alias("detail_1"), F.lit("").alias("detail_2"))
     fun = schema_triples.where((F.col("p") == TYPE) & (F.col("o") == OWL + "FunctionalProperty")).select(F.col("s").alias("p")).distinct()
-    two = quads.where(~is_node()).join(fun, "p").groupBy("graph", "s", "p").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
-    two = two.where("lo <> hi").select("graph", F.lit("functional_clash").alias("rule"), F.col("s").alias("node"), F.col("lo").alias("detail_1"), F.col("hi").alias("detail_2"))
+    # one row for every value that clashes with the smallest one
+    single = quads.where(~is_node()).join(fun, "p").select("graph", "s", "p", "o").distinct()
+    least = single.groupBy("graph", "s", "p").agg(F.min("o").alias("lo"))
+    two = single.join(least, ["graph", "s", "p"]).where("lo <> o").select("graph", F.lit("functional_clash").alias("rule"), F.col("s").alias("node"), F.col("lo").alias("detail_1"), F.col("o").alias("detail_2"))
     both = quads.where(F.col("p").isin([SAME_AS, OWL + "differentFrom"]) & is_node()).groupBy(
         "graph", F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b")).agg(
         F.min("p").alias("lo"), F.max("p").alias("hi")).where("lo <> hi")

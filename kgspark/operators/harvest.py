@@ -162,8 +162,7 @@ def repair_ids(state: DataFrame) -> DataFrame:
     first = state.groupBy("record", "ts").agg(F.min_by("function", turn).alias("function"))
     top = state.groupBy("record").agg(F.max("ts").alias("top"))
     dup = state.join(first, ["record", "ts", "function"], "left_anti")
-    spread = F.substring(F.sha1("function"), 1, 2)
-    n = with_ordinal(dup.withColumn("h", F.sha1("function")), ["h", "ts"], spread, "k", by=["record"]).join(top, "record")
+    n = with_ordinal(dup.withColumn("h", F.sha1("function")), ["h", "ts"], "k", by=["record"]).join(top, "record")
     moved = n.select("record", "function", "ts", (F.col("top") + F.col("k")).alias("fixed"))
     kept = state.join(first, ["record", "ts", "function"], "left_semi").select("record", "function", "ts", F.col("ts").alias("fixed"))
     return kept.unionByName(moved)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kgspark.functions.scalars import english, label_fallback, literal_int, namespace
 from kgspark.model import OWL, RDF, RDFS, TERMS, TYPE, Terms
 from kgspark.operators.pattern import (
-    english_labels, link, not_exists, optional, order_limit, sample_labels, semi, top_n, typed, value)
+    english_labels, first_combinations, link, not_exists, optional, order_limit, sample_labels, semi, top_n, typed, value)
 
 CLASS_TYPES = [OWL + "Class", RDFS + "Class"]
 PROPERTY_TYPES = [RDF + "Property", OWL + "ObjectProperty", OWL + "DatatypeProperty", OWL + "AnnotationProperty"]
@@ -101,9 +101,9 @@ def content_counts(quads: DataFrame, terms: Terms = TERMS) -> DataFrame:
                                       F.sum("e").alias("events"))
 
 
-def dataset_titles(quads: DataFrame, terms: Terms = TERMS) -> DataFrame:
-    """(graph, dataset, title): title node, else literal title, else label."""
-    ds = typed(quads, terms.dataset_classes, "dataset", "graph")
+def dataset_titles(quads: DataFrame, terms: Terms = TERMS, of: DataFrame | None = None) -> DataFrame:
+    """(graph, dataset, title): title node, else literal title, else label; on request only ``of`` some (graph, dataset)."""
+    ds = typed(quads, terms.dataset_classes, "dataset", "graph") if of is None else of
     title_node = link(quads, terms.denoted_by, "dataset", "n", "graph").join(
         typed(quads, terms.title, "n", "graph"), ["graph", "n"]).join(
         value(quads, RDFS + "label", "n", "node_title", "graph"), ["graph", "n"]).drop("n")
@@ -114,14 +114,14 @@ def dataset_titles(quads: DataFrame, terms: Terms = TERMS) -> DataFrame:
 
 def dataset_list(quads: DataFrame, limit: int = 500, terms: Terms = TERMS) -> DataFrame:
     """All optional combinations per dataset; creator and affiliation read the same predicate."""
-    base = dataset_titles(quads, terms)
+    first = top_n(typed(quads, terms.dataset_classes, "dataset", "graph").distinct(), limit, ["graph"], ["dataset"])
+    base = dataset_titles(quads, terms, of=first)
     part = link(quads, terms.has_part, "dataset", "n", "graph").join(
         value(quads, RDFS + "label", "n", "creator", "graph"), ["graph", "n"]).drop("n")
     links = link(quads, terms.denoted_by, "dataset", "n", "graph").join(
         value(quads, terms.has_url, "n", "link", "graph"), ["graph", "n"]).drop("n")
-    out = optional(base, part, part.withColumnRenamed("creator", "creator_affiliation"), links).distinct()
-    out = out.select("graph", F.col("dataset").alias("dataset_iri"), "title", "creator", "creator_affiliation", "link")
-    return top_n(out, limit, ["graph"], ["dataset_iri", "title", "creator", "creator_affiliation", "link"])
+    lists = [(part, "creator"), (part.withColumnRenamed("creator", "creator_affiliation"), "creator_affiliation"), (links, "link")]
+    return first_combinations(base, lists, limit, ["graph"]).withColumnRenamed("dataset", "dataset_iri")
 
 
 def _members_per_target(quads, all_quads, member_cls, p, target_cls, names, limit) -> DataFrame:
@@ -153,13 +153,19 @@ def _hashed(v: Column) -> Column:
     return F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("x"), F.xxhash64(F.lit("2nd"), v).alias("y")))
 
 
-def _distinct_per_graph(quads: DataFrame, **cols: Column) -> DataFrame:
-    """Distinct non-null values of several expressions per graph. Each expression becomes
-    rows (graph, which, value), de-duplicated on all three before counting; a value travels as
-    its 128-bit hash, not as text."""
-    pieces = F.array(*[F.struct(F.lit(k).alias("which"), _hashed(v).alias("v")) for k, v in cols.items()])
-    rows = quads.select("graph", F.inline(pieces)).where(F.col("v").isNotNull()).distinct()
-    return rows.groupBy("graph").agg(*[F.count_if(F.col("which") == k).alias(k) for k in cols])
+def _per_subject(quads: DataFrame, **flags: Column) -> DataFrame:
+    """(graph, triples, subjects, flags..) from one row per subject: no shuffle where quads lie bucketed by subject.
+    A flag is added up over the triples."""
+    one = quads.groupBy("graph", "s").agg(n_rows().alias("n"), *[F.count_if(c).alias(k) for k, c in flags.items()])
+    return one.groupBy("graph").agg(F.sum("n").alias("triples"), n_rows().alias("subjects"), *[F.sum(k).alias(k) for k in flags])
+
+
+def _distinct_terms(quads: DataFrame, value: Column, **flags: Column) -> DataFrame:
+    """(graph, terms, flags..): distinct values per graph, and how many of them have a flag on any row. A value is shuffled
+    once, as its 128-bit hash."""
+    one = quads.select("graph", _hashed(value).alias("v"), *[c.alias(k) for k, c in flags.items()]).where("v is not null")
+    one = one.groupBy("graph", "v").agg(*[F.max(k).alias(k) for k in flags]) if flags else one.distinct()
+    return one.groupBy("graph").agg(n_rows().alias("terms"), *[F.count_if(k).alias(k) for k in flags])
 
 
 def term_key() -> Column:
@@ -169,18 +175,17 @@ def term_key() -> Column:
 
 def rdf_stats(quads: DataFrame) -> DataFrame:
     is_type = F.col("p") == TYPE
-    plain = quads.groupBy("graph").agg(n_rows().alias("triples"), F.count_if(is_type).alias("type_assertions"))
-    dist = _distinct_per_graph(quads, subjects=F.col("s"), predicates=F.col("p"), objects=term_key(),
-                               distinct_type_objects=F.when(is_type, term_key()))
-    return plain.join(dist, "graph").select("graph", "triples", "subjects", "predicates", "objects",
-                                            "type_assertions", "distinct_type_objects")
+    preds = quads.select("graph", "p").distinct().groupBy("graph").agg(n_rows().alias("predicates"))
+    objects = _distinct_terms(quads, term_key(), distinct_type_objects=is_type).withColumnRenamed("terms", "objects")
+    return _per_subject(quads, type_assertions=is_type).join(preds, "graph").join(objects, "graph").select(
+        "graph", "triples", "subjects", "predicates", "objects", "type_assertions", "distinct_type_objects")
 
 
 def void_stats(quads: DataFrame) -> DataFrame:
-    is_cls = (F.col("p") == TYPE) & (F.col("o_kind") == "iri")
-    plain = quads.groupBy("graph").agg(n_rows().alias("triples"))
-    dist = _distinct_per_graph(quads, subjects=F.col("s"), predicates=F.col("p"), classes=F.when(is_cls, F.col("o")))
-    return plain.join(dist, "graph").select("graph", "triples", "subjects", "predicates", "classes")
+    preds = quads.select("graph", "p").distinct().groupBy("graph").agg(n_rows().alias("predicates"))
+    classes = quads.where((F.col("p") == TYPE) & (F.col("o_kind") == "iri")).select("graph", "o").distinct().groupBy("graph").agg(n_rows().alias("classes"))
+    return _per_subject(quads).join(preds, "graph").join(classes, "graph", "left").select(
+        "graph", "triples", "subjects", "predicates", F.coalesce("classes", F.lit(0)).alias("classes"))
 
 
 def void_partitions(quads: DataFrame, top: int = 20) -> DataFrame:
@@ -201,25 +206,27 @@ def individuals(triples: DataFrame) -> DataFrame:
 
 
 def kg_stats(triples: DataFrame) -> DataFrame:
-    """The nine whole-graph figures as (metric, value), one row each."""
-    is_type = F.col("p") == TYPE
-    cols = {
-        "num_subjects": F.col("s"), "num_predicates": F.col("p"), "num_objects": term_key(),
-        "num_classes": F.when(is_type & F.col("o").isin(CLASS_TYPES), F.col("s")),
-        "num_properties": F.when(is_type & F.col("o").isin(PROPERTY_TYPES), F.col("s")),
-    }
-    one = triples.select(F.lit("").alias("graph"), "s", "p", "o", "o_kind", "o_datatype", "o_lang")
-    pieces = F.array(*[F.struct(F.lit(k).alias("metric"), _hashed(v).alias("v")) for k, v in cols.items()] + [
-        F.struct(F.lit("num_resources").alias("metric"), _hashed(v).alias("v"))
-        for v in (F.col("s"), F.col("p"), F.when(F.col("o_kind") != "literal", F.col("o")))])
-    dist = one.select(F.inline(pieces)).where("v is not null").distinct().groupBy("metric").agg(n_rows().alias("value"))
-    plain = one.agg(n_rows().alias("triples"), F.count_if(F.col("o_kind") == "literal").alias("num_literals"))
-    plain = plain.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in ("triples", "num_literals")])))
-    ind = individuals(triples).agg(n_rows().alias("value")).select(F.lit("num_individuals").alias("metric"), "value")
-    names = triples.sparkSession.createDataFrame([(m,) for m in METRIC_ORDER], "metric string")
-    # a figure without any row is 0
-    return names.join(dist.unionByName(plain).unionByName(ind), "metric", "left").select("metric", F.coalesce("value", F.lit(0)).alias("value"))
+    """The nine whole-graph figures as (metric, value), one row each.
+
+    Figures of subjects come from one row per subject. Objects that are nodes meet subjects and predicates by the
+    hash of their text, literals are counted by theirs: one shuffled row per triple, and one per subject.
+    """
+    is_type, literal = F.col("p") == TYPE, F.col("o_kind") == "literal"
+    a_class, a_property = is_type & F.col("o").isin(CLASS_TYPES), is_type & F.col("o").isin(PROPERTY_TYPES)
+    per_s = triples.groupBy("s").agg(n_rows().alias("n"), F.count_if(literal).alias("literals"), F.max(is_type).alias("typed"),
+                                     F.max(a_class).alias("cls"), F.max(a_property).alias("prop"))
+    subjects = per_s.agg(F.sum("n"), n_rows(), F.sum("literals"), F.count_if("cls"), F.count_if("prop"), F.count_if(F.col("typed") & ~F.col("cls") & ~F.col("prop")))
+    subjects = subjects.toDF("triples", "num_subjects", "num_literals", "num_classes", "num_properties", "num_individuals")
+    side = lambda v, node: F.struct(_hashed(v).alias("v"), F.lit(node).alias("node"))
+    # nodes apart from literals: the same text may be both (an IRI and a blank node never share theirs)
+    terms = triples.select(F.when(literal, side(term_key(), False)).otherwise(side(F.col("o"), True)).alias("x"), F.lit(True).alias("object"))
+    names = per_s.select(side(F.col("s"), True).alias("x"), F.lit(False).alias("object")).unionByName(
+        triples.select("p").distinct().select(side(F.col("p"), True).alias("x"), F.lit(False).alias("object")))
+    met = terms.unionByName(names).groupBy("x").agg(F.max("object").alias("object"))
+    met = met.agg(F.count_if("object").alias("num_objects"), F.count_if(F.col("x.node")).alias("num_resources"))
+    preds = triples.select("p").distinct().agg(n_rows().alias("num_predicates"))
+    rows = [d.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("value")) for c in d.columns]))) for d in (subjects, met, preds)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 METRIC_ORDER = ["triples", "num_subjects", "num_predicates", "num_objects", "num_literals", "num_resources",
@@ -320,12 +327,11 @@ def dl_constructs(triples: DataFrame, measures: dict[str, dict] = CONSTRUCTS) ->
 # --- endpoint and record views of a source -------------------------------------------------
 
 def local_counts(quads: DataFrame) -> DataFrame:
-    """Per graph: IRI classes, object and data properties, distinct typed IRI subjects."""
-    is_type, iri = F.col("p") == TYPE, F.col("s_kind") == "iri"
-    kind = lambda k: F.when(is_type & iri & (F.col("o") == OWL + k), F.col("s"))
-    return _distinct_per_graph(
-        quads, classes=kind("Class"), object_properties=kind("ObjectProperty"),
-        data_properties=kind("DatatypeProperty"), instances=F.when(is_type & iri, F.col("s")))
+    """Per graph: IRI classes, object and data properties, distinct typed IRI subjects. From one row per subject."""
+    typed_iris = quads.where((F.col("p") == TYPE) & (F.col("s_kind") == "iri"))
+    kinds = {"classes": "Class", "object_properties": "ObjectProperty", "data_properties": "DatatypeProperty"}
+    one = typed_iris.groupBy("graph", "s").agg(*[F.max(F.col("o") == OWL + k).alias(name) for name, k in kinds.items()])
+    return one.groupBy("graph").agg(*[F.count_if(name).alias(name) for name in kinds], n_rows().alias("instances"))
 
 
 def endpoint_counts(quads: DataFrame) -> DataFrame:

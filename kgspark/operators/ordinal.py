@@ -1,41 +1,59 @@
-"""Row numbers and byte-bounded chunks over whole tables, without one global window.
+"""Row numbers and byte-bounded chunks over whole tables: prefix sums on two levels, no global window.
 
-Rows are first put into buckets whose order is the order of the rows. Each bucket is
-counted, the counts are summed up over the (few) buckets, and only inside a bucket are rows
-numbered. A bucket is a share of the key space, so a graph holding a third of all rows is
-spread over as many tasks as its buckets.
+Rows are put into buckets whose order is the order of the rows: row numbers cut the key space at bounds that
+Spark samples, chunks cut a graph's hash space into as many equal shares as its bytes ask for. Buckets are summed up, the sums of
+the buckets before one are its offset, and inside a bucket the rows follow one another. A graph
+holding all rows is spread over as many tasks as a thousand small ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from itertools import accumulate
 
+from pyspark.sql import DataFrame, Window, functions as F
 
-def with_ordinal(df: DataFrame, order: list[str], bucket: Column, name: str = "n", start: int = 1,
-                 by: list[str] | None = None) -> DataFrame:
-    """Running number over the table, or within each group ``by``.
+from kgspark.session import materialize
 
-    ``bucket`` must be monotone in ``order``.
+#: Bits of the place of a row within its task in ``monotonically_increasing_id``.
+PLACE_BITS = 33
+#: Chunks that one bucket of a graph holds.
+CHUNKS = 16
+
+
+def with_ordinal(df: DataFrame, order: list[str], name: str = "n", start: int = 1, by: list[str] | None = None) -> DataFrame:
+    """Running number over the table in ``order``, or within each group ``by``. Ties are numbered in any order, but once and for all.
+
+    The rows are stored in ranges of (by, order); one count per range passes through the driver. The number within a group
+    is the number over the table less the group's first one.
     """
-    cols, by = df.columns, by or []
-    b = df.withColumn("__b", bucket)
-    counts = b.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "__b", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
-    w = Window.partitionBy(*by, "__b").orderBy(*[F.col(c) for c in order])
-    return (b.withColumn("__rn", F.row_number().over(w)).join(offsets, [*by, "__b"])
-            .select(*cols, (F.col("__rn") + F.col("__off") + (start - 1)).alias(name)))
-
-
-def chunk_lines(lines: DataFrame, target_bytes: int, by: str = "graph", line: str = "line",
-                hex_digits: int = 3) -> DataFrame:
+    spark, by = df.sparkSession, by or []
+    keys = [F.col(c) for c in [*by, *order]]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = materialize(df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id()), "ordinals")
+    part = F.shiftright("__id", PLACE_BITS).cast("int")
+    counts = sorted((r["part"], r["n"]) for r in stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before = zip((p for p, _ in counts), accumulate([0, *(n for _, n in counts)]))
+    offsets = spark.createDataFrame(list(before), "__part int, __off bigint")
+    out = stored.withColumn("__part", part).join(F.broadcast(offsets), "__part")  # one row per range
+    number = F.col("__id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.col("__off")
+    if not by:
+        return out.select(*df.columns, (number + start).alias(name))
+    out = out.withColumn("__at", number)
+    first = out.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(F.min("__at").alias("__first"))
+    same = [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by]
+    return out.join(first, same).select(*df.columns, (F.col("__at") - F.col("__first") + start).alias(name))
+
+
+def chunk_lines(lines: DataFrame, target_bytes: int, by: str = "graph", line: str = "line") -> DataFrame:
     """Chunk number of every line of a graph, chunks of about ``target_bytes``.
 
-    A graph is a set, so its lines are put in hash order: the leading hash digits are the
-    buckets, equally filled whatever the keys look like.
+    A graph is a set, so its lines are put in the order of their hashes, which fill equal shares of the hash space
+    equally whatever the lines look like.
     """
-    h = lines.withColumn("__h", F.sha1(F.col(line))).withColumn("__b", F.substring("__h", 1, hex_digits))
-    h = h.withColumn("__len", (F.octet_length(line) + 1).cast("bigint"))
+    h = lines.withColumn("__h", F.sha1(F.col(line))).withColumn("__len", (F.octet_length(line) + 1).cast("bigint"))
+    share = F.conv(F.substring("__h", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    buckets = h.groupBy(by).agg(F.ceil(F.sum("__len") / (CHUNKS * target_bytes)).alias("__buckets"))
+    h = h.join(buckets, by).withColumn("__b", F.floor(share * F.col("__buckets"))).drop("__buckets")
     sums = h.groupBy(by, "__b").agg(F.sum("__len").alias("__sum"))
     before = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(by, "__b", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__off"))

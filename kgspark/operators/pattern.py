@@ -244,6 +244,37 @@ def top_n(df: DataFrame, n: int, by: list[str], order: list[str], rank: str | No
     return out if rank else out.drop(name)
 
 
+def first_combinations(entities: DataFrame, lists: list[tuple[DataFrame, str]], n: int, by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows (of each group ``by``) of the entities joined left with every list, in the order of the columns.
+
+    ``lists`` are (rows, column) pairs that share columns with the entities; a row is one choice out of each list. The product is
+    never built: every entity has at least one combination, so the first n entities are enough, and of each list its first n values.
+    How many combinations an entity has is known from the lengths, entities are cut by their running sum, and the combinations
+    that are left, at most n, are enumerated by number.
+    """
+    by = by or []
+    cols = [c for c in entities.columns if c not in by]
+    entities = entities.distinct()
+    out = top_n(entities, n, by, cols) if by else order_limit(entities, n, *cols)
+    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*_order(cols, out)).rowsBetween(Window.unboundedPreceding, -1)
+    for i, (rows, name) in enumerate(lists):
+        shared = [c for c in rows.columns if c in out.columns and c != name]
+        mine = semi(rows.select(*shared, name).distinct(), out, shared)
+        first = top_n(mine, n, shared, [name]).groupBy(*shared).agg(F.sort_array(F.collect_list(name)).alias(f"__l{i}"))
+        out = out.join(first, shared, "left").withColumn(f"__l{i}", F.coalesce(f"__l{i}", F.array(F.lit(None))))
+    sizes = [F.size(f"__l{i}").cast("bigint") for i in range(len(lists))]
+    product = F.lit(1).cast("bigint")
+    for size in sizes:
+        product = F.least(product * size, F.lit(n).cast("bigint"))
+    out = out.withColumn("__some", product).withColumn("__before", F.coalesce(F.sum("__some").over(order), F.lit(0)))
+    out = out.where(F.col("__before") < n).withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least("__some", n - F.col("__before")) - 1)))
+    rest, chosen = F.col("__k"), {}
+    for i in range(len(lists) - 1, -1, -1):
+        chosen[i] = F.element_at(f"__l{i}", (rest % sizes[i]).cast("int") + 1).alias(lists[i][1])
+        rest = F.floor(rest / sizes[i]).cast("bigint")
+    return out.select(*entities.columns, *[chosen[i] for i in range(len(lists))])
+
+
 def latest(df: DataFrame, key: list[str] | None, ts: str = "ts_utc") -> DataFrame:
     """Newest row per key; ties broken by all remaining columns. No key: unchanged."""
     if not key:

@@ -13,7 +13,7 @@ from kgspark.model import LABEL, OWL, SEE_ALSO, TERMS, TYPE, VOID, Terms
 from kgspark.operators import metrics
 from kgspark.operators.closure import is_node
 from kgspark.operators.pattern import (
-    english_labels, labels, link, not_exists, optional, optional_bound, order_limit, path_chain, typed, union_graph, value, via_node)
+    english_labels, first_combinations, labels, link, not_exists, optional, optional_bound, order_limit, path_chain, typed, union_graph, value, via_node)
 
 CAP = 999
 
@@ -56,9 +56,12 @@ def software(q, cls, publication_cls, repository_cls, t: Terms = TERMS, cap=CAP)
 
 def services(q, cls, t: Terms = TERMS, cap=CAP):
     urls = via_node(q, t.subject_of, t.has_url, "service", "service_url").distinct()
-    out = optional(typed(q, cls, "service"), _nodes(q, t, "service", t.written_name, LABEL, "label"),
-                   urls, urls.withColumnRenamed("service_url", "doc_url"), urls.withColumnRenamed("service_url", "code_url"))
-    return _done(out, "service", "label", "service_url", "doc_url", "code_url", cap=cap)
+    named = _nodes(q, t, "service", t.written_name, LABEL, "label")
+    both = [urls.withColumnRenamed("service_url", c) for c in ("doc_url", "code_url")]
+    if cap is None:
+        return _done(optional(typed(q, cls, "service"), named, urls, *both), "service", "label", "service_url", "doc_url", "code_url", cap=None)
+    lists = [(named, "label"), (urls, "service_url"), (both[0], "doc_url"), (both[1], "code_url")]
+    return _done(first_combinations(typed(q, cls, "service"), lists, cap), "service", "label", "service_url", "doc_url", "code_url", cap=cap)
 
 
 def _org_city(q, t):

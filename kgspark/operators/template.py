@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kgspark.functions.scalars import parse_directive
 from kgspark.model import LABEL, QUAD_COLS, TYPE, XSD
+from kgspark.operators.axioms import ATTACH, axiom_triples
 from kgspark.operators.pattern import top_n
 
 
@@ -19,7 +20,7 @@ def cells(tabs: DataFrame, directives: DataFrame) -> DataFrame:
     rows = tabs.where(F.trim(F.coalesce(F.col("cells")[0], F.lit(""))) != "")
     long = rows.select("tab", "tab_order", "row", F.trim(F.col("cells")[0]).alias("id"), F.posexplode("cells").alias("col", "value"))
     long = long.where(F.trim(F.coalesce("value", F.lit(""))) != "")
-    d = directives.select("tab", "col", "header", F.inline(F.array(parse_directive("directive"))))
+    d = directives.select("tab", "col", "header", F.trim("directive").alias("directive"), F.inline(F.array(parse_directive("directive"))))
     return long.join(d, ["tab", "col"])
 
 
@@ -59,9 +60,10 @@ def template_to_triples(tabs: DataFrame, directives: DataFrame, graph: str) -> t
                    F.when(F.col("kind") == "AI", "iri").otherwise("literal").alias("o_kind"), dt.alias("o_datatype"), F.when(F.col("kind") == "A", F.coalesce("lang", F.lit(""))).otherwise("").alias("o_lang"))
     refs = resolve(split_cells(c.where("kind = 'I'"), "|"), index)
     nodes = refs.where("iri is not null").select("id", F.col("property").alias("p"), F.col("iri").alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_datatype"), F.lit("").alias("o_lang"))
-    quads = types.unionByName(lit).unionByName(nodes).select(
-        F.lit(graph).alias("graph"), F.col("id").alias("s"), F.lit("iri").alias("s_kind"), "p", "o", "o_kind", "o_datatype", "o_lang")
-    return quads.select(QUAD_COLS).distinct(), refs.where("iri is null").select("tab", "row", "id", "header", "value")
+    plain = types.unionByName(lit).unionByName(nodes).select(F.col("id").alias("s"), F.lit("iri").alias("s_kind"), "p", "o", "o_kind", "o_datatype", "o_lang")
+    axioms, lost = axiom_triples(split_cells(c.where(F.col("kind").isin(list(ATTACH))), "|"), directives, index, resolve)
+    quads = plain.unionByName(axioms).withColumn("graph", F.lit(graph))
+    return quads.select(QUAD_COLS).distinct(), refs.where("iri is null").select("tab", "row", "id", "header", "value").unionByName(lost)
 
 
 def template_columns(directives: DataFrame, labels: DataFrame) -> DataFrame:

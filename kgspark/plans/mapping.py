@@ -13,11 +13,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kgspark.model import BASE, QUAD, QUAD_COLS, expand
-from kgspark.session import fingerprint, path_exists, shared_dir
+from kgspark.model import BASE, QUAD_COLS, expand
+from kgspark.session import fingerprint, shared_dir
 
-# (application, directory, graph group) -> folder of the loaded quads
+# (application, directory, its state) -> table of the loaded quads
 _LOADED: dict[tuple, str] = {}
+#: Bytes of the directory for one bucket of the loaded quads, and the most buckets that Spark takes.
+BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 100_000
 
 
 def node(path: str, *cols: str) -> str:
@@ -430,26 +432,33 @@ class Tables:
 
         return self.spark.sql(re.sub(r"\{(\w+)\}", name, text))
 
-    def stored(self, *graphs: str) -> list[str]:
-        """Folders of the loaded quads of groups of graphs; missing ones are loaded in one job.
+    def stored(self) -> str:
+        """The table of all loaded quads, written once per application and state of the directory.
 
-        Files are sorted by predicate and subject, so a filter on the predicate skips row
-        groups. There is no shuffle beyond that of the distinct rules: the load writes where
-        it reads.
+        It is partitioned by group of graphs and bucketed by subject, so counts per subject, de-duplication of the union graph and
+        joins of triples of one subject read it without a shuffle. Files are sorted by predicate and subject,
+        so a filter on the predicate skips row groups. The number of buckets follows the bytes of the directory.
         """
         state = fingerprint(self.spark, self.dir)
-        key = lambda g: (self.spark.sparkContext.applicationId, self.dir, state, g)
-        missing = [g for g in graphs if key(g) not in _LOADED or not path_exists(self.spark, _LOADED[key(g)])]
-        if missing:
-            path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{uuid.uuid4().hex}"
-            parts = self.sql("\nUNION ALL ".join(f"SELECT *, '{g}' AS part FROM ({grouped_sql([g])})" for g in missing))
-            parts.sortWithinPartitions("part", "p", "s").write.partitionBy("part").parquet(path)
-            _LOADED.update({key(g): f"{path}/part={g}" for g in missing})
-        return [_LOADED[key(g)] for g in graphs]
+        key = (self.spark.sparkContext.applicationId, self.dir, state)
+        if key not in _LOADED:
+            n = min(MAX_BUCKETS, max(self.spark.sparkContext.defaultParallelism, sum(x[1] for x in state) // BUCKET_BYTES))
+            plain, grouped = load_sql()
+            rows = self.sql(plain).repartition(n, "s")
+            for text in grouped:  # what repeats lies in one partition
+                rows = rows.unionByName(self.sql(text).repartition(n, "s").distinct())
+            name = f"kgspark_quads_{uuid.uuid4().hex}"
+            path = f"{shared_dir(self.spark).rstrip('/')}/kgspark/quads/{name}"
+            rows.write.partitionBy("part").bucketBy(n, "s").sortBy("p", "s").option("path", path).saveAsTable(name)
+            _LOADED[key] = name
+        return _LOADED[key]
 
     def quads(self, *graphs: str, preds: tuple | None = None) -> DataFrame:
         """The quads of the named graphs as one scan, on request only some predicates."""
-        df = self.spark.read.schema(QUAD).parquet(*self.stored(*(graphs or ALL_GRAPHS)))
+        df = self.spark.table(self.stored())
+        if graphs:
+            df = df.where(F.col("part").isin(list(graphs)))
+        df = df.select(QUAD_COLS)
         return df.where(F.col("p").isin([expand(p) for p in preds])) if preds else df
 
 
@@ -471,22 +480,46 @@ def _spark_from(src: str) -> str:
     return f"({SOURCES[src]})" if src in SOURCES else "{" + src + "}"
 
 
-def grouped_sql(graphs) -> str:
-    rules, rows = _chosen(graphs)
-    parts = [r.sql(_spark_from(r.src)) for r in rules if r.distinct]
-    groups: dict[str, list[Rule]] = {}
-    for r in rules:
-        if not r.distinct:
+def _exploded(src: str, members: list[Rule]) -> str:
+    """Several rules in one scan of their source."""
+    structs = []
+    for r in members:
+        cells = [f"'part', '{r.name}'", *(f"'{c}', {e}" for c, e in zip(QUAD_COLS, r.cols))]
+        one = f"named_struct({', '.join(cells)})"
+        structs.append(f"CASE WHEN {r.where} THEN {one} END" if r.where else one)
+    return f"SELECT inline(array_compact(array({', '.join(structs)}))) FROM {src}"
+
+
+def load_sql() -> tuple[str, list[str]]:
+    """All quads with their group as ``part``: rows that are complete, and rows that are still to be made distinct.
+
+    Rules of one source and subject that name the columns they depend on share one scan and one de-duplication of
+    these columns; what is left of repeats is removed where the subject's rows lie together.
+    """
+    parts, groups, keyed = [], {}, {}
+    for r in RULES:
+        if isinstance(r.distinct, str):
+            keyed.setdefault((r.src, r.cols[1]), []).append(r)
+        elif r.distinct:
+            parts.append(f"SELECT '{r.name}' AS part, * FROM ({r.sql(_spark_from(r.src))})")
+        else:
             groups.setdefault(r.src, []).append(r)
     # a few rules per scan: generated code for longer arrays grows past what the JVM compiles
-    batches = [(src, m[i:i + RULES_PER_SCAN]) for src, m in groups.items() for i in range(0, len(m), RULES_PER_SCAN)]
-    for src, members in batches:
-        structs = []
-        for r in members:
-            one = f"named_struct({', '.join(f'{chr(39)}{c}{chr(39)}, {e}' for c, e in zip(QUAD_COLS, r.cols))})"
-            structs.append(f"CASE WHEN {r.where} THEN {one} END" if r.where else one)
-        parts.append(f"SELECT inline(array_compact(array({', '.join(structs)}))) FROM {_spark_from(src)}")
-    return "\nUNION ALL ".join(parts + ([_values(rows)] if rows else []))
+    for src, members in groups.items():
+        parts += [_exploded(_spark_from(src), members[i:i + RULES_PER_SCAN]) for i in range(0, len(members), RULES_PER_SCAN)]
+    for name in ALL_GRAPHS:
+        rows = [r for r in constant_rows() if r[0].rsplit("/", 1)[1] == name]
+        if rows:
+            parts.append(f"SELECT '{name}' AS part, * FROM ({_values(rows)})")
+    grouped = []
+    for (src, _), members in keyed.items():
+        columns = dict.fromkeys(c.strip() for r in members for c in r.distinct.split(","))
+        relation = f"(SELECT DISTINCT {', '.join(columns)} FROM {_spark_from(src)})"
+        if all(set(map(str.strip, r.distinct.split(","))) == set(columns) for r in members):
+            parts.append(_exploded(relation, members))
+        else:
+            grouped.append(_exploded(relation, members))
+    return "\nUNION ALL ".join(parts), grouped
 
 
 def source_sql(src: str) -> str:

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from kgspark.model import BASE, ONT, OWL, SUBCLASS, SUBPROP, TERMS, TRIPLE_COLS
 from kgspark.operators import closure as C, describe, metrics, pattern as P
-from kgspark.plans.registry import query
+from kgspark.plans import mapping
+from kgspark.plans.registry import ORACLES, iri_sql, query
 from kgspark.plans.sqltext import NODE, TRIPLE
 
 SC = f"sc AS (SELECT s AS a, o AS b FROM quads WHERE p = 'rdfs:subClassOf' AND {NODE} AND s <> o UNION SELECT sc.a, q.o FROM sc JOIN quads q ON q.s = sc.b AND q.p = 'rdfs:subClassOf' AND q.s <> q.o)"
@@ -81,33 +82,31 @@ def _(c):
     return metrics.ego_stats(ego, CENTER)
 
 
-@query("rdfs_closure", graphs="process datasets ontology", sql=f"""
+@query("rdfs_closure", sql=f"""
     WITH {SCHEMA} SELECT p, count(*) AS n, count(DISTINCT s) AS subjects FROM (SELECT {TRIPLE} FROM quads UNION {inferred()} UNION {SUBROWS}) GROUP BY p""")
 def _(c):
-    out = C.rdfs_closure(c.quads, c.graph("ontology"))
+    out = C.rdfs_closure(P.union_graph(c.quads))
     per = out.groupBy("p", "s").agg(F.count(F.lit(1)).alias("k"))
     return per.groupBy("p").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("subjects"))
 
 
-@query("inferred_only", graphs="datasets process ontology", sql=f"""
+@query("inferred_only", sql=f"""
     WITH {SCHEMA}, nw AS (SELECT * FROM ({inferred()} UNION {SUBROWS}) EXCEPT SELECT {TRIPLE} FROM quads)
     SELECT CASE p WHEN 'rdf:type' THEN 'class_assertion' WHEN 'rdfs:subClassOf' THEN 'subclass' WHEN 'rdfs:subPropertyOf' THEN 'subproperty' ELSE 'property_assertion' END AS axiom_kind, p, o, count(*) AS n FROM nw GROUP BY ALL""")
 def _(c):
-    return C.inferred_only(c.quads, c.graph("ontology")).groupBy("axiom_kind", "p", "o").agg(F.count(F.lit(1)).alias("n"))
+    return C.inferred_only(c.quads).groupBy("axiom_kind", "p", "o").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("inverse_materialise", graphs="datasets catalog ontology", sql=f"""
+@query("inverse_materialise", sql=f"""
     WITH i AS (SELECT s AS a, o AS b FROM quads WHERE p = 'owl:inverseOf' UNION SELECT o, s FROM quads WHERE p = 'owl:inverseOf')
     SELECT DISTINCT o AS s, i.b AS p, s AS o FROM quads JOIN i ON i.a = p WHERE {NODE}""")
 def _(c):
     return C.inverse_materialise(c.quads, c.graph("ontology", preds=("owl:inverseOf",))).select("s", "p", "o")
 
 
-@query("owlrl_closure", graphs="events catalog assets ontology")
+@query("owlrl_closure")
 def _(c):
-    keep = [TERMS.part_of, TERMS.precedes, OWL + "sameAs", "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", TERMS.participant]
-    data = c.graph("events", "catalog", "assets").where(F.col("p").isin(keep))
-    out = C.owlrl_closure(P.union_graph(data.unionByName(c.graph("ontology"))))
+    out = C.owlrl_closure(P.union_graph(c.quads))
     return out.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -115,17 +114,15 @@ FULL = f"full_t AS (SELECT graph, s, o AS c FROM data WHERE p = 'rdf:type' AND {
 ONTO = "quads AS (SELECT * FROM all_quads WHERE graph = 'g:ontology'), data AS (SELECT * FROM all_quads WHERE graph <> 'g:ontology')"
 DIS = "dis AS (SELECT DISTINCT least(s, o) AS c, greatest(s, o) AS d FROM quads WHERE p = 'owl:disjointWith')"
 VIOL = f"""viol AS (SELECT a.graph, 'disjoint_classes' AS rule, a.s AS node, dis.c AS detail_1, dis.d AS detail_2 FROM full_t a JOIN dis ON dis.c = a.c JOIN full_t b ON b.graph = a.graph AND b.s = a.s AND b.c = dis.d
-  UNION SELECT graph, 'functional_clash', s, min(o), max(o) FROM data WHERE o_kind = 'literal' AND p IN (SELECT s FROM quads WHERE p = 'rdf:type' AND o = 'owl:FunctionalProperty') GROUP BY graph, s, p HAVING min(o) <> max(o)
+  UNION SELECT graph, 'functional_clash', s, lo, o FROM (SELECT graph, s, o, min(o) OVER (PARTITION BY graph, s, p) AS lo FROM data WHERE o_kind = 'literal' AND p IN (SELECT s FROM quads WHERE p = 'rdf:type' AND o = 'owl:FunctionalProperty')) WHERE o <> lo
   UNION SELECT graph, 'same_and_different', least(s, o), greatest(s, o), '' FROM data WHERE p IN ('owl:sameAs', 'owl:differentFrom') GROUP BY graph, least(s, o), greatest(s, o) HAVING min(p) <> max(p))"""
 REASON = f"all_quads AS (SELECT * FROM quads0), {ONTO}, {SCHEMA}, {FULL}, {DIS}, {VIOL}"
 STATUS = "st AS (SELECT g.graph, v.n IS NULL AS consistent, coalesce(v.n, 0) AS violations FROM (SELECT DISTINCT graph FROM data) g LEFT JOIN (SELECT graph, count(*) AS n FROM viol GROUP BY graph) v USING (graph))"
-REASONED = "files documents events meta"
+REASONED = " ".join(g for g in mapping.ALL_GRAPHS if g != "ontology")
 
 
 def reasoned(key, select, fn):
     """The quads CTE is renamed: here ``quads`` is the schema and ``data`` the named graphs."""
-    from kgspark.plans import mapping
-    from kgspark.plans.registry import ORACLES, iri_sql
     query(key, graphs=REASONED + " ontology")(fn)
     names = (REASONED + " ontology").split()
     ORACLES[key] = f"WITH RECURSIVE quads0 AS ({mapping.quads_sql(*names)}),\n" + iri_sql(f"{REASON}, {STATUS}{select if select.startswith(",") else " " + select}")

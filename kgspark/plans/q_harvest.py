@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from kgspark.functions import scalars as S
 from kgspark.model import BASE, METRIC_TABLES, ONT, QUAD_COLS, TERMS
 from kgspark.operators import catalog as K, describe as D, harvest as H, metrics as M
+from kgspark.operators.ordinal import with_ordinal
 from kgspark.plans.registry import ORACLES, VIEWS, query
 from kgspark.plans.sqltext import CLASS_TYPES, EN, v
-from kgspark.sources import scan, sinks
+from kgspark.sources import archives, scan, sinks
+from kgspark.session import materialize
 from kgspark.streaming import incremental as I
 
 NOW = dt.datetime(2026, 1, 31, 6, 0, 0)
@@ -307,26 +309,27 @@ def _(c):
 
 @query("scan_pages", views="record_json", sql="SELECT CAST(o_orderkey AS BIGINT) AS id FROM orders ORDER BY id LIMIT 1000")
 def _(c):
-    path = c.scratch("landing")
-    c.view("record_json").select("value").write.text(path)
-    return scan.scan_pages(c.spark, path, "id BIGINT, conceptrecid STRING", 1000, "id").select("id")
+    """Pages of 100 records land in two parts, the harvest goes on after the first; the cap keeps the first records."""
+    landing, out, checkpoint = c.scratch("landing"), c.scratch("harvested"), c.scratch("checkpoint")
+    records = with_ordinal(c.view("record_json").select(F.get_json_object("value", "$.id").cast("bigint").alias("id"), "value"), ["id"], "k", start=0)
+    pages = materialize(records.select(F.format_string("start-%012d", F.floor(F.col("k") / 100) * 100).alias("page"), "k", "value"), "pages")
+    for part in ("k < 700", "k >= 700"):
+        pages.where(part).repartition("page").sortWithinPartitions("page", "k").select("value", "page").write.mode("append").partitionBy("page").text(landing)
+        I.run_paged_harvest(c.spark, landing, "id BIGINT, conceptrecid STRING", out, checkpoint)
+    return I.harvested(c.spark, out, 100, max_records=1000).select("id")
 
 
-@query("scan_zip", sql="SELECT 'd' || CAST(doc_id AS VARCHAR) || '.ttl' AS inner, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE lang <> 'de'")
+@query("scan_zip", sql="""SELECT member, 'ok' AS status, CAST(length(text) AS BIGINT) AS chars FROM (SELECT 'd' || CAST(doc_id AS VARCHAR) || '.ttl' AS member, text FROM documents WHERE lang <> 'de')
+    UNION ALL SELECT '../d' || CAST(doc_id AS VARCHAR) || '.ttl', 'outside', NULL FROM documents WHERE lang = 'de' UNION ALL SELECT 'd' || CAST(doc_id AS VARCHAR) || '.md', 'other format', NULL FROM documents WHERE lang = 'fr'""")
 def _(c):
-    def pack(batches):
-        for pdf in batches:
-            rows = []
-            for doc, lang, text in zip(pdf["doc_id"], pdf["lang"], pdf["text"]):
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w") as z:
-                    z.writestr(f"d{doc}.ttl" if lang != "de" else f"../d{doc}.ttl", text)
-                    z.writestr("readme.md", "no data")
-                rows.append((f"{doc}.zip", buf.getvalue()))
-            yield pd.DataFrame(rows, columns=["path", "content"])
-
-    files = c.t("documents").select("doc_id", "lang", "text").mapInPandas(pack, "path string, content binary")
-    return scan.expand_zip(files).select("inner", F.length("text").cast("bigint").alias("chars"))
+    path = c.scratch("archives")
+    docs = c.t("documents")
+    name = F.concat(F.when(F.col("lang") == "de", "../d").otherwise("d"), F.col("doc_id").cast("string"), F.lit(".ttl"))
+    notes = docs.where("lang = 'fr'").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md")).alias("inner"), F.lit("no data").alias("text"))
+    archives.write_archives(docs.select(name.alias("inner"), "text").unionByName(notes), path)
+    found, left_out = archives.scan_archives(c.spark, path + "/*.zip", piece_bytes=4096)
+    per = found.groupBy("inner").agg(F.sum(F.length("text")).cast("bigint").alias("chars"))
+    return per.select(F.col("inner").alias("member"), F.lit("ok").alias("status"), "chars").unionByName(left_out.select(F.col("inner").alias("member"), "status", F.lit(None).cast("bigint").alias("chars")))
 
 
 @query("size_cap", sql="SELECT doc_id, octet_length(encode(text)) AS length FROM documents WHERE octet_length(encode(text)) <= 20000")
@@ -440,9 +443,9 @@ def _(c):
 @query("publish_graphs", graphs="files documents events", sql="SELECT graph, count(*) AS n FROM quads WHERE NOT (graph = 'g:documents' AND p = 'ont:length') GROUP BY graph")
 def _(c):
     path = c.scratch("published")
-    sinks.publish_graphs(sinks.publishable(c.quads, BASE + "g/registry"), path, buckets=16)
+    sinks.publish_graphs(sinks.publishable(c.quads, BASE + "g/registry"), path)
     again = c.graph("documents").where(F.col("p") != ONT + "length")
-    sinks.publish_graphs(again, path, buckets=16)
+    sinks.publish_graphs(again, path)
     return sinks.read_graphs(c.spark, path).groupBy("graph").agg(n())
 
 
@@ -530,11 +533,11 @@ def _land(c, name, view):
 @query("stream_change_detect", views="state_now state_was", sql="""
     SELECT 1 AS run, 'new' AS change, count(*) AS n FROM state_was UNION ALL SELECT 2, CASE WHEN w.graph_iri IS NULL THEN 'new' WHEN n.sha256 = w.sha256 THEN 'unchanged' ELSE 'changed' END, count(*) FROM state_now n LEFT JOIN state_was w USING (graph_iri) GROUP BY 1, 2""")
 def _(c):
-    state, report, cp = c.scratch("state"), c.scratch("report"), c.scratch("cp")
+    state, report = c.scratch("state"), c.scratch("report")
     landing = _land(c, "landing", "state_was")
-    I.run_change_detection(c.spark, landing, state, report, cp)
+    I.run_change_detection(c.spark, landing, state, report)
     c.view("state_now").select("graph_iri", "sha256", "version", F.lit("2026-02-07").alias("harvested_at"), "registered_from").write.mode("append").json(landing)
-    I.run_change_detection(c.spark, landing, state, report, cp)
+    I.run_change_detection(c.spark, landing, state, report)
     return c.spark.read.parquet(report).groupBy((F.col("batch") + 1).cast("int").alias("run"), "change").agg(n())
 
 
@@ -544,16 +547,15 @@ def _(c):
     UNION ALL SELECT 'state', 'kept', count(*) FROM (SELECT graph_iri FROM state_now UNION SELECT graph_iri FROM state_was)""")
 def _(c):
     """Incremental, re-sync file by file, incremental again: the last run compares with the re-synced state."""
-    state, report, cp = c.scratch("state"), c.scratch("report"), c.scratch("cp")
+    state, report = c.scratch("state"), c.scratch("report")
     landing, again = _land(c, "landing", "state_was"), c.scratch("landing")
-    I.run_change_detection(c.spark, landing, state, report, cp)
+    I.run_change_detection(c.spark, landing, state, report)
     c.view("state_now").select("graph_iri", "sha256", "version", F.lit("2026-02-07").alias("harvested_at"), "registered_from").repartition(3, "graph_iri").write.json(again)
-    I.run_change_detection(c.spark, again, state, report, c.scratch("cp"), resync=True, max_files=1)
+    I.run_change_detection(c.spark, again, state, report, resync=True, max_files=1)
     c.view("state_was").select("graph_iri", "sha256", "version", F.lit("2026-02-14").alias("harvested_at"), "registered_from").coalesce(1).write.mode("append").json(landing)
-    last = I.next_version(c.spark, state, "", -1)[0]
-    I.run_change_detection(c.spark, landing, state, report, cp)
-    b = F.col("batch")
-    out = c.spark.read.parquet(report).groupBy(F.when(b == 0, "first").when(b < last, "resync").otherwise("after").alias("part"), "change").agg(n())
+    last = c.spark.read.parquet(report).agg(F.max("batch")).first()[0]
+    I.run_change_detection(c.spark, landing, state, report)
+    out = c.spark.read.parquet(report).groupBy(F.when(F.col("epoch") == 0, "first").when(F.col("batch") <= last, "resync").otherwise("after").alias("part"), "change").agg(n())
     return out.unionByName(I.read_state(c.spark, state).agg(n()).select(F.lit("state").alias("part"), F.lit("kept").alias("change"), "n"))
 
 

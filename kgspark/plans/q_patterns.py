@@ -341,8 +341,8 @@ def _(c):
 
 @query("ordinals", sql="SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 1 AS row_no FROM orders")
 def _(c):
-    # sheet rows start at 2; buckets are ranges of the key
-    return with_ordinal(c.t("orders").select("o_orderkey"), ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000), "row_no", start=2)
+    # sheet rows start at 2
+    return with_ordinal(c.t("orders").select("o_orderkey"), ["o_orderkey"], "row_no", start=2)
 
 
 @query("distinct_keys", preds="ont:hasParticipant", sql="SELECT o, count(DISTINCT s) AS n FROM quads GROUP BY o")

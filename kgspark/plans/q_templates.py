@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kgspark.functions import scalars as S, text as X
-from kgspark.model import BASE, LABEL, ONT, TERMS
+from kgspark.model import BASE, LABEL, ONT, TERMS, TYPE
 from kgspark.operators import catalog as K, pattern as P, template as T
 from kgspark.operators.ordinal import with_ordinal
 from kgspark.plans.registry import ORACLES, VIEWS, query
@@ -70,6 +70,39 @@ def _(c):
         missing.select(F.col("id").alias("s"), F.lit("unresolved").alias("p"), F.col("value").alias("o"), F.col("header").alias("o_kind"), null.alias("o_datatype")))
 
 
+# A tab of class axioms: superclasses, a restriction with the cell as filler, and a range.
+SOME = f"C <{ONT}madeOf> some % SPLIT=|"
+AXIOM_DIRECTIVES = ["ID", "TYPE", f"A {LABEL}", "C %", SOME, "RANGE"]
+
+
+def _axiom_head(line: int, cells: list[str]) -> str:
+    return f"SELECT DISTINCT 'axioms_' || p_brand AS tab, p_brand AS tab_order, CAST({line} AS BIGINT) AS line_no, " + ", ".join(f"'{x}' AS c{i}" for i, x in enumerate(cells)) + " FROM {part}"
+
+
+VIEWS["axiom_sheet"] = (_axiom_head(1, ["id", "type", "name", "kinds", "made of", "range"]) + " UNION ALL " + _axiom_head(2, AXIOM_DIRECTIVES) + f"""
+    UNION ALL SELECT 'axioms_' || p_brand, p_brand, p_partkey + 3, '{BASE}class/' || CAST(p_partkey AS STRING), '{ONT}Class', 'Class ' || CAST(p_partkey AS STRING),
+    CASE WHEN p_size % 3 = 0 THEN ' CLASS ' || CAST(p_size AS STRING) WHEN p_size % 3 = 1 THEN '{ONT}Thing' END,
+    'class ' || CAST(p_partkey + 1 AS STRING) || ' | class ' || CAST(CAST(floor(p_partkey / 5) AS BIGINT) AS STRING), CASE WHEN p_size < 9 THEN 'Class 7|nothing' END FROM {{part}}""".replace("{{", "{").replace("}}", "}"))
+_NODE_LABEL = f"'_:' || substr(sha1(id || '|' || '{SOME}' || '|' || value || '|0.0.0r'), 1, 20)"
+
+
+@query("template_axioms", views="axiom_sheet", sql=f"""
+    WITH d AS (SELECT *, trim(c0) AS id FROM axiom_sheet WHERE line_no >= 3),
+    ix AS (SELECT lower(trim(c2)) AS key, arg_min(id, (tab_order, line_no, id)) AS iri FROM d GROUP BY 1),
+    v AS (SELECT id, header, trim(x) AS value FROM (SELECT id, 'kinds' AS header, unnest(string_split(c3, '|')) AS x FROM d UNION ALL SELECT id, 'made of', unnest(string_split(c4, '|')) FROM d
+      UNION ALL SELECT id, 'range', unnest(string_split(c5, '|')) FROM d) WHERE trim(x) <> ''),
+    r AS (SELECT v.*, CASE WHEN regexp_matches(value, '^https?://') THEN value ELSE iri END AS iri FROM v LEFT JOIN ix ON ix.key = lower(value)),
+    m AS (SELECT id, {_NODE_LABEL} AS b, iri FROM r WHERE header = 'made of' AND iri IS NOT NULL)
+    SELECT DISTINCT id AS s, 'rdfs:subClassOf' AS p, iri AS o FROM r WHERE header = 'kinds' AND iri IS NOT NULL UNION SELECT id, 'rdfs:range', iri FROM r WHERE header = 'range' AND iri IS NOT NULL
+    UNION SELECT id, 'rdfs:subClassOf', b FROM m UNION SELECT b, 'rdf:type', 'owl:Restriction' FROM m UNION SELECT b, 'owl:onProperty', '{ONT}madeOf' FROM m UNION SELECT b, 'owl:someValuesFrom', iri FROM m
+    UNION ALL SELECT id, 'unresolved ' || header, value FROM r WHERE iri IS NULL""")
+def _(c):
+    sheet = c.view("axiom_sheet").select("tab", "tab_order", "line_no", F.array(*CELLS[:6]).alias("cells"))
+    quads, missing = T.template_to_triples(*scan.tabs_from_rows(sheet), BASE + "g/axioms")
+    axioms = quads.where(~F.col("p").isin(LABEL) & ~((F.col("p") == TYPE) & (F.col("s_kind") == "iri")))
+    return axioms.select("s", "p", "o").unionByName(missing.select(F.col("id").alias("s"), F.concat(F.lit("unresolved "), "header").alias("p"), F.col("value").alias("o")))
+
+
 @query("parse_directive", views="sheet", sql="""
     WITH x AS (SELECT tab, col, any_value(h) AS header, trim(any_value(t)) AS t FROM (SELECT a.tab, u.col, u.h, w.t FROM sheet a, LATERAL (SELECT unnest(range(8)) AS col, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS h) u
       JOIN (SELECT tab AS tb, unnest(range(8)) AS col2, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS t FROM sheet WHERE line_no = 2) w ON w.tb = a.tab AND w.col2 = u.col WHERE a.line_no = 1) GROUP BY tab, col)
@@ -160,7 +193,7 @@ VALUE_CLASSES = {"license": (ONT + "License", "licence of %s"), "link": (ONT + "
 def _(c):
     rows = _intake(c)
     ok = T.must_resolve(rows, ["creators"], c.view("people_index")).where("promoted").select("row_id")
-    numbered = with_ordinal(rows.join(ok, "row_id", "left_semi"), ["row_id"], F.floor(F.col("row_id") / 500), "k")
+    numbered = with_ordinal(rows.join(ok, "row_id", "left_semi"), ["row_id"], "k")
     return T.promote_rows(numbered, VALUE_CLASSES, BASE, 1700000000000, F.col("k"))
 
 

@@ -46,7 +46,7 @@ def scan_tabs(spark: SparkSession, path: str, columns: int, repair: bool = False
                      F.concat(F.col("_metadata.file_name"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")).alias("__at"),
                      F.monotonically_increasing_id().alias("__id"), F.array(*[f"c{i}" for i in range(columns)]).alias("cells"))
     sizes = raw.groupBy("tab").agg(F.count(F.lit(1)).alias("__rows"))
-    rows = with_ordinal(raw, ["__id"], F.col("__at"), "row", by=["tab"]).join(sizes, "tab").drop("__at", "__id")
+    rows = with_ordinal(raw, ["__at", "__id"], "row", by=["tab"]).join(sizes, "tab").drop("__at", "__id")
     if repair:
         if scope == "file":
             wide = F.exists("cells", lambda c: F.coalesce(c, F.lit("")).rlike("[^\u0000-ÿ]"))

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kgspark.functions.scalars import graph_stem, nt_line
 from kgspark.model import METRIC_TABLES, QUAD_COLS
 from kgspark.operators.ordinal import chunk_lines
 from kgspark.operators.pattern import latest, strip_bnodes
-from kgspark.session import materialize, path_exists
+from kgspark.session import materialize, path_exists, remove_path
 
 
 # --- metric tables -----------------------------------------------------------------------------
@@ -50,6 +51,8 @@ def latest_views(tables: dict[str, DataFrame], prefix: str = "") -> dict[str, Da
 
 #: Files per graph of a line writer.
 FILES = 16
+#: Bytes of text that published graphs are packed to.
+PACK_BYTES = 256 << 20
 
 
 def nquads_lines(quads: DataFrame) -> DataFrame:
@@ -71,28 +74,82 @@ def publishable(quads: DataFrame, default_iri: str | None = None, default: str =
     return quads.withColumn("graph", F.when(F.col("graph") == default, default_iri).otherwise(F.col("graph"))).select(QUAD_COLS)
 
 
-def publish_graphs(quads: DataFrame, path: str, delete_first: bool = True, buckets: int = 256) -> None:
-    """Drop-and-replace per graph.
+MAP = "graph STRING, part STRING, bytes BIGINT, files INT, run STRING, slot INT"
 
-    The stored table is partitioned by a hash bucket of the graph, because the number of
-    graphs has no bound; the graphs of touched buckets that are not published now are carried
-    over. Within a bucket rows are spread by a hash of the triple, so one huge graph is many files.
+
+def partition_map(spark: SparkSession, path: str) -> DataFrame:
+    """Where each published graph lies: (graph, part, bytes, files, run, slot)."""
+    where = f"{path.rstrip('/')}-map"
+    return spark.read.schema(MAP).parquet(where) if path_exists(spark, where) else spark.createDataFrame([], MAP)
+
+
+def _placed(sizes: DataFrame, old: DataFrame, run: str, pack_bytes: int) -> DataFrame:
+    """The map rows of ``sizes`` (graph, bytes): graphs above the bound get a part of their own, small ones stay in their
+    pack up to twice the bound, and the other small ones are put together up to the bound."""
+    own = F.concat(F.lit("own-"), F.substring(F.sha2("graph", 256), 1, 32))
+    big = F.col("bytes") > pack_bytes
+    here = old.where(F.col("part").startswith("pack-")).join(sizes.select("graph", F.col("bytes").alias("new")), "graph", "left")
+    load = here.groupBy("part").agg(F.sum(F.coalesce("new", "bytes")).alias("load"))
+    room = here.where("new IS NOT NULL").join(load, "part").where(F.col("load") <= 2 * pack_bytes).select("graph", F.col("part").alias("old"))
+    known = sizes.join(room, "graph", "left").withColumn("part", F.when(big, own).otherwise(F.col("old")))
+    put = known.where("part IS NOT NULL").select("graph", "part", "bytes")
+    loose = known.where("part IS NULL")
+    # packs are filled within salts of some 64 packs, so no task numbers all graphs
+    total = loose.agg(F.sum("bytes")).first()[0] or 0
+    salts = max(1, total // (64 * pack_bytes))
+    salt = F.pmod(F.xxhash64("graph"), F.lit(salts))
+    upto = F.sum("bytes").over(Window.partitionBy("salt").orderBy("graph").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    packed = loose.withColumn("salt", salt).withColumn("k", F.floor((upto - F.lit(1)) / pack_bytes))
+    packed = packed.select("graph", F.concat_ws("-", F.lit("pack"), F.lit(run), F.col("salt").cast("string"), F.col("k").cast("string")).alias("part"), "bytes")
+    return put.unionByName(packed).select("graph", "part", "bytes", F.greatest(F.lit(1), F.ceil(F.col("bytes") / pack_bytes)).cast("int").alias("files"),
+                                          F.lit(run).alias("run"), F.pmod(F.xxhash64("graph"), F.lit(64)).cast("int").alias("slot"))
+
+
+def publish_graphs(quads: DataFrame, path: str, delete_first: bool = True, pack_bytes: int = PACK_BYTES, run: str | None = None) -> None:
+    """Drop-and-replace per graph; without ``delete_first`` the rows are added to their graphs.
+
+    A table beside the published one maps graphs to parts by size: a graph of more than ``pack_bytes`` bytes of text is
+    a part of its own, spread over files by a hash of the triple; smaller ones are packed up to that bound, which one graph may pass. Publishing
+    a graph rewrites its part, that is, at most itself or one pack, by dynamic partition overwrite. A graph leaves a pack
+    that would grow beyond twice the bound.
+
+    Graphs that ``run`` has already published are added to, not replaced, so a run may publish a graph in several steps.
+    The rows are written before the map: a publication that failed is simply repeated.
     """
     spark = quads.sparkSession
-    bucket = F.pmod(F.xxhash64("graph"), F.lit(buckets)).cast("int")
-    new = quads.withColumn("graph_bucket", bucket)
-    if not delete_first:
-        new.write.mode("append").partitionBy("graph_bucket").parquet(path)
-        return
-    if path_exists(spark, path):
-        old = spark.read.parquet(path)
-        new = materialize(new, "publish")
-        touched = new.select("graph_bucket").distinct()
-        gone = new.select("graph").distinct()
-        carry = old.join(touched, "graph_bucket", "left_semi").join(gone, "graph", "left_anti")
-        new = materialize(new.unionByName(carry.select(new.columns)), "publish")
-    new.repartition("graph_bucket", F.pmod(F.xxhash64("s", "p", "o"), F.lit(64))).sortWithinPartitions("graph_bucket", "graph", "p", "s").write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("graph_bucket").parquet(path)
+    run = run or uuid.uuid4().hex[:12]
+    where = f"{path.rstrip('/')}-map"
+    new = materialize(quads.select(QUAD_COLS), "publish")
+    named = new.select("graph").distinct()
+    old = partition_map(spark, path)
+    here = old.join(named, "graph", "left_semi")
+    keep = here if not delete_first else here.where(F.col("run") == run)
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in QUAD_COLS[1:]), F.octet_length("graph"))
+    if not keep.isEmpty():
+        held = stored_graphs(spark, path, keep)
+        new = materialize(new.unionByName(held).distinct() if delete_first else new.unionByName(held), "publish")
+    sizes = new.groupBy("graph").agg(F.sum(text.cast("bigint")).alias("bytes"))
+    near = old.join(here.select("part").distinct(), "part", "left_semi").select(old.columns)
+    placed = materialize(_placed(sizes, near, run, pack_bytes), "map")
+    touched = here.select("part").union(placed.select("part")).distinct()
+    rest = old.join(touched, "part", "left_semi").join(named, "graph", "left_anti")  # graphs that share a part with those
+    rows = new.join(placed.select("graph", "part", "files"), "graph")
+    if not rest.isEmpty():
+        carried = stored_graphs(spark, path, rest).join(rest.select("graph", "part", "files"), "graph")
+        rows = materialize(rows.unionByName(carried), "publish")
+    empty = [r["part"] for r in here.select("part").distinct().join(placed.union(rest.select(placed.columns)).select("part"), "part", "left_anti").collect()]
+    rows.repartition("part", F.pmod(F.xxhash64("s", "p", "o"), F.col("files"))).drop("files").sortWithinPartitions("part", "graph", "p", "s").write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    slots = placed.select("slot").distinct()
+    merged = placed.unionByName(old.join(slots, "slot", "left_semi").join(named, "graph", "left_anti").select(placed.columns))
+    materialize(merged, "map").repartition("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(where)
+    for part in empty:  # packs whose graphs have all moved out
+        remove_path(spark, f"{path.rstrip('/')}/part={part}")
+
+
+def stored_graphs(spark: SparkSession, path: str, located: DataFrame) -> DataFrame:
+    """Rows of the published graphs ``located`` (graph, part); only their parts are read."""
+    return spark.read.parquet(path).join(located.select("graph", "part"), ["graph", "part"], "left_semi").select(QUAD_COLS)
 
 
 def read_graphs(spark: SparkSession, path: str) -> DataFrame:
@@ -100,12 +157,17 @@ def read_graphs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_chunks(quads: DataFrame, path: str, target_bytes: int = 5 * 1024 * 1024) -> None:
-    """Statement-bounded chunks of each graph, one folder per chunk."""
+    """Statement-bounded chunks of each graph, one folder and one file per chunk."""
     c = chunk_lines(nquads_lines(quads), target_bytes)
     c.select(graph_stem("graph").alias("graph_stem"), "chunk", F.col("line").alias("value")).repartition("graph_stem", "chunk").write.mode("overwrite").partitionBy(
         "graph_stem", "chunk").text(path)
 
 
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(graph_stem, chunk, line) of written chunks; a chunk can be read without the others."""
+    return spark.read.schema("line STRING, graph_stem STRING, chunk BIGINT").text(path).select("graph_stem", "chunk", "line")
+
+
 # --- delimited and JSON ---------------------------------------------------------------------------
 
 def with_directive_row(df: DataFrame, directives: list[str]) -> DataFrame:

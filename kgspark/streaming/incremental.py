@@ -1,86 +1,161 @@
 """Incremental jobs on Structured Streaming: change detection, re-sync, snapshots, upserts.
 
-State is a table in the shared folder. Each batch writes a new version, numbered after all stored
-ones and named by its run (the streaming checkpoint) and batch; the newest complete version is the
-state. A batch repeated after a failure finds its own name and writes the same version again.
+The remembered state of harvested graphs is keyed state of a streaming query (``transformWithState`` in
+RocksDB with changelog checkpoints), so a batch writes what it changes and no more. Its folder
+is the query's checkpoint and belongs to one state.
 """
 
 from __future__ import annotations
 
-import hashlib
+import contextlib
+import json
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from kgspark.operators.harvest import change_detect
-from kgspark.sources.scan import scan_state
-from kgspark.sources.sinks import publish_graphs, read_graphs
 from kgspark.session import path_exists, remove_path
+from kgspark.sources.sinks import publish_graphs, read_graphs  # noqa: F401
 
 STATE = "graph_iri STRING, sha256 STRING, version STRING, harvested_at STRING, registered_from STRING"
+REMEMBERED = "sha256 STRING, version STRING, harvested_at STRING, registered_from STRING, epoch INT"
+STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextlib.contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The session's state store is RocksDB with changelogs while a query is started and run."""
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _detector() -> StatefulProcessor:
+    """Made inside a function, so that it travels with the job."""
+
+    class Detect(StatefulProcessor):
+        """The newest record of a graph in the batch against the remembered one; older epochs are forgotten."""
+
+        def init(self, handle) -> None:
+            self.known = handle.getValueState("known", REMEMBERED)
+
+        def handleInputRows(self, key, rows, timerValues):
+            new = max((r for part in rows for r in part[["harvested_at", "sha256", "version", "registered_from", "epoch"]].itertuples(index=False, name=None)),
+                      key=lambda r: (r[0] or "", r[1] or ""))
+            harvested, sha, version, registered, epoch = new
+            held = self.known.get() if self.known.exists() else None
+            was = held if held is not None and held[4] == epoch else None
+            change = "new" if was is None else "unchanged" if was[0] == sha else "changed"
+            self.known.update((sha, version, harvested, registered, int(epoch)))
+            yield pd.DataFrame({"graph_iri": [key[0]], "change": [change]})
+
+        def close(self) -> None:
+            pass
+
+    return Detect()
+
+
+def _epoch(spark: SparkSession, root: str, resync: bool) -> int:
+    """The number of re-syncs begun so far. One that has not ended goes on under its number, before anything else."""
+    begun = sorted(json.loads(r[0])["epoch"] for r in spark.read.text(f"{root}/epochs/begun").collect()) if path_exists(spark, f"{root}/epochs/begun") else []
+    ended = begun and path_exists(spark, f"{root}/epochs/ended-{begun[-1]}/_SUCCESS")
+    if begun and not ended:
+        if not resync:
+            raise RuntimeError("a re-sync has not ended: run it again first")
+        return begun[-1]
+    if resync:
+        spark.createDataFrame([(json.dumps({"epoch": len(begun) + 1}),)], "value string").coalesce(1).write.mode("append").text(f"{root}/epochs/begun")
+        return len(begun) + 1
+    return len(begun)
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """What is remembered now: the rows of ``STATE``, read from the state store."""
+    if not path_exists(spark, f"{root}/query/commits"):
+        return spark.createDataFrame([], STATE)
+    epoch = len(spark.read.text(f"{root}/epochs/begun").collect()) if path_exists(spark, f"{root}/epochs/begun") else 0
+    with state_store(spark):
+        rows = spark.read.format("statestore").option("stateVarName", "known").load(f"{root}/query")
+        return rows.where(F.col("value.epoch") == epoch).select(F.col("key.graph_iri").alias("graph_iri"), *[F.col(f"value.{c}").alias(c) for c in ("sha256", "version", "harvested_at", "registered_from")])
+
+
+def run_change_detection(spark: SparkSession, landing: str, state_root: str, report: str, resync: bool = False, max_files: int | None = None) -> None:
+    """Take in landed harvest files and classify every graph against the remembered state.
 
+    Each run reads the files of ``landing`` that no run has read; graphs that a batch does not mention keep their state. A full
+    re-sync ignores what was remembered before it began (not its own earlier batches); later runs go on from its state.
+    The report has one folder per batch, which a repeated batch writes again.
+    """
+    root = state_root.rstrip("/")
+    epoch = _epoch(spark, root, resync)
+    reader = spark.readStream.schema(STATE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # a pattern, because the source of a checkpoint may only change its path if that is no single folder
+    seen = reader.json(f"{landing.rstrip('/')}/*").where("graph_iri IS NOT NULL").withColumn("epoch", F.lit(epoch))
+    changes = seen.groupBy("graph_iri").transformWithStateInPandas(_detector(), "graph_iri STRING, change STRING", "Update", "None")
 
-def _run_id(checkpoint: str) -> str:
-    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-
-
-def _versions(spark: SparkSession, root: str, complete: bool = True) -> list[tuple[int, str, int]]:
-    """(version, run, batch) of the stored states below ``root``, oldest first."""
-    if not path_exists(spark, root):
-        return []
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().getName() for st in fs.listStatus(path)]
-    return sorted((int(v[1:]), run, int(batch)) for n in names if n.startswith("v") and (not complete or path_exists(spark, f"{root}/{n}/_SUCCESS"))
-                  for v, run, batch in [n.split("-")])
-
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{report}/batch={batch_id}")
 
-def _name(version: tuple[int, str, int]) -> str:
-    return f"v{version[0]}-{version[1]}-{version[2]}"
+    with state_store(spark):
+        q = changes.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", f"{root}/query").trigger(availableNow=True).start()
+        q.awaitTermination()
+    if resync:
+        spark.createDataFrame([("ended",)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/epochs/ended-{epoch}")
 
 
-def next_version(spark: SparkSession, root: str, run: str, batch: int) -> tuple[int, str, int]:
-    """The version a batch writes: its own if it began before, else one after all others."""
-    stored = _versions(spark, root, complete=False)
-    return next((v for v in stored if v[1:] == (run, batch)), (max((v[0] for v in stored), default=-1) + 1, run, batch))
+def orphaned_after_full_run(current: DataFrame, spark: SparkSession, state_root: str) -> DataFrame:
+    """After a full run: remembered graphs that the run did not see."""
+    return read_state(spark, state_root).join(current.select("graph_iri"), "graph_iri", "left_anti").select("graph_iri")
 
 
-def read_state(spark: SparkSession, root: str, before: int | None = None, run: str | None = None) -> DataFrame:
-    """The newest state, on request only up to a version or of one run."""
-    vs = [v for v in _versions(spark, root) if (before is None or v[0] < before) and (run is None or v[1] == run)]
-    return scan_state(spark, f"{root}/{_name(vs[-1])}", STATE) if vs else spark.createDataFrame([], STATE)
+PAGE_START = r"start[=-]0*([0-9]+)"
 
 
-def run_change_detection(spark: SparkSession, landing: str, state_root: str, report: str, checkpoint: str,
-                         resync: bool = False, max_files: int | None = None) -> None:
-    """Take in landed harvest files and classify every graph against the remembered state.
+def run_paged_harvest(spark: SparkSession, landing: str, schema: str, out: str, checkpoint: str, max_files: int | None = None, page: str = PAGE_START) -> None:
+    """Take in landed pages of a paged harvest: JSON lines, a page's first record number in its path (group 1 of ``page``; files without one are left out).
 
-    Each run reads the files new since the last one. A full re-sync ignores the states of other runs
-    (not those of its own earlier batches) and needs its own checkpoint; later runs go on from its state.
+    The stream remembers which pages it has read, so an interrupted harvest goes on where it stopped; a batch that runs
+    again writes its own folder again. Rows keep (start, place), their place in the order of the pages.
     """
-    reader = spark.readStream.schema(STATE)
+    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    run = _run_id(checkpoint)
+    start = F.regexp_extract(F.col("_metadata.file_path"), page, 1).try_cast("bigint")
+    rows = reader.json(landing).select("*", start.alias("start"), F.col("_metadata.file_name").alias("__file"), F.col("_metadata.file_block_start").alias("__block")).where("start IS NOT NULL")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        version = next_version(spark, state_root, run, batch_id)
-        prior = read_state(spark, state_root, version[0], run if resync else None)
-        newest = batch.groupBy("graph_iri").agg(F.max_by(F.struct(*batch.columns[1:]), F.struct("harvested_at", "sha256")).alias("r")).select("graph_iri", "r.*")
-        touched = prior.join(newest.select("graph_iri"), "graph_iri", "left_semi")
-        # a file batch is a part of the world: graphs it does not mention keep their state
-        change_detect(newest, touched).withColumn("batch", F.lit(version[0])).write.mode("overwrite").parquet(f"{report}/batch={version[0]}")
-        rest = prior.join(newest.select("graph_iri"), "graph_iri", "left_anti")
-        newest.unionByName(rest.select(newest.columns)).write.mode("overwrite").parquet(f"{state_root}/{_name(version)}")
-
-    q = (reader.json(landing).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+        place = F.struct(F.col("__file").alias("file"), F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row"))
+        batch.withColumn("place", place).drop("__file", "__block").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def orphaned_after_full_run(current: DataFrame, spark: SparkSession, state_root: str) -> DataFrame:
-    """After a full run: remembered graphs that the run did not see."""
-    return read_state(spark, state_root).join(current.select("graph_iri"), "graph_iri", "left_anti").select("graph_iri")
+def harvested(spark: SparkSession, out: str, page_size: int, max_records: int | None = None) -> DataFrame:
+    """The records of a harvest in page order, each once: pages up to the first gap or short page, which ends a harvest, and
+    of them the first ``max_records`` records. A page that landed twice counts once, as it landed last."""
+    rows = spark.read.parquet(out)
+    newest = rows.groupBy("start").agg(F.max("batch").alias("batch"))
+    rows = rows.join(newest, ["start", "batch"])
+    sizes = rows.groupBy("start").agg(F.count(F.lit(1)).alias("rows"))
+    # page k starts at k * page_size: the first one that is short, or missing, is found without an order over all pages
+    full = sizes.where((F.col("start") % page_size == 0) & (F.col("rows") >= page_size)).select((F.col("start") + page_size).alias("start"))
+    firsts = full.unionByName(spark.range(1).select(F.lit(0).cast("bigint").alias("start"))).distinct()
+    stop = firsts.join(sizes.where(F.col("rows") >= page_size).select("start"), "start", "left_anti").agg(F.min("start")).first()[0]
+    kept = rows.where((F.col("start") <= stop) & (F.col("start") % page_size == 0))
+    if max_records is not None:
+        kept = kept.orderBy("start", "place").limit(max_records)
+    return kept.drop("batch")
 
 
 def daily_counts(events: DataFrame, ts: str = "ts", key: str = "event_type") -> DataFrame:
@@ -104,10 +179,9 @@ def run_upsert(spark: SparkSession, landing: str, schema: str, table: str, check
     """Graphs in a run replace their stored content; repeating a batch or a run changes nothing.
 
     A graph whose rows come in several batches of a run is replaced by the first and added to by the
-    others: the graphs of each batch are noted beside the table before it is published.
+    others: the table's map remembers the run that wrote each graph.
     """
-    log = f"{table.rstrip('/')}-runs"
-    opened = f"{log}/open-{_run_id(checkpoint)}"  # there while a run is under way: one that failed goes on under its id
+    opened = f"{checkpoint.rstrip('/')}/open-run"  # there while a run is under way: one that failed goes on under its id
     if not path_exists(spark, f"{opened}/_SUCCESS"):
         spark.createDataFrame([(uuid.uuid4().hex[:12],)], "value string").coalesce(1).write.mode("overwrite").text(opened)
     run = spark.read.text(opened).first()["value"]
@@ -116,15 +190,9 @@ def run_upsert(spark: SparkSession, landing: str, schema: str, table: str, check
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        new = batch.distinct()
-        new.select("graph").distinct().write.mode("overwrite").parquet(f"{log}/{run}/batch={batch_id}")
-        earlier = spark.read.parquet(f"{log}/{run}").where(F.col("batch") < batch_id).select("graph").distinct()
-        if not earlier.isEmpty():
-            begun = earlier.join(new.select("graph").distinct(), "graph", "left_semi")
-            new = new.unionByName(read_graphs(spark, table).join(begun, "graph", "left_semi").select(new.columns)).distinct()
-        publish_graphs(new, table, delete_first=True)
+        publish_graphs(batch.distinct(), table, run=run)
 
     q = (reader.parquet(landing).writeStream.foreachBatch(step)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query").trigger(availableNow=True).start())
     q.awaitTermination()
     remove_path(spark, opened)

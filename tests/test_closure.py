@@ -125,3 +125,127 @@ def test_reach_on_random_graphs(spark):
                     seen.add(b)
                     todo.append(b)
         assert got == seen
+
+
+def test_reach_holds_no_more_rows_than_edges(spark, monkeypatch):
+    """Behind a chain of eleven a random graph of 1,500 nodes with two edges out, and cycles that nothing enters."""
+    rnd = random.Random(5)
+    pairs = {(f"c{i}", f"c{i + 1}") for i in range(11)} | {("c11", "n0")} | {(f"n{i}", f"n{rnd.randrange(1500)}") for i in range(1500) for _ in range(2)}
+    pairs |= {("x0", "x1"), ("x1", "x0"), ("y0", "y1"), ("y1", "y2"), ("y2", "y0"), ("n3", "n3")}
+    stored, keep = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, name="step", *a, **k: stored.append(keep(df, name, *a, **k)) or stored[-1])
+    got = {r.node for r in C.reach(spark.createDataFrame([*pairs], "a string, b string"), spark.createDataFrame([("c0",)], "node string")).collect()}
+    nexts, seen, todo = {}, set(), ["c0"]
+    for a, b in pairs:
+        nexts.setdefault(a, []).append(b)
+    while todo:
+        for b in nexts.get(todo.pop(), []):
+            if b not in seen:
+                seen.add(b)
+                todo.append(b)
+    assert got == seen
+    assert all(df.count() <= len(pairs) for df in stored) and len(stored) < 80
+
+
+def test_reach_contracts_chains(spark, monkeypatch):
+    """Two chains that meet, a start inside a chain, and a start on a cycle."""
+    rounds, keep = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, name="step", *a, **k: rounds.append(name) or keep(df, name, *a, **k))
+    pairs = [(f"a{i}", f"a{i + 1}") for i in range(300)] + [(f"b{i}", f"b{i + 1}") for i in range(200)] + [("b200", "a150")] + [(f"k{i}", f"k{(i + 1) % 40}") for i in range(40)]
+    start = [("b20",), ("k3",)]
+    got = {r.node for r in C.reach(spark.createDataFrame(pairs, "a string, b string"), spark.createDataFrame(start, "node string")).collect()}
+    assert got == {f"b{i}" for i in range(21, 201)} | {f"a{i}" for i in range(150, 301)} | {f"k{i}" for i in range(40)}
+    assert len(rounds) <= 30
+
+
+# --- the rules once more, one by one, on sets ---------------------------------------------------
+
+def brute_owlrl(t):
+    """Naive closure of (s, p, o) with the same rules; equal nodes are replaced by the smallest."""
+    o_ = lambda x: "owl:" + x
+    up = {}
+
+    def find(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    def plus(edges):
+        edges, before = set(edges), -1
+        edges = {(a, b) for a, b in edges if a != b}
+        out = set(edges)
+        while len(out) != before:
+            before = len(out)
+            out |= {(a, d) for a, b in out for c, d in edges if b == c}
+        return out
+
+    t = set(t)
+    while True:
+        of = lambda p: {(s, o) for s, q, o in t if q == p}
+        typed = lambda c: {s for s, o in of("a") if o == c}
+        sub = plus(of("rdfs:subClassOf") | of(o_("equivalentClass")) | {(b, a) for a, b in of(o_("equivalentClass"))})
+        subp = plus(of("rdfs:subPropertyOf") | of(o_("equivalentProperty")) | {(b, a) for a, b in of(o_("equivalentProperty"))})
+        new = {(a, "rdfs:subClassOf", b) for a, b in sub} | {(a, "rdfs:subPropertyOf", b) for a, b in subp}
+        new |= {(s, "a", d) for s, c in of("a") for e, d in sub if c == e} | {(s, d, o) for s, p, o in t for e, d in subp if p == e}
+        for p, c in of("rdfs:domain"):
+            new |= {(s, "a", c) for s, q, _ in t if q == p}
+        for p, c in of("rdfs:range"):
+            new |= {(o, "a", c) for _, q, o in t if q == p}
+        inv = of(o_("inverseOf")) | {(b, a) for a, b in of(o_("inverseOf"))} | {(p, p) for p in typed(o_("SymmetricProperty"))}
+        new |= {(o, q, s) for s, p, o in t for r, q in inv if p == r}
+        for p in typed(o_("TransitiveProperty")):
+            new |= {(a, p, d) for a, b in of(p) for c, d in of(p) if b == c}
+        on = of(o_("onProperty"))
+        for r, p in on:
+            for v in [v for x, v in of(o_("hasValue")) if x == r]:
+                new |= {(s, p, v) for s in typed(r)} | {(s, "a", r) for s, x in of(p) if x == v}
+            for c in [c for x, c in of(o_("someValuesFrom")) if x == r]:
+                new |= {(s, "a", r) for s, y in of(p) if y in typed(c) or c == o_("Thing")}
+        rest = plus(of("rdf:rest"))
+        member = of("rdf:first") | {(a, m) for a, b in rest for x, m in of("rdf:first") if x == b}
+        for c, l in of(o_("unionOf")):
+            new |= {(s, "a", c) for x, m in member if x == l for s in typed(m)}
+        parts = {}
+        for c, l in of(o_("intersectionOf")):
+            parts.setdefault(c, set()).update(m for x, m in member if x == l)
+        for c, ms in parts.items():
+            if ms:
+                new |= {(s, "a", c) for s in set.intersection(*(typed(m) for m in ms))}
+            new |= {(s, "a", m) for s in typed(c) for m in ms}
+        grown = t | new
+        pairs = {(s, o) for s, p, o in grown if p == o_("sameAs")}
+        for p in {s for s, q, c in grown if q == "a" and c == o_("FunctionalProperty")}:
+            pairs |= {(x, y) for s, q, x in grown if q == p for s2, q2, y in grown if q2 == p and s2 == s}
+        for p in {s for s, q, c in grown if q == "a" and c == o_("InverseFunctionalProperty")}:
+            pairs |= {(x, y) for x, q, s in grown if q == p for y, q2, s2 in grown if q2 == p and s2 == s}
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+        now = {(find(s), find(p), find(o)) for s, p, o in grown if p != o_("sameAs")} | {(x, o_("sameAs"), find(x)) for x in [*up] if find(x) != x}
+        if now == t:
+            return now
+        t = now
+
+
+def test_owlrl_equals_brute_force(spark):
+    """Random graphs whose nodes, classes, properties, lists and restrictions are merged on the way."""
+    schema = "s STRING, s_kind STRING, p STRING, o STRING, o_kind STRING, o_datatype STRING, o_lang STRING"
+    from kgspark.model import expand
+    merged = 0
+    for seed in range(6):
+        r = random.Random(seed)
+        nodes, props, classes = [f"ont:n{k}" for k in range(7)], [f"ont:p{k}" for k in range(4)], [f"ont:C{k}" for k in range(5)]
+        t = {(r.choice(nodes), r.choice(props), r.choice(nodes)) for _ in range(9)} | {(r.choice(nodes), "a", r.choice(classes)) for _ in range(5)}
+        axioms = [lambda: (r.choice(classes), r.choice(["rdfs:subClassOf", "owl:equivalentClass"]), r.choice(classes)), lambda: (r.choice(props), r.choice(["rdfs:subPropertyOf", "owl:inverseOf"]), r.choice(props)),
+                  lambda: (r.choice(props), r.choice(["rdfs:domain", "rdfs:range"]), r.choice(classes)), lambda: (r.choice(props), "a", "owl:" + r.choice(["TransitiveProperty", "SymmetricProperty"])),
+                  lambda: (r.choice(props[:2]), "a", "owl:" + r.choice(["FunctionalProperty", "InverseFunctionalProperty"])), lambda: tuple(r.sample(r.choice([nodes, classes, props]), 1)) + ("owl:sameAs",) + (r.choice(nodes + classes + props[2:]),)]
+        t |= {r.choice(axioms)() for _ in range(5)}
+        k = r.choice(classes)
+        t |= {(k, "owl:onProperty", r.choice(props)), (k, *r.choice([("owl:hasValue", r.choice(nodes)), ("owl:someValuesFrom", r.choice([*classes, "owl:Thing"]))]))}
+        t |= {(r.choice(classes), r.choice(["owl:unionOf", "owl:intersectionOf"]), "ont:l0"), ("ont:l0", "rdf:first", r.choice(classes)), ("ont:l0", "rdf:rest", "ont:l1"), ("ont:l1", "rdf:first", r.choice(classes))}
+        df = spark.createDataFrame([(expand(s), "iri", expand(p), expand(o), "iri", None, "") for s, p, o in t], schema)
+        got = {(x.s, x.p, x.o) for x in C.owlrl_closure(df, max_rounds=40).collect() if not (x.p == SAME_AS and x.s == x.o)}
+        want = {tuple(map(expand, x)) for x in brute_owlrl(t)}
+        assert got == want, (seed, sorted(got - want)[:5], sorted(want - got)[:5])
+        merged += any(p == SAME_AS for _, p, _ in got)
+    assert merged >= 3

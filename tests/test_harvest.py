@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kgspark.model import BASE, ONT
 from kgspark.operators import harvest as H
-from kgspark.sources import scan, sinks
+from kgspark.sources import archives, scan, sinks
 from kgspark.streaming import incremental as I
 
 
@@ -44,7 +44,7 @@ def test_stream_second_run_is_unchanged(spark, tmp_path):
         (tmp_path / "in").mkdir(exist_ok=True)
         (tmp_path / "in" / name).write_text("\n".join(json.dumps(dict(graph_iri=g, sha256=h, version="1", harvested_at=t, registered_from="r")) for g, h, t in items))
 
-    run = lambda: I.run_change_detection(spark, *[str(tmp_path / x) for x in ("in", "state", "report", "cp")])
+    run = lambda: I.run_change_detection(spark, *[str(tmp_path / x) for x in ("in", "state", "report")])
     land("1.json", [("a", "1", "t1"), ("b", "1", "t1")])
     run()
     land("2.json", [("a", "1", "t2"), ("b", "2", "t2"), ("c", "1", "t2")])
@@ -66,9 +66,9 @@ def test_daily_snapshots_stream(spark, tmp_path):
 
 def test_publish_replaces_only_its_graphs(spark, quads, tmp_path):
     path = str(tmp_path / "pub")
-    sinks.publish_graphs(quads(("g1", "ont:a", "ont:p", "ont:b"), ("g2", "ont:a", "ont:p", "ont:b")), path, buckets=1)
+    sinks.publish_graphs(quads(("g1", "ont:a", "ont:p", "ont:b"), ("g2", "ont:a", "ont:p", "ont:b")), path)
     for _ in range(2):
-        sinks.publish_graphs(quads(("g1", "ont:a", "ont:p", "ont:c")), path, buckets=1)
+        sinks.publish_graphs(quads(("g1", "ont:a", "ont:p", "ont:c")), path)
     assert rows(sinks.read_graphs(spark, path), "graph", "o") == [("g1", ONT + "c"), ("g2", ONT + "b")]
 
 
@@ -150,3 +150,82 @@ def test_literals_of_any_length_and_escape(spark, tmp_path):
     assert got[0].o == 'say "x" \\ \n' * 60_000 and got[0].o_lang == "en"
     assert got[1].o == "ü \U0001F600 \b\f\t\r \\u0041 \\" and got[2].o == 'a # " b' and got[3].o_datatype == "t" and got[3].graph == "_:g"
     assert (got[6].o, got[6].o_kind, got[6].graph) == ("o", "iri", "g")
+
+
+def test_publishing_one_graph_rewrites_its_part_only(spark, tmp_path):
+    """A thousand small graphs in packs, one huge graph in a part of its own."""
+    path, bound = str(tmp_path / "published"), 4000
+    row = ["concat('s', id) AS s", "'iri' AS s_kind", "'p' AS p", "repeat('x', 20) AS o", "'literal' AS o_kind", "cast(null AS string) AS o_datatype", "'' AS o_lang"]
+    small = spark.range(3000).selectExpr("concat('g', id % 1000) AS graph", *row)
+    huge = spark.range(2000).selectExpr("'huge' AS graph", *row)
+    files = lambda: {f.relative_to(path): f.stat().st_mtime_ns for f in (tmp_path / "published").rglob("*.parquet")}
+    parts = lambda a, b: {f.parts[0] for f in a.keys() | b.keys() if a.get(f) != b.get(f)}
+    sinks.publish_graphs(small.unionByName(huge), path, pack_bytes=bound)
+    where = sinks.partition_map(spark, path)
+    sizes = {r["part"]: r["n"] for r in where.groupBy("part").agg(F.sum("bytes").alias("n")).collect()}
+    assert 20 < len(sizes) < 200 and all(n <= bound + 150 for p, n in sizes.items() if p.startswith("pack-"))
+    assert rows(where.where("files > 1"), "graph") == [("huge",)]
+    first = files()
+    sinks.publish_graphs(small.where("graph = 'g7'").limit(1), path, pack_bytes=bound)
+    second = files()
+    assert len(parts(first, second)) == 1 and {p[:9] for p in parts(first, second)} == {"part=pack"}
+    sinks.publish_graphs(huge.where("s < 's5'"), path, pack_bytes=bound)
+    third = files()
+    assert {p[:8] for p in parts(second, third)} == {"part=own"} and len(parts(second, third)) == 1
+    # a graph that outgrows its pack moves out, one that shrinks moves into a pack and its part goes
+    sinks.publish_graphs(huge.withColumn("graph", F.lit("g8")), path, pack_bytes=bound)
+    sinks.publish_graphs(huge.limit(2), path, pack_bytes=bound)
+    assert rows(sinks.partition_map(spark, path).where("files > 1"), "graph") == [("g8",)]
+    counts = {r["graph"]: r["n"] for r in sinks.read_graphs(spark, path).groupBy("graph").agg(F.count("*").alias("n")).collect()}
+    assert counts["g7"] == 1 and counts["g8"] == 2000 and counts["huge"] == 2 and len(counts) == 1001 and sum(counts.values()) == 3000 - 6 + 1 + 2000 + 2
+    sinks.publish_graphs(small.where("graph = 'g9'"), path, delete_first=False, pack_bytes=bound)
+    assert sinks.read_graphs(spark, path).where("graph = 'g9'").count() == 6
+
+
+def test_archive_members_are_dealt_out(spark, tmp_path):
+    """One archive of 10,000 members is read by all tasks; a large member comes in bounded pieces."""
+    with zipfile.ZipFile(tmp_path / "many.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(10_000):
+            z.writestr(f"m{k}.nt", f"line {k}\n")
+    with zipfile.ZipFile(tmp_path / "large.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        with z.open("large.nt", "w") as f:
+            for k in range(30):
+                f.write((f"<s{k}> <p> " + "é" * 500_000 + " .\n").encode())
+        z.writestr("../evil.nt", "x")
+        z.writestr("note.txt", "x")
+        z.writestr("empty.ttl", "")
+    (tmp_path / "bad.zip").write_bytes(b"no zip")
+    found, left_out = archives.scan_archives(spark, str(tmp_path) + "/*.zip", max_bytes=40_000_000)
+    many = found.where("file LIKE '%many.zip'").select("inner", F.spark_partition_id().alias("task"))
+    assert many.select("inner").distinct().count() == 10_000 and many.select("task").distinct().count() == 4
+    sizes = found.where("inner = 'large.nt'").select(F.octet_length("text").alias("n"), "piece").collect()
+    assert max(r.n for r in sizes) < 3 * archives.PIECE_BYTES and len(sizes) >= 10 and sorted(r.piece for r in sizes) == list(range(len(sizes)))
+    assert sum(r.n for r in sizes) == sum(len(f"<s{k}> <p>  .\n") + 1_000_000 for k in range(30))
+    assert rows(left_out.select(F.coalesce("inner", F.lit("-")), "status")) == [("-", "no archive"), ("../evil.nt", "outside"), ("note.txt", "other format")]
+    assert archives.scan_archives(spark, str(tmp_path) + "/large.zip", max_bytes=10)[1].where("status = 'too large'").count() == 1
+    assert b"".join(archives.pieces(io.BytesIO("aé€𝄞\n".encode() * 50), 7)).decode() == "aé€𝄞\n" * 50
+    assert [p.decode() for p in archives.pieces(io.BytesIO("é€𝄞".encode() * 9), 5)]
+
+
+def test_paged_harvest_goes_on(spark, tmp_path):
+    landing, out, cp = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def land(start, ids):
+        folder = landing / f"start={start:012d}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"p{len(ids)}.json").write_text("".join(json.dumps({"id": i}) + "\n" for i in ids) + "no json\n")
+
+    run = lambda **kw: I.run_paged_harvest(spark, str(landing), "id BIGINT", out, cp, **kw)
+    got = lambda **kw: [r.id for r in I.harvested(spark, out, 3, **kw).orderBy("start", "place").collect()]
+    land(0, [5, 4, 3])
+    land(6, [9, 8, 7])  # a page that came before the one in front of it
+    run(max_files=1)
+    assert got() == [5, 4, 3]
+    land(3, [2, 1, 0])
+    run()
+    assert got() == [5, 4, 3, 2, 1, 0, 9, 8, 7]
+    land(9, [11])
+    land(12, [99, 98, 97])  # beyond the short page
+    run(max_files=1)
+    run()
+    assert got() == [5, 4, 3, 2, 1, 0, 9, 8, 7, 11] and got(max_records=4) == [5, 4, 3, 2]

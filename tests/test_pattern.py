@@ -5,6 +5,7 @@ from kgspark.functions import scalars as S
 from kgspark.model import ONT, TERMS, TRIPLE_COLS
 from kgspark.operators import metrics as M, pattern as P, questions as Q
 from kgspark.operators.ordinal import chunk_lines, with_ordinal
+from kgspark.sources import sinks
 
 
 def test_people_star_and_optional(quads):
@@ -81,13 +82,34 @@ def test_top_n_limits_before_the_shuffle(spark):
 
 def test_ordinals_and_chunks(spark):
     df = spark.range(0, 5000, 7).select(F.col("id").alias("k"))
-    got = with_ordinal(df, ["k"], F.floor(F.col("k") / 100), "n").orderBy("k").collect()
+    numbered = with_ordinal(df, ["k"], "n")
+    got = numbered.orderBy("k").collect()
     assert [r.n for r in got] == list(range(1, len(got) + 1))
+    assert "Window" not in numbered._jdf.queryExecution().executedPlan().toString()
+    grouped = df.withColumn("g", F.when(F.col("k") % 5 > 0, (F.col("k") % 5 > 2).cast("string"))).withColumn("m", -F.col("k"))
+    for g in (None, "true", "false"):
+        part = with_ordinal(grouped, ["m"], "n", start=2, by=["g"]).where(F.col("g").eqNullSafe(F.lit(g))).orderBy("m").collect()
+        assert part and [r.n for r in part] == list(range(2, len(part) + 2))
+    assert with_ordinal(df.limit(0), ["k"]).count() == 0
     lines = spark.range(2000).select((F.col("id") % 3).cast("string").alias("graph"), F.format_string("line %05d", "id").alias("line"))
     out = chunk_lines(lines, 1000)
     assert out.count() == 2000
     sizes = out.groupBy("graph", "chunk").agg(F.sum(F.octet_length("line") + 1).alias("b")).agg(F.max("b"), F.count("*")).first()
     assert sizes[0] <= 1000 + 11 and sizes[1] >= 21
+    # a graph that holds nearly all rows is cut into as many buckets as its bytes ask for, and chunks stay gapless
+    hot = chunk_lines(spark.range(30_000).select(F.when(F.col("id") < 10, "small").otherwise("hot").alias("graph"), F.format_string("line %06d", "id").alias("line")), 1000)
+    per = hot.groupBy("graph").agg(F.countDistinct("chunk").alias("n"), F.max("chunk").alias("top")).collect()
+    assert all(r.n == r.top + 1 for r in per) and {r.graph: r.n for r in per} == {"small": 1, "hot": 360}
+
+
+def test_chunks_are_written_and_read(spark, quads, tmp_path):
+    q = quads(*[("ont:g", f"ont:s{k}", "rdfs:label", f'"{k}"') for k in range(300)], ("ont:h", "ont:x", "rdfs:label", '"y"'))
+    sinks.write_chunks(q, str(tmp_path / "chunks"), 2000)
+    back = sinks.read_chunks(spark, str(tmp_path / "chunks"))
+    assert rows(back, "line") == rows(sinks.nquads_lines(q), "line")
+    sizes = [r.b for r in back.groupBy("graph_stem", "chunk").agg(F.sum(F.octet_length("line") + 1).alias("b")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 2300
+    assert len({f.parent for f in (tmp_path / "chunks").rglob("part-*")}) == len(sizes) == len([*(tmp_path / "chunks").rglob("part-*")])
 
 
 def test_cross_products_are_refused(spark):
@@ -112,3 +134,19 @@ def test_bounded_list(spark):
     df = spark.range(70).select(F.lit("a").alias("k"), F.format_string("%03d", "id").alias("v"))
     r = M.bounded_list(df, "k", "v").first()
     assert r.total == 70 and r["items"].endswith("049 ... (+20 more)")
+
+
+def test_combinations_are_cut_before_they_are_built(spark):
+    """A hub of 3,000 values in three lists has 2.7e10 combinations; none but the first are made."""
+    things = spark.createDataFrame([("g", "a", "t1"), ("g", "a", None), ("g", "b", "t"), ("g", "c", None), ("h", "z", "t")], "graph string, e string, title string")
+    hub = spark.range(3000).select(F.lit("g").alias("graph"), F.lit("b").alias("e"), F.format_string("v%05d", "id").alias("x"))
+    few = spark.createDataFrame([("g", "a", "q2"), ("g", "a", "q1"), ("g", "a", "q1"), ("h", "z", "q9")], "graph string, e string, x string")
+    every = hub.unionByName(few)
+    lists = [(every, "x"), (every.withColumnRenamed("x", "y"), "y"), (every.withColumnRenamed("x", "z"), "z")]
+    got = [tuple(r) for r in P.first_combinations(things, lists, 40, ["graph"]).orderBy("graph", "e", F.asc_nulls_last("title"), "x", "y", "z").collect()]
+    q = [(a, b, c) for a in ("q1", "q2") for b in ("q1", "q2") for c in ("q1", "q2")]
+    want = [("g", "a", t, *c) for t in ("t1", None) for c in q] + [("g", "b", "t", "v00000", "v00000", f"v{k:05d}") for k in range(24)] + [("h", "z", "t", "q9", "q9", "q9")]
+    assert got == want
+    assert len(P.first_combinations(things, lists, 40).collect()) == 40
+    plan = P.first_combinations(things, [], 2, ["graph"])
+    assert rows(plan.where("graph = 'g'"), "e") == [("a",), ("a",)]

@@ -1,3 +1,4 @@
+import json
 import uuid
 
 from conftest import rows
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions import scalars as S, text as X
 from kgspark.model import BASE, LABEL, ONT, TYPE
-from kgspark.operators import catalog as K, template as T
+from kgspark.operators import axioms as A, catalog as K, template as T
 from kgspark.sources import scan
 
 
@@ -125,3 +126,38 @@ def test_intake(spark):
     assert rows(ok) == [(1, True, ""), (2, False, "zed")]
     out = T.promote_rows(rows_.where("row_id = 1").withColumn("k", F.lit(0)), {"license": (ONT + "L", "licence of %s")}, BASE, 100, F.col("k"))
     assert rows(out, "part", "id", "label") == [("entity", BASE + "100", "A"), ("license", BASE + "101", "licence of A")]
+
+
+def test_axiom_directives(spark):
+    """C, DOMAIN and RANGE become class expressions with stable blank nodes; what is not found is reported."""
+    head = [["id", "type", "name", "kind of", "made of", "both", "from", "to"],
+            ["ID", "TYPE", "A rdfs:label", "C % SPLIT=|", f"C <{ONT}partOf> some (% or not 'Wood')", f"C {ONT}Thing and inverse {ONT}p min 2 %", "DOMAIN", f"RANGE {ONT}q only %"]]
+    lines = [[BASE + "1", ONT + "K", "Wood", "", "", "", "", ""], [BASE + "2", ONT + "K", "Oak", "wood| stone", "oak", "Wood", "", ""], [BASE + "3", ONT + "K", "made", "", "", "", "Oak", "wood"]]
+    data, dirs = sheet(spark, {"one": head + lines})
+    quads, missing = T.template_to_triples(data, dirs, "g")
+    got = [(r.s, r.p, r.o) for r in quads.collect()]
+    assert sorted(map(tuple, T.template_to_triples(data, dirs, "g")[0].select("s", "p", "o").collect())) == sorted(got)
+    assert [(r.id, r.header, r.value) for r in missing.collect()] == [(BASE + "2", "kind of", "stone")]
+    tree = {}
+    for a, p, o in got:
+        tree.setdefault(a, []).append((p.rpartition("#")[2] if "#" in p else p.rpartition("/")[2], o))
+
+    def show(x):
+        if not x.startswith("_:"):
+            return x.removeprefix(ONT).removeprefix(BASE).rpartition("#")[2]
+        return {p: show(o) for p, o in tree[x]}
+
+    ordered = lambda x: json.dumps(x, sort_keys=True)
+    nil = lambda x: {"first": x, "rest": "nil"}
+    of = lambda x, name: sorted((show(o) for p, o in tree[BASE + x] if p == name), key=ordered)
+    assert of("2", "subClassOf") == sorted(["1", {
+        "type": "Restriction", "onProperty": "partOf", "someValuesFrom": {"type": "Class", "unionOf": {"first": "2", "rest": nil({"type": "Class", "complementOf": "1"})}}}, {
+        "type": "Class", "intersectionOf": {"first": "Thing", "rest": nil({"type": "Restriction", "onProperty": {"inverseOf": "p"}, "minQualifiedCardinality": "2", "onClass": "1"})}}], key=ordered)
+    assert of("3", "domain") == ["2"] and of("3", "range") == [{"type": "Restriction", "onProperty": "q", "allValuesFrom": "1"}]
+    assert {r.o_datatype.rpartition("#")[2] for r in quads.where("o = '2'").collect()} == {"nonNegativeInteger"}
+    for bad in ("(a", "a some", "inverse a", "a b"):
+        try:
+            A.Expression(bad)
+            raise AssertionError(bad)
+        except ValueError:
+            pass
