@@ -442,7 +442,8 @@ def test_exact_dedup(spark):
     assert sorted(((x.doc_id, x.keep_id, x.group_size, x.text_sha256) for x in got), key=str) == sorted(expect, key=str)
     assert sum(x.kept for x in got) == len(set(low)) and all(x.doc_id == x.keep_id for x in got if x.kept)
     stay = exactdup.drop_duplicates(d)
-    assert stay.columns == d.columns and sorted((x.text or "").lower() for x in stay.select("text").collect()) == sorted({t.lower() for t in low} | {"ä"}, key=str) + [] or stay.count() == len(set(low))
+    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t or "")
+    assert stay.columns == d.columns and sorted(lower(x.text) for x in stay.select("text").collect()) == sorted(set(low))
     assert exactdup.exact_dedup(docs(spark)).count() == 0 and exactdup.drop_duplicates(docs(spark)).count() == 0
 
 
