@@ -26,7 +26,11 @@ def if_set(cond: Column, val) -> Column:
 
 
 def list_graphs(quads: DataFrame, prefix: str, limit: int = 2000) -> DataFrame:
-    return order_limit(quads.where(F.col("graph").startswith(prefix)).select("graph").distinct(), limit, "graph")
+    """Named graphs of a prefix in order; none at all is an error, because every metric would be empty."""
+    found = quads.where(F.col("graph").startswith(prefix)).select("graph")
+    if found.isEmpty():
+        raise ValueError(f"no named graph begins with {prefix}")
+    return order_limit(found.distinct(), limit, "graph")
 
 
 def graph_sizes(quads: DataFrame) -> DataFrame:

@@ -70,18 +70,19 @@ def non_empty_report(questions: dict[str, DataFrame]) -> DataFrame:
 
 HTML = r"(?is)^\s*(<!doctype html|<html)"
 SERIALISATIONS = {
+    "trig": r"(?m)^\s*(GRAPH\s+)?<[^>]+>\s*\{",
+    "jsonld": r"(?s)^\s*[\[{].*\"@(context|id|graph|type)\"",
     "turtle": r"(?m)^\s*(@prefix|@base|prefix |base )",
     "nquads": r"(?m)^\s*(<[^>]*>|_:\S+)\s+<[^>]*>\s+.+\.\s*$",
     "xml": r"(?s)^\s*<\?xml|<rdf:RDF",
 }
 
 
-def output_gates(files: DataFrame, path: str = "path", text: str = "text", head: int = 65536) -> DataFrame:
-    """Per output file: non-empty, not an HTML page, which serialisation it looks like.
-
-    Emptiness is judged on the whole text; the sniff reads the first 64 KiB, as a sniff does.
+def output_gates(files: DataFrame, path: str = "path", text: str = "text", head: int | None = None) -> DataFrame:
+    """Per output file: non-empty, not an HTML page, which serialisation it looks like: the first of ``SERIALISATIONS``
+    whose pattern is found in the text, or in its first ``head`` characters where a caller wants a cheaper sniff.
     """
-    t = F.substring(F.col(text), 1, head)
+    t = F.col(text) if head is None else F.substring(F.col(text), 1, head)
     kind = F.lit("unknown")
     for name, pattern in reversed(list(SERIALISATIONS.items())):
         kind = F.when(t.rlike(pattern), name).otherwise(kind)

@@ -1,6 +1,5 @@
 """Registered queries: shapes, verification queries, gates."""
 
-import re
 
 from pyspark.sql import functions as F
 
@@ -87,14 +86,12 @@ def _run(c, fn):
     return fn(t, t)
 
 
-for _key, _graphs, _name in [
-    ("shape_textual_entity", "assets ontology", "textual_entity"), ("shape_no_punning", "assets ontology", "no_punning"), ("shape_role_bearer", "assets ontology", "role_bearer"),
-    ("shape_role_realized", "assets ontology", "role_realized"), ("shape_variant", "assets ontology", "ontology_variant"), ("shape_version", "assets ontology", "ontology_version"),
-    ("shape_has_value", "assets ontology catalog", "has_value"), ("shape_has_url", "assets ontology", "has_url"),
-    ("shape_graph_metadata", "meta ontology", "graph_metadata"), ("shape_load_process", "meta process ontology", "load_process"), ("shape_instant", "meta process ontology", "instant"),
-    ("shape_no_deprecated", "meta", "no_deprecated"),
+for _key, _name in [
+    ("shape_textual_entity", "textual_entity"), ("shape_no_punning", "no_punning"), ("shape_role_bearer", "role_bearer"), ("shape_role_realized", "role_realized"), ("shape_variant", "ontology_variant"),
+    ("shape_version", "ontology_version"), ("shape_has_value", "has_value"), ("shape_has_url", "has_url"), ("shape_graph_metadata", "graph_metadata"), ("shape_load_process", "load_process"),
+    ("shape_instant", "instant"), ("shape_no_deprecated", "no_deprecated"),
 ]:
-    shape(_key, _graphs, _name, {**H.EXECUTED, **H.DOCUMENTED}[_name])
+    shape(_key, "", _name, {**H.EXECUTED, **H.DOCUMENTED}[_name])
 
 
 @query("shape_targets", preds="a rdfs:subClassOf", sql=f"WITH {SUB}, {U} SELECT focus FROM {members('ont:Continuant')}")
@@ -113,7 +110,7 @@ def _(c):
     return H.cardinality(c.quads, H.targets(c.quads, ONT + "Occurrent", c.quads), TERMS.has_input, "one_input", "exactly one input", 1, 1)
 
 
-@query("shape_report", graphs="assets ontology", sql=f"WITH {SUB}, {U}, v AS ("
+@query("shape_report", sql=f"WITH {SUB}, {U}, v AS ("
        + " UNION ALL ".join(f"SELECT shape FROM ({s})" for s in SHAPES.values()) + ") SELECT n.shape, count(v.shape) AS violations, count(v.shape) = 0 AS conforms FROM (SELECT unnest(["
        + ", ".join(f"'{k}'" for k in SHAPES) + "]) AS shape) n LEFT JOIN v ON v.shape = n.shape GROUP BY n.shape")
 def _(c):
@@ -125,16 +122,16 @@ def _(c):
 
 ORCID = r"^https://orcid\.example\.org/\d+$"
 VERIFY = {
-    "verify_orcid": ("catalog", rf"SELECT s, p, o FROM quads WHERE starts_with(s, '{BASE}') AND o_kind = 'literal' AND regexp_matches(o, '{ORCID}')"),
-    "verify_predicates": ("catalog datasets process events ontology approved", """SELECT DISTINCT p FROM quads WHERE starts_with(p, 'ont:') AND p NOT IN ('ont:partOf', 'ont:hasPart')
+    "verify_orcid": ("", rf"SELECT s, p, o FROM quads WHERE starts_with(s, '{BASE}') AND o_kind = 'literal' AND regexp_matches(o, '{ORCID}')"),
+    "verify_predicates": ("", """SELECT DISTINCT p FROM quads WHERE starts_with(p, 'ont:') AND p NOT IN ('ont:partOf', 'ont:hasPart')
         AND p NOT IN (SELECT s FROM quads WHERE graph = 'g:approved' AND p = 'rdf:type' AND o = 'owl:ObjectProperty')"""),
-    "verify_classes": ("catalog datasets events ontology approved", """WITH l AS (SELECT DISTINCT s AS c, o AS ctype FROM quads WHERE graph <> 'g:approved' AND p = 'rdf:type' AND o IN ('owl:Class', 'rdfs:Class')),
+    "verify_classes": ("", """WITH l AS (SELECT DISTINCT s AS c, o AS ctype FROM quads WHERE graph <> 'g:approved' AND p = 'rdf:type' AND o IN ('owl:Class', 'rdfs:Class')),
         a AS (SELECT * FROM quads WHERE graph = 'g:approved')
         SELECT DISTINCT q.s, q.o AS c FROM quads q JOIN l ON l.c = q.o WHERE q.graph <> 'g:approved' AND q.p = 'rdf:type' AND q.o_kind = 'iri' AND NOT starts_with(q.o, 'owl:')
         AND NOT EXISTS (SELECT 1 FROM a WHERE a.s = l.c AND ((a.p = 'rdf:type' AND a.o = l.ctype) OR (a.p = 'owl:deprecated' AND a.o = 'true') OR (a.p = 'rdf:type' AND a.o = 'owl:DeprecatedClass')))"""),
-    "verify_properties": ("catalog datasets process ontology approved", """SELECT DISTINCT d.s AS p, d.o AS ptype FROM quads d JOIN quads q ON q.p = d.s AND q.graph <> 'g:approved' WHERE d.graph <> 'g:approved' AND d.p = 'rdf:type'
+    "verify_properties": ("", """SELECT DISTINCT d.s AS p, d.o AS ptype FROM quads d JOIN quads q ON q.p = d.s AND q.graph <> 'g:approved' WHERE d.graph <> 'g:approved' AND d.p = 'rdf:type'
         AND d.o IN ('owl:DatatypeProperty', 'owl:ObjectProperty') AND NOT EXISTS (SELECT 1 FROM quads a WHERE a.graph = 'g:approved' AND a.s = d.s AND a.p = 'rdf:type' AND a.o = d.o)"""),
-    "verify_disjoint": ("documents ontology", """SELECT DISTINCT x.s AS x, d.s AS c, d.o AS d FROM quads d JOIN quads x ON x.p = 'rdf:type' AND x.o = d.s JOIN quads y ON y.p = 'rdf:type' AND y.s = x.s AND y.o = d.o WHERE d.p = 'owl:disjointWith'"""),
+    "verify_disjoint": ("", """SELECT DISTINCT x.s AS x, d.s AS c, d.o AS d FROM quads d JOIN quads x ON x.p = 'rdf:type' AND x.o = d.s JOIN quads y ON y.p = 'rdf:type' AND y.s = x.s AND y.o = d.o WHERE d.p = 'owl:disjointWith'"""),
 }
 
 
@@ -155,18 +152,25 @@ for _key, (_graphs, _sql) in VERIFY.items():
 
 
 def _only(key):
-    graphs, sql = VERIFY[key]
-    inside = ", ".join(f"'g:{g}'" for g in graphs.split())
-    rows = re.sub(r"\bquads\b", f"(SELECT * FROM quads WHERE graph IN ({inside}))", sql)
-    return f"SELECT '{key}' AS name, count(*) AS rows, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({rows})"
+    return f"SELECT '{key}' AS name, count(*) AS rows, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({VERIFY[key][1]})"
 
 
-@query("verify_report", graphs="catalog datasets process events documents ontology approved", sql=" UNION ALL ".join(_only(k) for k in VERIFY))
+@query("verify_report", sql=" UNION ALL ".join(_only(k) for k in VERIFY))
 def _(c):
     return V.gate_report({k: QUERIES[k](c.spark, c.t.dir) for k in CHECKS})
 
 
-@query("output_gates")
+def _serialisation() -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{k}'" for k, p in V.SERIALISATIONS.items()) + " ELSE 'unknown' END"
+
+
+@query("output_gates", sql=f"""
+    WITH l AS (SELECT CASE WHEN s_kind = 'iri' THEN '<' || s || '>' ELSE s END || ' <' || p || '> ' || CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE
+      '"' || replace(replace(replace(replace(replace(o, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') || '"' || CASE WHEN o_lang <> '' THEN '@' || o_lang WHEN o_datatype IS NOT NULL THEN '^^<' || o_datatype || '>' ELSE '' END END
+      || ' <' || graph || '> .' AS line FROM quads WHERE s_kind <> 'bnode' AND o_kind <> 'bnode'),
+    f AS (SELECT 'page/' || CAST(page_id AS VARCHAR) AS path, html AS text FROM pages UNION ALL SELECT 'line/' || sha1(line), line FROM l),
+    g AS (SELECT path, length(trim(text)) > 0 AS non_empty, regexp_matches(text, '{V.HTML}') AS is_html, {_serialisation()} AS serialisation FROM f)
+    SELECT *, non_empty AND NOT is_html AS ok FROM g""", graphs="documents")
 def _(c):
     files = c.t("pages").select(F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("path"), F.col("html").alias("text"))
     lines = sinks.nquads_lines(c.graph("documents")).select(F.concat(F.lit("line/"), F.sha1("line")).alias("path"), F.col("line").alias("text"))

@@ -212,3 +212,15 @@ def dump_graphs(quads: DataFrame, stages: dict[str, str], version: str) -> DataF
     if out.limit(1).isEmpty():
         raise ValueError("no graph to dump")
     return out
+
+
+def write_dumps(quads: DataFrame, stages: dict[str, str], version: str, path: str) -> None:
+    """Versioned dump: N-Quads files of each stage's graph in a folder named ``<stage>_v<version>``. A version is written once; a
+    second attempt replaces its own folders only."""
+    out = dump_graphs(quads, stages, version).select("dump", nt_line().alias("value"))
+    out.repartition("dump", F.pmod(F.xxhash64("value"), F.lit(FILES))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dump").text(path)
+
+
+def read_dumps(spark: SparkSession, path: str) -> DataFrame:
+    """(dump, line) of all versions under ``path``."""
+    return spark.read.schema("line STRING, dump STRING").text(path).select("dump", "line")

@@ -229,3 +229,18 @@ def test_paged_harvest_goes_on(spark, tmp_path):
     run(max_files=1)
     run()
     assert got() == [5, 4, 3, 2, 1, 0, 9, 8, 7, 11] and got(max_records=4) == [5, 4, 3, 2]
+
+
+def test_dumps_are_written_by_version(spark, quads, tmp_path):
+    q = quads(("ont:g", "ont:a", "ont:p", '"x y"@en'), ("ont:g", "_:b", "ont:p", "ont:c"), ("ont:h", "ont:a", "ont:p", "ont:b"), ("ont:other", "ont:a", "ont:p", "ont:b"))
+    path, stages = str(tmp_path / "dumps"), {ONT + "g": "raw", ONT + "h": "valid", ONT + "none": "gone"}
+    for version in ("1.0", "1.1", "1.1"):
+        sinks.write_dumps(q, stages, version, path)
+    got = scan.parse_lines(sinks.read_dumps(spark, path), "line").where("ok")
+    assert rows(got.groupBy("dump").count()) == [("raw_v1.0", 2), ("raw_v1.1", 2), ("valid_v1.0", 1), ("valid_v1.1", 1)]
+    assert rows(got.where("o_lang = 'en'"), "o", "graph") == [("x y", ONT + "g")] * 2
+    try:
+        sinks.write_dumps(q, {ONT + "none": "gone"}, "2", path)
+        raise AssertionError("an empty dump was written")
+    except ValueError:
+        pass

@@ -15,7 +15,8 @@ import __spark_entry__ as entry  # noqa: E402
 
 SOME = """graph_sizes class_property_flow rdf_stats kg_stats dl_constructs dataset_list orgs_by_people cq_software cq_instruments cq_facilities fq_orgs transitive_closure rdfs_closure
  per_graph_reason ego_subgraph shape_graph_metadata shape_report verify_classes template_to_triples catalog_persons catalog_processes must_resolve select_artifacts change_detect
- chunk_statements latest_class_counts ng_times view_hierarchy publish_graphs scan_nquads stream_change_detect id_collisions ordinals""".split()
+ chunk_statements latest_class_counts ng_times view_hierarchy publish_graphs scan_nquads stream_change_detect id_collisions ordinals path_plus template_axioms scan_zip scan_pages
+ verify_report output_gates dump_graphs consistency_report""".split()
 KEYS = list(entry.queries()) if os.environ.get("KGSPARK_ALL") else SOME
 
 

@@ -150,3 +150,11 @@ def test_combinations_are_cut_before_they_are_built(spark):
     assert len(P.first_combinations(things, lists, 40).collect()) == 40
     plan = P.first_combinations(things, [], 2, ["graph"])
     assert rows(plan.where("graph = 'g'"), "e") == [("a",), ("a",)]
+
+
+def test_an_empty_list_of_graphs_is_an_error(quads):
+    import pytest
+    q = quads(("ont:g1", "ont:a", "ont:p", "ont:b"), ("ont:g2", "ont:a", "ont:p", "ont:b"))
+    assert rows(M.list_graphs(q, ONT)) == [(ONT + "g1",), (ONT + "g2",)]
+    with pytest.raises(ValueError):
+        M.list_graphs(q, "urn:none")

@@ -80,3 +80,11 @@ def test_output_gates(spark):
     df = spark.createDataFrame([("a", "<!DOCTYPE html><p>"), ("b", "@prefix x: <y> ."), ("c", "  "), ("d", "<s> <p> <o> .")], "path string, text string")
     got = {r.path: (r.ok, r.serialisation) for r in V.output_gates(df).collect()}
     assert got["a"][0] is False and got["b"] == (True, "turtle") and got["c"][0] is False and got["d"] == (True, "nquads")
+
+
+def test_serialisations_by_their_text(spark):
+    texts = {"trig": "@prefix a: <b> .\n<http://g> {\n}", "trig2": "GRAPH <http://g> {", "jsonld": ' [ {"@id": "x"} ]', "turtle": "@prefix a: <b> .", "nquads": "<a> <b> <c> .", "xml": "<?xml version='1.0'?>", "unknown": "{}",
+             "late": " " * 70_000 + "\n<http://g> {"}
+    got = {r.path: r.serialisation for r in V.output_gates(spark.createDataFrame([*texts.items()], "path string, text string")).collect()}
+    assert got == {**{k: k for k in texts}, "trig2": "trig", "late": "trig"}
+    assert V.output_gates(spark.createDataFrame([("late", texts["late"])], "path string, text string"), head=65536).first().serialisation == "unknown"
