@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from kgspark.functions import scalars as S
 from kgspark.model import BASE, METRIC_TABLES, ONT, TERMS, TYPE
 from kgspark.operators import describe, metrics as M, pattern as P, questions as Q
+from kgspark.operators.ordinal import chunk_lines
 from kgspark.plans.registry import VIEWS, query
 from kgspark.plans.sqltext import CLASS_TYPES, EN, NODE, PROP_TYPES, TERM, TRIPLE, UNION_GRAPH, e, ty, v
 from kgspark.sources import sinks
@@ -376,16 +377,19 @@ for _t in METRIC_TABLES:
     _latest(_t)
 
 
-@query("chunk_statements", sql="""
+@query("chunk_statements", graphs="catalog datasets files", sql="""
     WITH l AS (SELECT graph, CASE WHEN s_kind = 'iri' THEN '<' || s || '>' ELSE s END || ' <' || p || '> ' || CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE
       '"' || replace(replace(replace(replace(replace(o, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') || '"' || CASE WHEN o_lang <> '' THEN '@' || o_lang WHEN o_datatype IS NOT NULL THEN '^^<' || o_datatype || '>' ELSE '' END END
       || ' <' || graph || '> .' AS line FROM quads WHERE s_kind <> 'bnode' AND o_kind <> 'bnode'),
     r AS (SELECT graph, line, CAST(floor(coalesce(sum(strlen(line) + 1) OVER (PARTITION BY graph ORDER BY sha1(line) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000) AS BIGINT) AS chunk FROM l)
     SELECT graph, chunk, count(*) AS lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM r GROUP BY graph, chunk""")
 def _(c):
-    path = c.scratch("chunks")
-    sinks.write_chunks(c.quads, path, 100000)
-    out = sinks.read_chunks(c.spark, path).join(c.quads.select("graph").distinct().withColumn("graph_stem", S.graph_stem("graph")), "graph_stem")
+    # the graphs of single files are too many for a folder each
+    path, single = c.scratch("chunks"), F.col("graph").startswith(BASE + "file/")
+    kept = c.quads.where(~single)
+    sinks.write_chunks(kept, path, 100000)
+    out = sinks.read_chunks(c.spark, path).join(kept.select("graph").distinct().withColumn("graph_stem", S.graph_stem("graph")), "graph_stem")
+    out = out.select("graph", "line", "chunk").unionByName(chunk_lines(sinks.nquads_lines(c.quads.where(single)), 100000))
     return out.groupBy("graph", "chunk").agg(n("lines"), F.sum((F.octet_length("line") + 1).cast("bigint")).alias("bytes"))
 
 
