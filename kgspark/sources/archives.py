@@ -29,12 +29,35 @@ TASK_BYTES, PIECE_BYTES = 64 << 20, 1 << 20
 MEMBERS = "file string, inner string, size bigint, status string"
 
 
+class _Seekable:
+    """A stream that refuses a seek before its start with ``OSError``, which zipfile expects where an archive is
+    shorter than the record it looks for; Arrow raises ``ValueError``."""
+
+    def __init__(self, stream):
+        self._stream = stream
+
+    def __getattr__(self, name):
+        return getattr(self._stream, name)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self._stream.close()
+
+    def seek(self, *args):
+        try:
+            return self._stream.seek(*args)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+
+
 def _opened(path: str, write: bool = False):
     """The file as a seekable stream."""
     from pyarrow import fs
 
     system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
-    return system.open_output_stream(inner, compression=None) if write else system.open_input_file(inner)
+    return system.open_output_stream(inner, compression=None) if write else _Seekable(system.open_input_file(inner))
 
 
 def _status(m: zipfile.ZipInfo, cap: int | None, exts: tuple[str, ...]) -> str:

@@ -244,3 +244,15 @@ def test_dumps_are_written_by_version(spark, quads, tmp_path):
         raise AssertionError("an empty dump was written")
     except ValueError:
         pass
+
+
+def test_archives_without_members_are_archives(spark, tmp_path):
+    # three rows in six tasks: three archives hold nothing
+    members = spark.range(0, 3, 1, 6).select(F.format_string("d%d.ttl", "id").alias("inner"), F.lit("x").alias("text"))
+    archives.write_archives(members, str(tmp_path / "a"))
+    with zipfile.ZipFile(tmp_path / "a" / "note.zip", "w") as z:
+        z.comment = b"empty"
+    (tmp_path / "a" / "short.zip").write_bytes(b"PK")
+    found, left_out = archives.scan_archives(spark, str(tmp_path / "a") + "/*.zip")
+    assert rows(found, "inner", "text") == [(f"d{i}.ttl", "x") for i in range(3)]
+    assert [(r.file.rsplit("/", 1)[1], r.status) for r in left_out.collect()] == [("short.zip", "no archive")]
