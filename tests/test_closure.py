@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from kgspark.model import ONT, OWL, SAME_AS, TYPE
 from kgspark.operators import closure as C, describe as D, pattern as P
@@ -249,3 +250,33 @@ def test_owlrl_equals_brute_force(spark):
         assert got == want, (seed, sorted(got - want)[:5], sorted(want - got)[:5])
         merged += any(p == SAME_AS for _, p, _ in got)
     assert merged >= 3
+
+
+def test_counts_without_texts_equal_the_rows(quads):
+    data = quads(*SCHEMA, ("g1", "ont:x", "a", "ont:A"), ("g1", "ont:x", "a", "ont:B"), ("g1", "ont:x", "ont:p", "ont:y"), ("g2", "ont:x", "ont:p", '"v"'), ("g2", "ont:x", "ont:q", '"v"'),
+                 ("g2", "ont:x", "ont:p", '"v"@en'), ("g2", "ont:x", "ont:p", '"v"^^xsd:string'))
+    out = C.rdfs_closure(P.union_graph(data))
+    want = {p: (len(r), len({s for s, *_ in r})) for p in {r["p"] for r in out.collect()} for r in [[tuple(x[c] for c in ("s", "o", "o_kind", "o_datatype", "o_lang")) for x in out.where(F.col("p") == p).collect()]]}
+    got = C.counts_per_predicate(C.rdfs_closure(data, distinct=False))
+    assert {r["p"]: (r["n"], r["subjects"]) for r in got.collect()} == want
+    onto = quads(*SCHEMA[:5])
+    r = C.per_graph_reason(data.where("graph <> 'o'"), onto)
+    assert rows(r["counts"]) == rows(r["inferences"].groupBy("graph").count())
+    both = D.recombine(data.where("graph <> 'o'"), r["inferences"], r["status"], r["inferences"].limit(0))
+    assert rows(D.recombined_sizes(r["sizes"], r["counts"], r["status"], r["inferences"].limit(0))) == rows(both.groupBy("graph").count())
+
+
+def test_reasoning_stores_no_inferred_rows(quads, monkeypatch):
+    """Only the schema, the violations and the sizes are stored."""
+    stored, write = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, name="step", *a, **k: stored.append(name) or write(df, name, *a, **k))
+    C.per_graph_reason(quads(("g", "ont:x", "a", "ont:A")), quads(*SCHEMA))
+    assert set(stored) == {"edges", "closure", "schema", "sides", "violations", "sizes"}
+
+
+def test_many_terms_are_met_by_a_join(quads, monkeypatch):
+    data, terms = quads(("g", "ont:x", "ont:p", "ont:y"), ("g", "ont:x", "a", "ont:A"), ("g", "ont:z", "ont:q", "ont:D")), quads(("o", "ont:p", "a", "ont:A"), ("o", "ont:p", "a", "ont:B")).select("s")
+    few = rows(C.among(data, "p", terms), "s", "p", "o")
+    assert len(few) == 1
+    monkeypatch.setattr(C, "FEW_TERMS", 0)
+    assert rows(C.among(data, "p", terms), "s", "p", "o") == few
