@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from kgspark.model import QUAD_COLS, TYPE
@@ -44,3 +45,12 @@ def test_filters_leave_the_rules_that_can_meet_them(spark):
     # the rules whose class depends on a row stay: one per event, part and asset
     assert "c_custkey" in people and "l_orderkey" not in people and "o_orderkey" not in people and "text" not in people
     assert "lineitem" not in plan(view.where(f"p = '{TYPE}' AND graph LIKE '%g/events'"))
+
+
+def test_a_repeated_view_holds_the_same_quads_and_shuffles_no_keys(spark):
+    tables = mapping.Tables(spark, SF)
+    once, more = (tables.view("process", "catalog", repeats=r) for r in (False, True))
+    assert "Aggregate" in plan(once) and "Aggregate" not in plan(more)
+    small = f"p IN ('{mapping.expand('ont:occupies')}', '{mapping.expand('ont:participatesIn')}')"
+    key = F.xxhash64(*QUAD_COLS)
+    assert more.where(small).select(key).distinct().count() == once.where(small).count()
