@@ -88,3 +88,15 @@ def test_serialisations_by_their_text(spark):
     got = {r.path: r.serialisation for r in V.output_gates(spark.createDataFrame([*texts.items()], "path string, text string")).collect()}
     assert got == {**{k: k for k in texts}, "trig2": "trig", "late": "trig"}
     assert V.output_gates(spark.createDataFrame([("late", texts["late"])], "path string, text string"), head=65536).first().serialisation == "unknown"
+
+
+def test_repeated_triples_do_not_repeat_violations(quads):
+    q = quads(*GRAPH, ("g", "ont:G", "a", "ont:Dataset"), ("g", "ont:w", "a", "ont:Website"), ("g", "ont:v", "a", "ont:OntologyVariant"), ("g", "ont:v", "ont:partOf", "ont:x"))
+    twice = q.unionByName(q)
+    for fn in (*ALL, H.has_url, H.ontology_variant):
+        assert rows(fn(twice, twice), "focus", "path", "value") == check(fn, q)
+
+
+def test_values_of_nodes_out_of_focus_are_not_counted(quads):
+    q = quads(("g", "ont:a", "ont:hasUrl", '"u"'), ("g", "ont:b", "ont:hasUrl", '"v"'))
+    assert rows(H.value_counts(q, ONT + "hasUrl", of=q.where(f"s = '{ONT}a'").selectExpr("s AS focus"))) == [(ONT + "a", 1)]
