@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kgspark.llm.common import units, whole_units
+from kgspark.llm.common import small_batches, units, whole_units
 from kgspark.llm.components import components
 from kgspark.llm.neardup import shingles
 from kgspark.session import materialize
@@ -329,6 +329,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, label) for every row of ``docs``; ``label`` tells components apart also where ids are null or repeated."""
+    small_batches(docs.sparkSession)
     rows = described(docs, levels(docs, text_col, size), id_col, text_col, percent, size)
     classes = rows.where("fp is not null").groupBy("fp").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"))
     members = rows.select("row", "doc_id", "th", "n", "fp").join(classes, "fp", "left").drop("fp")

@@ -127,6 +127,17 @@ def test_a_large_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
     assert sum(seen) < 600 * 40
 
 
+def test_similarity_join_hands_texts_over_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        ngramjoin.similarity_join(docs(spark, ["a b c d", "a b c d"]))
+        assert int(spark.conf.get(key)) <= common.BATCH_ROWS
+    finally:
+        spark.conf.set(key, before)
+
+
 # --- hard negatives ----------------------------------------------------------------------
 
 VECS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
