@@ -41,6 +41,21 @@ def test_components(spark):
     assert dict(rows(C.components(df))) == {"a": "a", "b": "a", "c": "a", "d": "a", "e": "a", "x": "x", "y": "x"}
 
 
+def test_ego_reads_its_triples_once_a_round(quads, monkeypatch):
+    q = quads(("g", "ont:a", "ont:p", "ont:b"), ("h", "ont:a", "ont:p", "ont:b"), ("g", "ont:b", "ont:p", "ont:c"), ("g", "ont:b", "label", '"b"'), ("g", "ont:a", "ont:p", "ont:a"))
+    scans, store = [], C.materialize
+
+    def watched(df, name="step", *a, **k):
+        if name == "ego":
+            scans.append(df._jdf.queryExecution().executedPlan().toString().count("ExistingRDD"))
+        return store(df, name, *a, **k)
+
+    monkeypatch.setattr(C, "materialize", watched)
+    got = rows(C.ego_subgraph(q, [ONT + "b"], hops=1), "s", "o", "depth")  # repeated triples, no union graph
+    assert got == sorted([(ONT + "a", ONT + "a", 1), (ONT + "a", ONT + "b", 0), (ONT + "b", ONT + "c", 0), (ONT + "b", "b", 0)])
+    assert scans == [2, 1]  # in the first round the start is the second one
+
+
 def test_ego_rounds(quads):
     q = P.union_graph(quads(*[("g", f"ont:n{i}", "ont:p", f"ont:n{i + 1}") for i in range(4)]))
     assert C.ego_subgraph(q, [ONT + "n0"], hops=2, direction="out").count() == 3
