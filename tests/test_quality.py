@@ -100,3 +100,13 @@ def test_repeated_triples_do_not_repeat_violations(quads):
 def test_values_of_nodes_out_of_focus_are_not_counted(quads):
     q = quads(("g", "ont:a", "ont:hasUrl", '"u"'), ("g", "ont:b", "ont:hasUrl", '"v"'))
     assert rows(H.value_counts(q, ONT + "hasUrl", of=q.where(f"s = '{ONT}a'").selectExpr("s AS focus"))) == [(ONT + "a", 1)]
+
+
+def test_common_and_rare_classes_are_verified_alike(quads, monkeypatch):
+    q = quads(("g", "ont:C", "a", "owl:Class"), ("g", "ont:D", "a", "owl:Class"), ("g", "ont:E", "a", "owl:Class"), ("h", "ont:F", "a", "owl:Class"),
+              ("g", "ont:c1", "a", "ont:C"), ("g", "ont:c2", "a", "ont:C"), ("g", "ont:c3", "a", "ont:C"), ("g", "ont:d1", "a", "ont:D"), ("g", "ont:e1", "a", "ont:E"),
+              ("g", "ont:x1", "a", "ont:Elsewhere"), ("g", "ont:x2", "a", "ont:Elsewhere"))
+    approved = quads(("h", "ont:E", "a", "owl:Class"))
+    for common in (1, 2, 1000):  # with one, only ont:C is compared by the small table
+        monkeypatch.setattr(V, "COMMON", common)
+        assert rows(V.unapproved_classes(q.union(q), approved), "s", "c") == [(ONT + "c1", ONT + "C"), (ONT + "c2", ONT + "C"), (ONT + "c3", ONT + "C"), (ONT + "d1", ONT + "D")]
