@@ -11,6 +11,7 @@ served by ``scan.expand_zip`` on file contents.
 
 from __future__ import annotations
 
+import itertools
 import sys
 import zipfile
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Unpacked bytes that a task reads, and bytes of text in one piece.
 TASK_BYTES, PIECE_BYTES = 64 << 20, 1 << 20
-MEMBERS = "file string, inner string, size bigint, status string"
+MEMBERS = "file string, place int, inner string, size bigint, status string"
 
 
 class _Seekable:
@@ -70,8 +71,9 @@ def _status(m: zipfile.ZipInfo, cap: int | None, exts: tuple[str, ...]) -> str:
 
 
 def list_members(files: DataFrame, max_bytes: int | None = None, exts: list[str] = RDF_EXTENSIONS) -> DataFrame:
-    """(file, inner, size, status) of every member of the archives ``files`` (path): ``ok``, ``too large``, ``outside`` (its
-    path leaves the archive), ``other format``, or one row ``no archive`` for a file that is none."""
+    """(file, place, inner, size, status) of every member of the archives ``files`` (path): ``ok``, ``too large``, ``outside`` (its
+    path leaves the archive), ``other format``, or one row ``no archive`` for a file that is none. ``place`` is its number in the
+    central directory, since an archive may hold two members of one name."""
     allowed = tuple(exts)
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,13 +81,13 @@ def list_members(files: DataFrame, max_bytes: int | None = None, exts: list[str]
             for path in pdf["path"]:
                 try:
                     with _opened(path) as f, zipfile.ZipFile(f) as z:
-                        found = [(path, m.filename, m.file_size, _status(m, max_bytes, allowed)) for m in z.infolist() if not m.is_dir()]
+                        found = [(path, k, m.filename, m.file_size, _status(m, max_bytes, allowed)) for k, m in enumerate(z.infolist()) if not m.is_dir()]
                 except (zipfile.BadZipFile, OSError, ValueError) as e:
                     if isinstance(e, OSError) and not isinstance(e, ValueError):
                         raise  # the store failed, not the archive
-                    found = [(path, None, None, "no archive")]
+                    found = [(path, None, None, None, "no archive")]
                 for k in range(0, len(found), 10_000):
-                    yield pd.DataFrame(found[k:k + 10_000], columns=["file", "inner", "size", "status"]).astype({"size": "Int64"})
+                    yield pd.DataFrame(found[k:k + 10_000], columns=["file", "place", "inner", "size", "status"]).astype({"place": "Int32", "size": "Int64"})
 
     return files.select("path").mapInPandas(members, MEMBERS)
 
@@ -109,29 +111,32 @@ def pieces(stream, size: int) -> Iterator[bytes]:
 
 
 def read_members(members: DataFrame, piece_bytes: int = PIECE_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """(file, inner, label, piece, text) of the members ``members`` (file, inner, size); pieces count from 0."""
+    """(file, place, inner, label, piece, text) of the members ``members`` (file, place, inner, size); pieces count from 0, and a member
+    without contents is one empty piece."""
     spark = members.sparkSession
-    stored = materialize(members.select("file", "inner", "size"), "members")
+    stored = materialize(members.select("file", "place", "inner", "size"), "members")
     total = stored.agg(F.sum("size")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // task_bytes)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, f, z = None, None, None
+        name, f, members = None, None, []
         for pdf in batches:
-            for path, inner in zip(pdf["file"], pdf["inner"]):
+            for path, place, inner in zip(pdf["file"], pdf["place"], pdf["inner"]):
                 if path != name:
                     if f is not None:
                         f.close()
                     name, f = path, _opened(path)
                     z = zipfile.ZipFile(f)
-                with z.open(inner) as stream:
-                    for k, data in enumerate(pieces(stream, piece_bytes)):
-                        yield pd.DataFrame({"file": [path], "inner": [inner], "label": [f"{path}!{inner}"], "piece": [k], "text": [data.decode("utf-8", "replace")]})
+                    members = z.infolist()
+                with z.open(members[place]) as stream:
+                    for k, data in enumerate(itertools.chain(pieces(stream, piece_bytes), [b""])):
+                        if data or k == 0:
+                            yield pd.DataFrame({"file": [path], "place": [place], "inner": [inner], "label": [f"{path}!{inner}"], "piece": [k], "text": [data.decode("utf-8", "replace")]})
         if f is not None:
             f.close()
 
-    dealt = stored.repartition(tasks, "file", "inner").sortWithinPartitions("file", "inner")
-    return dealt.select("file", "inner").mapInPandas(read, "file string, inner string, label string, piece int, text string")
+    dealt = stored.repartition(tasks, "file", "place").sortWithinPartitions("file", "place")
+    return dealt.select("file", "place", "inner").mapInPandas(read, "file string, place int, inner string, label string, piece int, text string")
 
 
 def scan_archives(spark: SparkSession, path: str, max_bytes: int | None = None, exts: list[str] = RDF_EXTENSIONS, piece_bytes: int = PIECE_BYTES) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@ import io
 import json
 import zipfile
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -256,3 +257,26 @@ def test_archives_without_members_are_archives(spark, tmp_path):
     found, left_out = archives.scan_archives(spark, str(tmp_path / "a") + "/*.zip")
     assert rows(found, "inner", "text") == [(f"d{i}.ttl", "x") for i in range(3)]
     assert [(r.file.rsplit("/", 1)[1], r.status) for r in left_out.collect()] == [("short.zip", "no archive")]
+
+
+def test_members_of_one_name_and_empty_members(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for text in ("first", "second one", ""):
+            z.writestr("d.ttl", text)
+        z.writestr("empty.ttl", "")
+    found, left_out = archives.scan_archives(spark, str(tmp_path) + "/*.zip")
+    assert rows(found, "place", "inner", "piece", "text") == [(0, "d.ttl", 0, "first"), (1, "d.ttl", 0, "second one"), (2, "d.ttl", 0, ""), (3, "empty.ttl", 0, "")]
+    assert left_out.count() == 0
+
+
+def test_scan_zip_of_odd_documents_is_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    import __spark_entry__ as entry
+    docs = [(1, "one", "en"), (1, "one again", "en"), (2, "", "fr"), (3, None, "en"), (4, "x", None), (5, None, "de"), (5, "é\n" * 5000, "fr")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(entry.oracle_sql()["scan_zip"]).fetchall()
+    key = lambda r: tuple(map(str, r))
+    got = entry.queries()["scan_zip"](spark, str(tmp_path)).select("member", "status", "chars").collect()
+    assert sorted(map(key, got)) == sorted(map(key, want))
