@@ -54,3 +54,9 @@ def test_a_repeated_view_holds_the_same_quads_and_shuffles_no_keys(spark):
     small = f"p IN ('{mapping.expand('ont:occupies')}', '{mapping.expand('ont:participatesIn')}')"
     key = F.xxhash64(*QUAD_COLS)
     assert more.where(small).select(key).distinct().count() == once.where(small).count()
+
+
+def test_individuals_meet_all_rules_in_one_join(spark):
+    view = mapping.Tables(spark, SF).view("datasets")
+    out = P.drop_individuals(view, mapping.expand("owl:NamedIndividual"), [mapping.expand("owl:Class")])
+    assert plan(out).count("Join ") == 1
