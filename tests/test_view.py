@@ -60,3 +60,11 @@ def test_individuals_meet_all_rules_in_one_join(spark):
     view = mapping.Tables(spark, SF).view("datasets")
     out = P.drop_individuals(view, mapping.expand("owl:NamedIndividual"), [mapping.expand("owl:Class")])
     assert plan(out).count("Join ") == 1
+
+
+def test_inferences_are_counted_without_loading_all_quads(spark, tmp_path):
+    for f in os.listdir(SF):
+        os.symlink(f"{SF}/{f}", tmp_path / f)
+    before = dict(mapping._LOADED)
+    entry.queries()["inferred_only"](spark, str(tmp_path))
+    assert mapping._LOADED == before
