@@ -68,3 +68,12 @@ def test_inferences_are_counted_without_loading_all_quads(spark, tmp_path):
     before = dict(mapping._LOADED)
     entry.queries()["inferred_only"](spark, str(tmp_path))
     assert mapping._LOADED == before
+
+
+def test_endpoint_descriptions_are_whole(spark):
+    out = entry.queries()["endpoint_void"](spark, SF)
+    void, stat = "http://rdfs.org/ns/void#", mapping.BASE + "stat/"
+    want = {TYPE, mapping.expand("label"), *(void + x for x in ("classes", "entities", "classPartition", "class", "vocabulary")),
+            *(stat + x for x in ("objectProperties", "dataProperties", "reusedClass", "reusedObject", "reusedData"))}
+    assert {r.p for r in out.select("p").distinct().collect()} == want
+    assert out.where(f"p = '{void}classes'").count() == mapping.Tables(spark, SF).view().select("graph").distinct().count()
