@@ -77,3 +77,10 @@ def test_endpoint_descriptions_are_whole(spark):
             *(stat + x for x in ("objectProperties", "dataProperties", "reusedClass", "reusedObject", "reusedData"))}
     assert {r.p for r in out.select("p").distinct().collect()} == want
     assert out.where(f"p = '{void}classes'").count() == mapping.Tables(spark, SF).view().select("graph").distinct().count()
+
+
+def test_file_descriptions_are_returned_as_triples(spark):
+    out = entry.queries()["void_description"](spark, SF)
+    assert out.columns == ["graph", "s", "p", "o"]
+    text = out.where("s LIKE '%#desc' AND o LIKE 'Imported%'").first()["o"]
+    assert [x.split(":")[0] for x in text.split("\n")[1:9]] == ["source", "registered_as", "file", "version", "landing_page", "download_url", "content_type", "sha256"]
