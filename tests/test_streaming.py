@@ -78,3 +78,23 @@ def test_upsert_of_graphs_in_parts(spark, tmp_path):
     assert rows(sinks.read_graphs(spark, table), "graph", "s") == [("g", "1"), ("g", "2"), ("g", "3"), ("h", "1"), ("k", "1")]
     load("one", [("g", "7")])  # the next run of the same job replaces
     assert rows(sinks.read_graphs(spark, table), "graph", "s") == [("g", "7"), ("h", "1"), ("k", "1")]
+
+
+def test_the_detector_takes_rows_and_asks_its_state_once(spark):
+    from pyspark.sql import Row
+    asked = []
+
+    class Known:
+        held = ("1", "v", "01", "r", 0)
+        def get(self): asked.append("get"); return self.held  # noqa: E704
+        def exists(self): asked.append("exists"); return True  # noqa: E704
+        def update(self, value): self.held = value  # noqa: E704
+
+    class Handle:
+        def getValueState(self, *_): return Known()  # noqa: E704
+
+    d = I._detector()
+    d.init(Handle())
+    new = [Row(graph_iri="a", sha256=s, version="v", harvested_at=at, registered_from="r", epoch=0) for s, at in (("1", "02"), ("2", "03"))]
+    assert list(d.handleInputRows(("a",), iter(new), None)) == [Row(graph_iri="a", change="changed")]
+    assert asked == ["get"] and d.known.held == ("2", "v", "03", "r", 0)
