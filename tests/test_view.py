@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from kgspark.model import QUAD_COLS, TYPE
-from kgspark.operators import pattern as P
+from kgspark.operators import metrics, pattern as P
 from kgspark.plans import mapping
 
 SF = "/root/testdata/sf0.001"
@@ -84,3 +84,10 @@ def test_file_descriptions_are_returned_as_triples(spark):
     assert out.columns == ["graph", "s", "p", "o"]
     text = out.where("s LIKE '%#desc' AND o LIKE 'Imported%'").first()["o"]
     assert [x.split(":")[0] for x in text.split("\n")[1:9]] == ["source", "registered_as", "file", "version", "landing_page", "download_url", "content_type", "sha256"]
+
+
+def test_average_of_triples_shuffles_hashes(spark, quads):
+    q = quads(("g", "ont:a", "ont:p", "ont:b"), ("h", "ont:a", "ont:p", "ont:b"), ("g", "ont:a", "ont:p", '"b"'), ("g", "ont:a", "ont:p", '"b"@en'), ("g", "ont:b", "ont:p", "ont:b"))
+    out = metrics.average_triples(q)
+    assert out.first()["avg_triples"] == 2.0
+    assert all("o#" not in line for line in plan(out).split("\n") if "Aggregate" in line)
