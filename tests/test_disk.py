@@ -1,5 +1,7 @@
 """What writers and chunks put on disk."""
 
+import hashlib
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -29,3 +31,16 @@ def test_quad_files_are_compressed(quads, tmp_path):
     sinks.write_nquads(quads(("g", "ont:a", "ont:p", "ont:b")), str(tmp_path / "nq"))
     files = [f.name for f in (tmp_path / "nq").rglob("part-*")]
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_chunks_without_text_shuffle_two_numbers_a_line(spark):
+    lines = spark.range(50).select(F.lit("g").alias("graph"), F.format_string("line %06d", "id").alias("line"))
+    sizes = chunk_lines(lines, 100, text=False)
+    plan = sizes._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "unhex" not in plan
+    # the order is that of the whole hash
+    want, upto = {}, 0
+    for line in sorted((r.line for r in lines.collect()), key=lambda x: hashlib.sha1(x.encode()).hexdigest()):
+        want[upto // 100] = want.get(upto // 100, 0) + 1
+        upto += len(line) + 1
+    assert rows(sizes.groupBy("chunk").agg(F.count("*"))) == sorted(want.items())
